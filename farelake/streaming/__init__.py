@@ -1,0 +1 @@
+"""Empty on purpose: the work is batch only and has no streaming query."""
