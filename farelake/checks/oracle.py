@@ -134,7 +134,7 @@ _SELECTS = {
     "filter_origin": "SELECT * FROM fare_raw WHERE origin = 'N'",
     "filter_period_origin": """
         SELECT * FROM operation_source WHERE year BETWEEN 1996 AND 1998 AND origin = 'N'""",
-    "filter_conjunction": "SELECT * FROM ops WHERE month = 5 AND year = 1997 AND company = 7",
+    "filter_conjunction": "SELECT * FROM ops WHERE month = 3 AND year = 1997 AND company = 0",
     "filter_year": "SELECT * FROM ops WHERE year = 1997",
     "filter_require_non_null": "SELECT * FROM ops WHERE time IS NOT NULL",
     "proj_promote_names": """

@@ -44,8 +44,8 @@ def fare_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = drop_sentinel(fare_raw(spark, sf_dir), "price_t", PRICE_SENTINEL)
-    named = raw.where(F.col("origin") == ORIGIN).withColumnsRenamed(
+    raw = fare_raw(spark, sf_dir).where(F.col("origin") == ORIGIN)
+    named = drop_sentinel(raw, "price_t", PRICE_SENTINEL).withColumnsRenamed(
         {"year_t": "year", "month_t": "month", "price_t": "price", "seats_t": "seats"}
     )
     return cast_columns(

@@ -169,7 +169,7 @@ def filter_period_origin(spark, sf_dir):
 @query
 def filter_conjunction(spark, sf_dir):
     return proxy.ops(spark, sf_dir).where(
-        (F.col("month") == 5) & (F.col("year") == YEAR) & (F.col("company") == 7)
+        (F.col("month") == 3) & (F.col("year") == YEAR) & (F.col("company") == 0)
     )
 
 

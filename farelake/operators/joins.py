@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.config import FARE_KEYS
+from farelake.operators.filters import require_non_null
 
 # A key with this many rows gets one more slice for each further such number.
 HOT_ROWS = 1_000_000
@@ -24,10 +25,10 @@ def hot_keys(
     Counts are combined before the shuffle and only key columns are read.
     """
     return (
-        df.groupBy(*keys)
+        require_non_null(df, keys)
+        .groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .dropna(subset=list(keys))
         .orderBy(F.desc("_rows"), *keys)
         .limit(limit)
         .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_slices"))

@@ -36,8 +36,8 @@ CURATED = "data"
 
 
 def clean_fares(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
-    """Raw fare rows without header lines, of one origin, typed."""
-    fares = drop_sentinel(raw, "price", cfg.price_sentinel).where(F.col("origin") == cfg.origin)
+    """Raw fare rows of one origin, without header lines, typed."""
+    fares = drop_sentinel(raw.where(F.col("origin") == cfg.origin), "price", cfg.price_sentinel)
     price = partial(parse_locale_decimal, grouping=cfg.price_grouping)
     return cast_columns(
         fares,
