@@ -102,8 +102,8 @@ class LakeConfig:
     price_grouping: str | None = None
     lenient_ints: bool = False
 
-    # "all": a run replaces each relation whole. "partitions": it replaces only
-    # the years it has rows for and leaves the others as they are.
+    # "all": a run replaces each relation whole. "years": it replaces the years
+    # above, each exactly, and leaves others as they are.
     replace: str = "all"
 
     # One table per year, or a single one when the pattern names no year.
@@ -112,6 +112,12 @@ class LakeConfig:
     warehouse_format: str | None = None
     warehouse_options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
+    def __post_init__(self) -> None:
+        if self.replace not in ("all", "years"):
+            raise ValueError(f"replace must be 'all' or 'years', not {self.replace!r}")
+        if not self.years:
+            raise ValueError("a run needs at least one year")
+
     def landing_path(self, name: str) -> str:
         return f"{self.landing.rstrip('/')}/{name}"
 

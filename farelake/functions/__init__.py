@@ -52,7 +52,7 @@ def half_up_ratio(numerator: Column, denominator: Column, digits: int) -> Column
     A zero denominator gives NULL.
     """
     unit = 10**digits
-    size = F.abs(F.nullif(denominator, F.lit(0).cast("bigint")))
+    size = F.abs(F.nullif(denominator, F.lit(0)))
     rounded = F.call_function("div", F.abs(numerator) * F.lit(2 * unit) + size, size * F.lit(2))
     sign = F.when((numerator < 0) != (denominator < 0), F.lit(-1)).otherwise(F.lit(1))
     return rounded * sign / F.lit(float(unit))

@@ -12,9 +12,9 @@ from farelake.operators.filters import require_non_null
 
 # A key with this many rows gets one more slice for each further such number.
 HOT_ROWS = 1_000_000
-# Keys treated as hot at most. Every other key then holds less than this
-# fraction of the rows, and the list is always small enough to broadcast.
-MAX_HOT_KEYS = 1024
+# Keys treated as hot at most, which bounds what is broadcast to some megabytes.
+# They are the most frequent ones: any other holds under a 100,000th of all rows.
+MAX_HOT_KEYS = 100_000
 
 
 def hot_keys(

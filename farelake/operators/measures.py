@@ -28,10 +28,12 @@ def weighted_mean(
     ``null_weight='exclude'``. No weight at all, or a sum of zero, gives NULL.
 
     Sums of doubles depend on the order of the rows, so that a mean on half a
-    cent may round either way from run to run. Values are therefore summed as
-    decimals with ``exact_scale`` places (at most six) and rounded half-up
-    once. Values no decimal can hold (NaN, infinity, 10**18 and more) make
-    their group fall back to doubles; ``exact_scale=None`` does so for all.
+    cent may round either way from run to run. Values are therefore counted in
+    whole units of ``exact_scale`` places (at most six), whose product with the
+    weight is a 64-bit integer; integers add up exactly in any order, and the
+    mean is rounded half-up once. A row that does not fit (NaN, infinity, a
+    value or product too large) makes its group fall back to doubles, and
+    ``exact_scale=None`` does so for all groups.
     """
     if null_weight not in ("include", "exclude"):
         raise ValueError(f"null_weight must be 'include' or 'exclude', not {null_weight!r}")
@@ -54,17 +56,20 @@ def weighted_mean(
         raise ValueError("exact_scale must be between 0 and 6")
     if not isinstance(df.schema[weight].dataType, IntegralType):
         raise TypeError(f"an exact mean needs an integer weight, and {weight} is none")
-    exact = v.try_cast(f"decimal({18 + exact_scale},{exact_scale})")
-    rounded_once = half_up_ratio(F.col("_sum"), F.col(weight), digits)
-    in_doubles = F.round(
-        F.try_divide(F.coalesce(F.col("_sum").cast("double"), F.lit(0.0)) + F.col("_rest"), weight),
-        digits,
+    unit = 10**exact_scale
+    # Below 10**15 units a double times the unit is off by less than half a unit.
+    units = F.when(F.abs(v) < 10.0**15 / unit, F.rint(v * F.lit(float(unit))).cast("bigint"))
+    product = F.try_multiply(units, w.cast("bigint"))
+    rounded_once = half_up_ratio(
+        F.col("_sum"), F.col(weight).cast("decimal(20,0)") * F.lit(unit), digits
     )
+    whole = F.coalesce(F.col("_sum").cast("double") / F.lit(float(unit)), F.lit(0.0))
+    in_doubles = F.round(F.try_divide(whole + F.col("_rest"), weight), digits)
     return (
         df.groupBy(*keys)
         .agg(
-            F.try_sum(exact * w).alias("_sum"),
-            F.sum(F.when(exact.isNull(), v * w)).alias("_rest"),
+            F.sum(product.cast("decimal(28,0)")).alias("_sum"),
+            F.sum(F.when(product.isNull(), v * w)).alias("_rest"),
             F.sum(counted).alias(weight),
         )
         .select(

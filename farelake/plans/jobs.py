@@ -19,7 +19,7 @@ from farelake.config import (
 from farelake.functions import normalize_decimal_text, parse_locale_decimal
 from farelake.operators import cast_columns, drop_sentinel, select_as, slice_period
 from farelake.plans.curate import curate
-from farelake.sinks import publish_table, write_curated_csv, write_processing
+from farelake.sinks import publish_table, replace_years, write_curated_csv, write_processing
 from farelake.sources import (
     month_paths,
     read_headered,
@@ -50,14 +50,22 @@ def clean_operations(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
     """Raw statistics under short names, typed, of the years and the origin."""
     types = {name: "int" for name in OPERATION_INTEGERS} | {"time": normalize_decimal_text}
     ops = cast_columns(select_as(raw, OPERATION_COLUMNS), types, lenient=cfg.lenient_ints)
-    return slice_period(ops, min(cfg.years), max(cfg.years), cfg.origin)
+    ops = slice_period(ops, min(cfg.years), max(cfg.years), cfg.origin)
+    return ops.where(F.col("year").isin(*cfg.years))
+
+
+def _write_years(df: DataFrame, path: str, cfg: LakeConfig) -> None:
+    if cfg.replace == "years":
+        replace_years(df, path, cfg.years)
+    else:
+        write_processing(df, path, ["year"], compact=True)
 
 
 def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     paths = month_paths(cfg.landing, cfg.years, cfg.months, cfg.month_file)
     raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
     target = cfg.processing_path(FARES)
-    write_processing(clean_fares(raw, cfg), target, ["year"], cfg.replace, compact=True)
+    _write_years(clean_fares(raw, cfg), target, cfg)
     return read_zone(spark, target, schema=FARE_SCHEMA)
 
 
@@ -65,7 +73,7 @@ def process_operations(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     source = cfg.landing_path(cfg.operations_dir)
     raw = read_headered(spark, source, sep=";", **cfg.text_options)
     target = cfg.processing_path(OPERATIONS)
-    write_processing(clean_operations(raw, cfg), target, ["year"], cfg.replace, compact=True)
+    _write_years(clean_operations(raw, cfg), target, cfg)
     return read_zone(spark, target, schema=OPERATION_SCHEMA)
 
 
@@ -94,7 +102,7 @@ def curate_and_publish(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
         read_zone(spark, cfg.processing_path(AIRPORTS)),
     ).where(F.col("year").isin(*cfg.years))
     target = cfg.processing_path(CURATED)
-    write_processing(computed, target, ["year"], cfg.replace, compact=True)
+    _write_years(computed, target, cfg)
     curated = read_zone(spark, target, schema=CURATED_SCHEMA)
 
     for year in cfg.years:

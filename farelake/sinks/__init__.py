@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_processing(
@@ -17,9 +18,9 @@ def write_processing(
     """Write Parquet, replacing what is at ``path``.
 
     ``replace="partitions"`` replaces only the partitions ``df`` has rows for;
-    one that has become empty keeps its old rows. ``compact`` shuffles once
-    before the write so that a selective filter over many input splits does not
-    leave one tiny file per split. The shuffle is a rebalance: adaptive
+    see ``replace_years`` for one that has become empty. ``compact`` shuffles
+    once before the write so that a selective filter over many input splits does
+    not leave one tiny file per split. The shuffle is a rebalance: adaptive
     execution joins small partitions and splits one that is too large, such as
     a year holding most rows.
     """
@@ -29,12 +30,34 @@ def write_processing(
         raise ValueError("replace='partitions' needs partition columns")
     if compact:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
-    if replace == "partitions":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    mode = "dynamic" if replace == "partitions" else "static"
+    (
+        df.write.mode("overwrite")
+        .partitionBy(*partition_by)
+        .option("partitionOverwriteMode", mode)
+        .parquet(path)
+    )
+
+
+def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
+    """Make the partitions of ``years`` hold exactly the rows of ``df``.
+
+    Other years stay as they are, so a row of another year is an error: it
+    would replace all that year has. A year without rows is emptied; which ones
+    have rows is noted while they are written, not by another pass.
+    """
+    years = sorted(set(years))
+    stray = F.concat(
+        F.lit(f"not one of the years {years}: "), F.coalesce(F.col("year").cast("string"), F.lit("none"))
+    )
+    owned = F.when(F.col("year").isin(years), F.col("year")).otherwise(F.raise_error(stray))
+    checked = df.withColumn("year", owned).hint("rebalance", "year")
+    # Noted after the shuffle: with no rows at all, what precedes it is cut off the plan.
+    seen = Observation()
+    noted = checked.observe(seen, F.collect_set("year").alias("years"))
+    write_processing(noted, path, ["year"], replace="partitions")
+    for year in set(years) - set(seen.get["years"]):
+        write_processing(df.where(F.lit(False)).drop("year"), f"{path}/year={year}")
 
 
 def write_curated_csv(df: DataFrame, path: str) -> None:

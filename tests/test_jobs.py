@@ -1,14 +1,15 @@
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql.types import StructType
 from test_sources_sinks import put
 
 from farelake import LakeConfig
 from farelake.config import CURATED_COLUMNS, CURATED_SCHEMA, FARE_SCHEMA, OPERATION_SCHEMA
 from farelake.plans import jobs
 from farelake.sources import read_headered
-from pyspark.sql.types import StructType
 
 HEADER = "ANO;MES;EMPRESA;ORIGEM;DESTINO;Tarifa-N;ASSENTOS"
 OPS_HEADER = (
@@ -151,7 +152,7 @@ def test_refreshing_one_year_keeps_the_others(spark, lake):
         file.write("2020;2;AZU;SBMO;SBRF;77,00;1\n")
     with open(f"{lake.landing}/statistics/more.csv", "w") as file:
         file.write(f"{OPS_HEADER}\nAZU;AZUL;BRASILEIRA;2020;2;SBMO;SBRF;1;2;3;4,0;5;6;x\n")
-    jobs.run(spark, replace(lake, years=(2020,), replace="partitions"))
+    jobs.run(spark, replace(lake, years=(2020,), replace="years"))
     added = (2020, 2, "AZU", "AZUL", "RECIFE", "PE", "SBRF", 77.0, 1, 1, 2, 3, "4.0")
     assert rows(spark.table("lake.data2020").select(*CURATED_COLUMNS)) == sorted(
         [row for row in CURATED if row[0] == 2020] + [added], key=repr
@@ -160,6 +161,39 @@ def test_refreshing_one_year_keeps_the_others(spark, lake):
     assert spark.read.parquet(lake.processing_path(jobs.FARES)).where("year = 2019").count() == 7
 
 
+def test_refreshing_a_year_that_became_empty(spark, lake):
+    jobs.run(spark, lake)
+    for month in range(1, 13):
+        put(Path(f"{lake.landing}/price2020/2020{month:02d}.CSV"), f"{HEADER}\n")
+    curated = jobs.run(spark, replace(lake, years=(2020,), replace="years"))
+    assert rows(curated) == [row for row in CURATED if row[0] == 2019]
+    assert spark.table("lake.data2020").count() == 0
+    fares = spark.read.schema(FARE_SCHEMA).parquet(lake.processing_path(jobs.FARES))
+    assert {row.year for row in fares.collect()} == {2019}
+
+
+def test_refreshing_a_year_refuses_rows_of_another(spark, lake):
+    jobs.run(spark, lake)
+    with open(f"{lake.landing}/price2020/202002.CSV", "a") as file:
+        file.write("2019;2;AZU;SBMO;SBRF;77,00;1\n")
+    with pytest.raises(Exception, match=r"not one of the years \[2020\]: 2019"):
+        jobs.process_fares(spark, replace(lake, years=(2020,), replace="years"))
+    fares = spark.read.parquet(lake.processing_path(jobs.FARES))
+    assert fares.where("year = 2019").count() == 7
+
+
+def test_years_need_not_follow_each_other(spark, lake):
+    cfg = replace(lake, years=(2018, 2020))
+    assert {row.year for row in jobs.process_operations(spark, cfg).collect()} == {2018, 2020}
+
+
+def test_rejects_bad_configuration(lake):
+    with pytest.raises(ValueError):
+        replace(lake, replace="some")
+    with pytest.raises(ValueError):
+        replace(lake, years=())
+
+
 def test_an_origin_without_rows_gives_empty_tables(spark, lake):
     jobs.run(spark, replace(lake, origin="ZZZZ"))
     assert spark.table("lake.data2019").count() == 0

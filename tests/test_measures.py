@@ -75,14 +75,27 @@ def test_prices_with_more_places_than_the_result(spark):
 
 
 @pytest.mark.parametrize("scale", [None, 6])
-def test_values_no_decimal_holds(spark, scale):
+def test_values_too_large_for_whole_units(spark, scale):
     data = [("nan", float("nan"), 1), ("nan", 5.0, 1), ("inf", math.inf, 2), ("inf", 1.0, 2)]
     data += [("big", 1e30, 1), ("big", 3e30, 1), ("ok", 2.0, 1)]
+    data += [("product", 999_999_999.0, 2_000_000_000), ("mixed", 1e10, 1), ("mixed", 2.5, 1)]
     got = means(spark, data, exact_scale=scale)
     assert math.isnan(got["nan"][0])
     assert got["inf"] == (math.inf, 4)
     assert got["big"] == (2e30, 2)
     assert got["ok"] == (2.0, 1)
+    assert got["product"] == (999_999_999.0, 2_000_000_000)
+    assert got["mixed"] == (5000000001.25, 2)
+
+
+def test_hundredths_are_exact_up_to_a_billion(spark):
+    data = [(str(c), c / 100, 1) for c in (99_999_999_999, 99_999_999_998, 12_345_678_901, 1, 29)]
+    assert means(spark, data) == {k: (int(k) / 100, 1) for k, _, _ in data}
+
+
+def test_sums_beyond_64_bits(spark):
+    data = [("a", 4_000.01, 2_000_000_000), ("a", 4_000.02, 2_000_000_000)] * 2
+    assert means(spark, data) == {"a": (4000.02, 8_000_000_000)}
 
 
 def test_rejects_bad_options(spark):
