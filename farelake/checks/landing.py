@@ -15,7 +15,7 @@ MONTH_FILE = "period={year}{month:02d}.CSV"
 # What the first line of a fare file says.
 FARE_HEADER = ("ANO", "MES", "EMPRESA", "ORIGEM", "DESTINO", PRICE_SENTINEL, "ASSENTOS")
 
-JSON_ROWS_PER_FILE = 50_000
+JSON_ROWS_PER_FILE = 10_000
 
 
 def fare_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,18 @@ def write_airports(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def write_customer_places(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """A list laid out as the airports are, with an entry per customer."""
+    nations = proxy.airport(spark, sf_dir)
+    customers = proxy.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("code"), "c_name", "c_nationkey"
+    )
+    customers.join(nations, customers.c_nationkey == nations.icao).select(
+        F.col("code").alias("icao"), F.col("c_name").alias("airport"), "city", "state"
+    ).write.csv(path, sep=",", header=True, quoteAll=True)
+    return path
+
+
 def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proxy.table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("decimal(18,2)")

@@ -190,9 +190,8 @@ _SELECTS = {
                           CAST(destination AS VARCHAR) AS destination)
         FROM fare""",
     "job_process_airports": """
-        SELECT CAST(icao AS VARCHAR) AS icao, concat('airport-', CAST(icao AS VARCHAR)) AS airport,
-               city, state
-        FROM airport""",
+        SELECT CAST(c_custkey AS VARCHAR) AS icao, c_name AS airport, city, state
+        FROM customer JOIN airport ON c_nationkey = icao""",
     "job_process_operations": """
         SELECT CAST(company AS VARCHAR) AS company, companyName, nationality, year, month, origin,
                CAST(destination AS VARCHAR) AS destination, takeOffs, distance, seats,

@@ -374,7 +374,7 @@ def job_process_fares(spark, sf_dir):
 @query
 def job_process_airports(spark, sf_dir):
     cfg = _lake(spark)
-    landing.write_airports(spark, sf_dir, cfg.landing_path(cfg.airports_dir))
+    landing.write_customer_places(spark, sf_dir, cfg.landing_path(cfg.airports_dir))
     return jobs.process_airports(spark, cfg)
 
 

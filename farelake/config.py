@@ -61,6 +61,10 @@ OPERATION_SCHEMA = (
     "origin string, destination string, takeOffs int, distance int, seats int, "
     "time string, paidPassengers int, noPaidPassengers int"
 )
+MEAN_SCHEMA = (
+    "year int, month int, company string, origin string, destination string, "
+    "priceAVG double, seats bigint"
+)
 CURATED_SCHEMA = (
     "year int, month int, company string, companyName string, city string, state string, "
     "destination string, priceAVG double, seatsAVG bigint, takeOffs int, distance int, "

@@ -19,13 +19,23 @@ def curate(
     keys: Sequence[str] = FARE_KEYS,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Mean fares with their operations and place, for all years in one plan.
+    """Mean fares with their operations and place, for all years in one plan."""
+    return curate_means(weighted_mean(fares, FARE_KEYS), ops, airports, keys, hot_rows)
+
+
+def curate_means(
+    means: DataFrame,
+    ops: DataFrame,
+    airports: DataFrame,
+    keys: Sequence[str] = FARE_KEYS,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Mean fares that are at hand already, with their operations and place.
 
     Only fares that match an operation with known hours are kept. A left join
     followed by that test is an inner join with operations whose hours are
     known; said so here, the test reaches the scan of the operations.
     """
-    means = weighted_mean(fares, FARE_KEYS, "price", "seats")
     flown = require_non_null(ops, ["time"])
     matched = match_operations(means, flown, keys, "inner", hot_rows)
     return lookup_place(matched, airports).select(*CURATED_COLUMNS)

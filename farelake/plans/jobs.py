@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 from farelake.config import (
     CURATED_SCHEMA,
     FARE_COLUMNS,
+    FARE_KEYS,
     FARE_SCHEMA,
+    MEAN_SCHEMA,
     OPERATION_COLUMNS,
     OPERATION_INTEGERS,
     OPERATION_SCHEMA,
     LakeConfig,
 )
 from farelake.functions import normalize_decimal_text, parse_locale_decimal
-from farelake.operators import cast_columns, drop_sentinel, select_as, slice_period
-from farelake.plans.curate import curate
+from farelake.operators import (
+    cast_columns,
+    drop_sentinel,
+    select_as,
+    slice_period,
+    weighted_mean,
+)
+from farelake.plans.curate import curate_means
 from farelake.sinks import publish_table, replace_years, write_curated_csv, write_processing
 from farelake.sources import (
     month_paths,
@@ -32,6 +40,7 @@ FARES = "fares"
 OPERATIONS = "statistics"
 AIRPORTS = "icao"
 DISTANCES = "dist"
+MEANS = "means"
 CURATED = "data"
 
 
@@ -93,14 +102,24 @@ def process_distances(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 def curate_and_publish(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """Compute the curated relation once, then write files and tables from it.
 
-    The computed rows are kept as Parquet, so that neither the curated files
-    nor the tables run the joins again, and a lost executor costs one scan.
+    The mean fares are written first. Read back, their size is known: if it is
+    under Spark's threshold they are broadcast and the operations are not
+    shuffled at all, and otherwise both sides of the join are plain shuffles,
+    which adaptive execution can split where one key holds most operations.
+
+    The curated rows are kept as Parquet too, so that neither the curated files
+    nor the tables run the joins again. A lost executor costs a part of a scan.
     """
-    computed = curate(
-        read_zone(spark, cfg.processing_path(FARES), schema=FARE_SCHEMA),
-        read_zone(spark, cfg.processing_path(OPERATIONS), schema=OPERATION_SCHEMA),
-        read_zone(spark, cfg.processing_path(AIRPORTS)),
-    ).where(F.col("year").isin(*cfg.years))
+    fares = read_zone(spark, cfg.processing_path(FARES), schema=FARE_SCHEMA)
+    ops = read_zone(spark, cfg.processing_path(OPERATIONS), schema=OPERATION_SCHEMA)
+    airports = read_zone(spark, cfg.processing_path(AIRPORTS))
+    in_run = F.col("year").isin(*cfg.years)
+
+    means = cfg.processing_path(MEANS)
+    _write_years(weighted_mean(fares.where(in_run), FARE_KEYS), means, cfg)
+    computed = curate_means(
+        read_zone(spark, means, schema=MEAN_SCHEMA).where(in_run), ops, airports, hot_rows=None
+    )
     target = cfg.processing_path(CURATED)
     _write_years(computed, target, cfg)
     curated = read_zone(spark, target, schema=CURATED_SCHEMA)

@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 
 from farelake.checks import proxy
 from farelake.config import CURATED_SCHEMA, FARE_KEYS, FARE_SCHEMA, OPERATION_SCHEMA, LakeConfig
-from farelake.operators import lookup_place, route_frequency, top_routes, weighted_mean
+from farelake.operators import (
+    lookup_place,
+    match_operations,
+    route_frequency,
+    top_routes,
+    weighted_mean,
+)
 from farelake.plans import jobs
-from farelake.plans.curate import curate
+from farelake.plans.curate import curate, curate_means
 from farelake.sinks import write_processing
 from farelake.sources import read_headered, read_headerless, read_zone
 
@@ -138,8 +144,42 @@ def test_a_crowded_destination_is_split(spark, conf):
     placed = lookup_place(fares, airports)
     counted = placed.groupBy().agg(F.count("*"), F.count("city"))
     assert tuple(counted.first()) == (60_000, 40_000)
-    placed.write.format("noop").mode("overwrite").save()
-    placed.foreachPartition(lambda _: None)
+    counted.collect()
+    assert "skew=true" in physical(counted).split("Initial Plan")[0]
+
+
+def test_written_means_are_broadcast_or_joined_with_skew_split(spark, zones, tmp_path, conf):
+    """What curating from written means relies on, instead of slices."""
+    path = str(tmp_path / "means")
+    keys = [F.lit(2019).alias("year"), F.lit(1).alias("month"), F.lit("A").alias("company")]
+    place = F.when(F.col("id") % 3 == 0, "HOT").otherwise((F.col("id") % 500).cast("string"))
+    route = [F.lit("O").alias("origin"), place.alias("destination")]
+    fares = spark.range(1500).select(*keys, *route, F.lit(1.5).alias("price"), F.lit(2).alias("seats"))
+    write_processing(weighted_mean(fares, FARE_KEYS), path)
+    means = read_zone(spark, path)
+    ops = spark.range(0, 60_000, 1, 8).select(
+        *keys,
+        *route,
+        F.uuid().alias("companyName"),
+        F.lit(1).alias("takeOffs"),
+        F.lit(2).alias("distance"),
+        F.lit(3).alias("seats"),
+        F.lit("1").alias("time"),
+    )
+    plan = physical(curate_means(means, ops, zones[2], hot_rows=None))
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+    for name, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }.items():
+        conf(name, value)
+    matched = match_operations(means, ops, FARE_KEYS, "inner", hot_rows=None)
+    counted = matched.groupBy().agg(F.count("companyName").alias("n"))
+    assert counted.first().n == 60_000
     counted.collect()
     assert "skew=true" in physical(counted).split("Initial Plan")[0]
 
