@@ -94,7 +94,7 @@ class LakeConfig:
 
     years: tuple[int, ...] = (2019, 2020, 2021, 2022)
     months: tuple[int, ...] = tuple(range(1, 13))
-    origin: str = "SBMO"
+    origin: str | None = "SBMO"  # None keeps all origins.
 
     month_file: str = MONTH_FILE
     operations_dir: str = "statistics"

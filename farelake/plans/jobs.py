@@ -45,8 +45,10 @@ CURATED = "data"
 
 
 def clean_fares(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
-    """Raw fare rows of one origin, without header lines, typed."""
-    fares = drop_sentinel(raw.where(F.col("origin") == cfg.origin), "price", cfg.price_sentinel)
+    """Raw fare rows of the origin, without header lines, typed."""
+    if cfg.origin is not None:
+        raw = raw.where(F.col("origin") == cfg.origin)
+    fares = drop_sentinel(raw, "price", cfg.price_sentinel)
     price = partial(parse_locale_decimal, grouping=cfg.price_grouping)
     return cast_columns(
         fares,
@@ -63,18 +65,19 @@ def clean_operations(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
     return ops.where(F.col("year").isin(*cfg.years))
 
 
-def _write_years(df: DataFrame, path: str, cfg: LakeConfig) -> None:
+def _write_years(df: DataFrame, path: str, cfg: LakeConfig, compact: bool = True) -> None:
     if cfg.replace == "years":
-        replace_years(df, path, cfg.years)
+        replace_years(df, path, cfg.years, compact)
     else:
-        write_processing(df, path, ["year"], compact=True)
+        write_processing(df, path, ["year"], compact=compact)
 
 
 def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     paths = month_paths(cfg.landing, cfg.years, cfg.months, cfg.month_file)
     raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
     target = cfg.processing_path(FARES)
-    _write_years(clean_fares(raw, cfg), target, cfg)
+    # Files are worth a shuffle only where few rows are left of each split.
+    _write_years(clean_fares(raw, cfg), target, cfg, compact=cfg.origin is not None)
     return read_zone(spark, target, schema=FARE_SCHEMA)
 
 
@@ -82,7 +85,7 @@ def process_operations(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     source = cfg.landing_path(cfg.operations_dir)
     raw = read_headered(spark, source, sep=";", **cfg.text_options)
     target = cfg.processing_path(OPERATIONS)
-    _write_years(clean_operations(raw, cfg), target, cfg)
+    _write_years(clean_operations(raw, cfg), target, cfg, compact=cfg.origin is not None)
     return read_zone(spark, target, schema=OPERATION_SCHEMA)
 
 

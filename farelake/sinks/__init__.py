@@ -39,7 +39,7 @@ def write_processing(
     )
 
 
-def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
+def replace_years(df: DataFrame, path: str, years: Iterable[int], compact: bool = True) -> None:
     """Make the partitions of ``years`` hold exactly the rows of ``df``.
 
     Other years stay as they are, so a row of another year is an error: it
@@ -47,11 +47,12 @@ def replace_years(df: DataFrame, path: str, years: Iterable[int]) -> None:
     have rows is noted while they are written, not by another pass.
     """
     years = sorted(set(years))
-    stray = F.concat(
-        F.lit(f"not one of the years {years}: "), F.coalesce(F.col("year").cast("string"), F.lit("none"))
-    )
+    found = F.coalesce(F.col("year").cast("string"), F.lit("none"))
+    stray = F.concat(F.lit(f"not one of the years {years}: "), found)
     owned = F.when(F.col("year").isin(years), F.col("year")).otherwise(F.raise_error(stray))
-    checked = df.withColumn("year", owned).hint("rebalance", "year")
+    checked = df.withColumn("year", owned)
+    if compact:
+        checked = checked.hint("rebalance", "year")
     # Noted after the shuffle: with no rows at all, what precedes it is cut off the plan.
     seen = Observation()
     noted = checked.observe(seen, F.collect_set("year").alias("years"))

@@ -30,9 +30,9 @@ def lake(spark, tmp_path):
             "2019;1;AZU;SBMO;SBRF;1.234,56;2",
             "2019;1;AZU;SBGR;SBRF;999,99;1",
             "2019;1;GLO;SBMO;XXXX;50,00;4",
-            "2019;1;GLO;SBMO;SBSI;70,00;x",
+            "2019;1;GLO;SBMO;SBXX;70,00;x",
         ],
-        (2019, 2): ["2019;2;AZU;SBMO;SBRF;200,00;0", "2019;2;GLO;SBMO;SBSI;80,005;5"],
+        (2019, 2): ["2019;2;AZU;SBMO;SBRF;200,00;0", "2019;2;GLO;SBMO;SBXX;80,005;5"],
         (2020, 1): ["2020;1;AZU;SBMO;SBRF;500,00;5.7", "2020;1;AZU;SBMO;SBGR;410,50;3"],
     }
     for year in (2019, 2020):
@@ -49,7 +49,7 @@ def lake(spark, tmp_path):
         "AZU;AZUL;BRASILEIRA;2019;1;SBMO;SBRF;2;400;180;3,25;150;0;x",
         "AZU;AZUL;BRASILEIRA;2019;2;SBMO;SBRF;1;200;90;;50;0;x",
         "GLO;GOL;BRASILEIRA;2019;1;SBMO;XXXX;4;800;400;6;300;1;x",
-        "GLO;GOL;BRASILEIRA;2019;2;SBMO;SBSI;5;900;bad;7,5;300;1;x",
+        "GLO;GOL;BRASILEIRA;2019;2;SBMO;SBXX;5;900;bad;7,5;300;1;x",
         "AZU;AZUL;BRASILEIRA;2020;1;SBMO;SBGR;6;1900;500;9,0;400;2;x",
         "AZU;AZUL;BRASILEIRA;2020;1;SBGR;SBGR;6;1900;500;9,0;400;2;x",
         "AZU;AZUL;BRASILEIRA;2018;1;SBMO;SBRF;6;1900;500;9,0;400;2;x",
@@ -58,8 +58,8 @@ def lake(spark, tmp_path):
     put(tmp_path / "landing/statistics/all.csv", "\n".join([OPS_HEADER, *ops]) + "\n")
     put(
         tmp_path / "landing/icao/icao.csv",
-        '"icao","airport","city","state"\n"SBRF","a","RECIFE","PE"\n"SBSI","b","MARACAJU","MS"\n'
-        '"SBSI","c","SINOP","MT"\n"SBGR","d","GUARULHOS","SP"\n',
+        '"icao","airport","city","state"\n"SBRF","a","RECIFE","PE"\n"SBXX","b","NORTE","MS"\n'
+        '"SBXX","c","SUL","MT"\n"SBGR","d","GUARULHOS","SP"\n',
     )
     put(tmp_path / "landing/dist/dist.json", '[\n {"city": "RECIFE",\n "km": 202}\n]\n')
     spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{tmp_path}/warehouse'")
@@ -80,8 +80,8 @@ CURATED = sorted(
         (2019, 1, "AZU", "AZUL", "RECIFE", "PE", "SBRF", 150.91, 17, 10, 2000, 900, "15.5"),
         (2019, 1, "AZU", "AZUL", "RECIFE", "PE", "SBRF", 150.91, 17, 2, 400, 180, "3.25"),
         (2019, 1, "GLO", "GOL", None, None, "XXXX", 50.0, 4, 4, 800, 400, "6"),
-        (2019, 2, "GLO", "GOL", "MARACAJU", "MS", "SBSI", 80.01, 5, 5, 900, None, "7.5"),
-        (2019, 2, "GLO", "GOL", "SINOP", "MT", "SBSI", 80.01, 5, 5, 900, None, "7.5"),
+        (2019, 2, "GLO", "GOL", "NORTE", "MS", "SBXX", 80.01, 5, 5, 900, None, "7.5"),
+        (2019, 2, "GLO", "GOL", "SUL", "MT", "SBXX", 80.01, 5, 5, 900, None, "7.5"),
         (2020, 1, "AZU", "AZUL", "GUARULHOS", "SP", "SBGR", 410.5, 3, 6, 1900, 500, "9.0"),
     ],
     key=repr,
@@ -97,9 +97,9 @@ def test_process_fares(spark, lake):
             (2019, 1, "AZU", "SBMO", "SBRF", 100.1, 10),
             (2019, 1, "AZU", "SBMO", "SBRF", None, 2),
             (2019, 1, "GLO", "SBMO", "XXXX", 50.0, 4),
-            (2019, 1, "GLO", "SBMO", "SBSI", 70.0, None),
+            (2019, 1, "GLO", "SBMO", "SBXX", 70.0, None),
             (2019, 2, "AZU", "SBMO", "SBRF", 200.0, 0),
-            (2019, 2, "GLO", "SBMO", "SBSI", 80.005, 5),
+            (2019, 2, "GLO", "SBMO", "SBXX", 80.005, 5),
             (2020, 1, "AZU", "SBMO", "SBRF", 500.0, None),
             (2020, 1, "AZU", "SBMO", "SBGR", 410.5, 3),
         ],
@@ -118,8 +118,8 @@ def test_process_operations(spark, lake):
     ops = jobs.process_operations(spark, lake)
     assert ops.schema == StructType.fromDDL(OPERATION_SCHEMA)
     assert ops.count() == 6
-    assert rows(ops.where("destination = 'SBSI'")) == [
-        ("GLO", "GOL", "BRASILEIRA", 2019, 2, "SBMO", "SBSI", 5, 900, None, "7.5", 300, 1)
+    assert rows(ops.where("destination = 'SBXX'")) == [
+        ("GLO", "GOL", "BRASILEIRA", 2019, 2, "SBMO", "SBXX", 5, 900, None, "7.5", 300, 1)
     ]
 
 
@@ -187,6 +187,19 @@ def test_years_need_not_follow_each_other(spark, lake):
     assert {row.year for row in jobs.process_operations(spark, cfg).collect()} == {2018, 2020}
 
 
+@pytest.mark.parametrize("mode", ["all", "years"])
+def test_all_origins(spark, lake, mode):
+    cfg = replace(lake, origin=None, replace=mode)
+    month = f"{lake.landing}/price2020/202001.CSV"
+    with open(month, "a") as file:
+        file.write("2020;1;AZU;SBGR;SBGR;20,00;2\n")
+    # Without the origin's test, a header under another title is a row of no year.
+    for year in (2019, 2020):
+        put(Path(f"{lake.landing}/price{year}/{year}03.CSV"), f"{HEADER}\n")
+    added = (2020, 1, "AZU", "AZUL", "GUARULHOS", "SP", "SBGR", 20.0, 2, 6, 1900, 500, "9.0")
+    assert rows(jobs.run(spark, cfg)) == sorted([*CURATED, added], key=repr)
+
+
 def test_rejects_bad_configuration(lake):
     with pytest.raises(ValueError):
         replace(lake, replace="some")

@@ -104,14 +104,14 @@ def test_match_operations_keeps_fan_out_and_unmatched(spark):
 
 
 def test_lookup_place_keeps_unmatched_and_doubles_on_duplicates(spark):
-    df = spark.createDataFrame([("SBSI", 1), ("SBRF", 2), ("XXXX", 3)], "destination string, v int")
+    df = spark.createDataFrame([("SBXX", 1), ("SBRF", 2), ("XXXX", 3)], "destination string, v int")
     airports = spark.createDataFrame(
-        [("SBSI", "a", "Maracaju", "MS"), ("SBSI", "b", "Sinop", "MT"), ("SBRF", "c", "Recife", "PE")],
+        [("SBXX", "a", "Norte", "MS"), ("SBXX", "b", "Sul", "MT"), ("SBRF", "c", "Recife", "PE")],
         "icao string, airport string, city string, state string",
     )
     assert rows(lookup_place(df, airports)) == [
         ("SBRF", 2, "Recife", "PE"),
-        ("SBSI", 1, "Maracaju", "MS"),
-        ("SBSI", 1, "Sinop", "MT"),
+        ("SBXX", 1, "Norte", "MS"),
+        ("SBXX", 1, "Sul", "MT"),
         ("XXXX", 3, None, None),
     ]
