@@ -38,7 +38,7 @@ def weighted_mean(
     if null_weight not in ("include", "exclude"):
         raise ValueError(f"null_weight must be 'include' or 'exclude', not {null_weight!r}")
     mean_name = mean_name or f"{value}AVG"
-    v, w = F.col(value), F.col(weight)
+    v, w = F.col(value).cast("double"), F.col(weight)
     counted = w if null_weight == "include" else F.when(v.isNotNull(), w)
 
     if exact_scale is None:

@@ -73,6 +73,7 @@ def _write_years(df: DataFrame, path: str, cfg: LakeConfig, compact: bool = True
 
 
 def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """The month files of the run's years, cleaned and kept by year."""
     paths = month_paths(cfg.landing, cfg.years, cfg.months, cfg.month_file)
     raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
     target = cfg.processing_path(FARES)
@@ -82,6 +83,7 @@ def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
 
 def process_operations(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """The flight statistics of the run's years and origin, kept by year."""
     source = cfg.landing_path(cfg.operations_dir)
     raw = read_headered(spark, source, sep=";", **cfg.text_options)
     target = cfg.processing_path(OPERATIONS)
@@ -90,6 +92,7 @@ def process_operations(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
 
 def process_airports(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """The airport list as it is, all text."""
     source = cfg.landing_path(cfg.airports_dir)
     target = cfg.processing_path(AIRPORTS)
     write_processing(read_headered(spark, source, sep=",", **cfg.text_options), target)
@@ -97,6 +100,7 @@ def process_airports(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
 
 def process_distances(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """The distance documents under the schema found in them; no part of ``run``."""
     target = cfg.processing_path(DISTANCES)
     write_processing(read_json_documents(spark, cfg.landing_path(cfg.distances_path)), target)
     return read_zone(spark, target)

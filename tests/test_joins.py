@@ -1,5 +1,7 @@
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from farelake.operators import lookup_place, match, match_operations
@@ -46,6 +48,37 @@ def test_slices_change_nothing_in_a_shuffled_join(sides, how, conf):
     assert rows(match(left, right, KEYS, how, hot_rows=20)) == rows(plain)
 
 
+key = st.one_of(st.none(), st.integers(0, 4))
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(key, max_size=8),
+    st.lists(key, max_size=30),
+    st.sampled_from([1, 2, 5]),
+    st.sampled_from([1, 3, 1024]),
+    st.sampled_from(["left", "inner"]),
+)
+def test_match_equals_nested_loops(session, left_keys, right_keys, hot_rows, limit, how):
+    left = [(k, i) for i, k in enumerate(left_keys)]
+    right = [(k, i) for i, k in enumerate(right_keys)]
+    expected = []
+    for k, v in left:
+        found = [(k, v, w) for j, w in right if k is not None and j == k]
+        expected += found or ([(k, v, None)] if how == "left" else [])
+    got = match(
+        session.createDataFrame(left, "k int, v int"),
+        session.createDataFrame(right, "k int, w int").repartition(3),
+        ["k"],
+        how,
+        hot_rows,
+        limit,
+    )
+    assert rows(got) == sorted(expected, key=repr)
+
+
 def test_hot_keys(sides):
     _, right = sides
     assert rows(hot_keys(right, KEYS, hot_rows=100)) == [(3, "x", 3)]
