@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import decontam, exact, mixture, neardup, quality
+from farelake.llm import (
+    decontam,
+    exact,
+    language,
+    licences,
+    mixture,
+    neardup,
+    quality,
+    repeats,
+    scoring,
+    surrogates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,3 +89,44 @@ def op6_quality(spark, sf_dir):
 def op8_mixture(spark, sf_dir):
     mixed = mixture.mix_sources(_table(spark, sf_dir, "documents"), with_text=False)
     return mixture.taken_by_document(mixed)
+
+
+@query
+def op9_repeats(spark, sf_dir):
+    kept = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op7_licences(spark, sf_dir):
+    return licences.licences(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_language(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held = language.held_out("doc_id", 4, 2)
+    model = language.learn(docs.where(~held), "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held.alias("held_out"),
+        F.col("lang").alias("lang_pred"),
+        "score",
+        "languages",
+        "proportions",
+    )
+
+
+@query
+def op2_surrogates(spark, sf_dir):
+    return surrogates.replace_entities(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_entities", F.to_json("kinds").alias("kinds")
+    )
+
+
+@query
+def op10_lm_score(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held = scoring.held_out("doc_id", 10)
+    return scoring.score_texts(docs, ~held).withColumn("held_out", held)
