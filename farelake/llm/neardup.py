@@ -26,8 +26,9 @@ from farelake.llm.words import U64, Words, chunks, grams_inside, mix, seeds, seq
 
 #: Bytes of a sketch: for each of so many ranges of token hashes, a byte of the smallest in it.
 SKETCH = 256
-#: Children per set and node.
+#: Children per set and node, and the minwise functions of a level they are chosen from.
 BRANCHES = 2
+POOL = 4
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,7 @@ class Similarity:
     percent: int = 80
     trees: int = 4
     small: int = 256
-    depth: int = 8
+    depth: int = 4
 
     def missed(self) -> float:
         """Share of pairs right at the threshold that meet in no leaf of any tree."""
@@ -104,7 +105,7 @@ def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
 
     A text without words has null in the last three.
     """
-    functions = seeds(how.trees * BRANCHES + how.depth * BRANCHES, 11)
+    functions = seeds(how.trees * BRANCHES + (how.depth - 1) * POOL, 11)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -138,8 +139,7 @@ def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
 
     The functions of a node depend on the node alone, so its sets agree on them.
     """
-    first = how.trees * BRANCHES
-    pool = how.depth * BRANCHES
+    first = how.trees * BRANCHES + (level - 1) * POOL  # no level takes a function of another
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +151,7 @@ def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
             ids = batch.column("doc_id")
             for branch in range(BRANCHES):
                 if level:
-                    place = first + ((node >> U64(7)) + U64(level * BRANCHES + branch)) % U64(pool)
+                    place = U64(first) + ((node >> U64(7)) + U64(branch)) % U64(POOL)
                 else:
                     place = node * U64(BRANCHES) + U64(branch)
                 place = place.astype(np.int64)
@@ -191,44 +191,44 @@ def _leaves(sets: DataFrame, how: Similarity) -> DataFrame:
     return out
 
 
-def _similar(sketches: np.ndarray, sizes: np.ndarray, how: Similarity) -> np.ndarray:
-    """Estimated similarity of each pair of a node's sets, zero where it can't reach the threshold."""
-    n = len(sketches)
-    out = np.zeros((n, n), np.float32)
-    filled = sketches > 0
-    for i in range(n - 1):
-        rest = sketches[i + 1 :]
-        same = ((rest == sketches[i]) & filled[i]).sum(1)
-        either = (filled[i + 1 :] | filled[i]).sum(1)
-        out[i, i + 1 :] = same / np.maximum(1, either)
+def _similar(
+    sketches: np.ndarray, sizes: np.ndarray, rows: np.ndarray, columns: np.ndarray, how: Similarity
+) -> np.ndarray:
+    """Estimated similarity of sets to others, zero where it can't reach the threshold.
+
+    Bytes of sketches that are unlike differ in four of their eight bits on the
+    average, so the bits that differ tell how many bytes are unlike.
+    """
+    out = np.empty((len(rows), len(columns)), np.float32)
+    bits = np.ascontiguousarray(sketches.view(np.uint64).T)
+    filled = np.ascontiguousarray(np.packbits(sketches > 0, axis=1).view(np.uint64).T)
+    others, filled_others = bits[:, None, columns], filled[:, None, columns]
+    for i in range(0, len(rows), 32):
+        own = rows[i : i + 32]
+        unlike = np.bitwise_count(bits[:, own, None] ^ others).sum(0, dtype=np.uint16)
+        either = np.bitwise_count(filled[:, own, None] | filled_others).sum(0, dtype=np.uint16)
+        out[i : i + 32] = 1 - unlike / (4 * np.maximum(1, either).astype(np.float32))
     # Five deviations below the threshold.
     t = how.percent / 100
-    least = t - 5 * math.sqrt(t * (1 - t) / SKETCH)
-    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    out[(out < least) | (100 * small < how.percent * large)] = 0
+    least = t - 5 * math.sqrt(t * (1 - t) * 1.25 / SKETCH)
+    a, b = sizes[rows][:, None], sizes[columns]
+    out[(out < least) | (100 * np.minimum(a, b) < how.percent * np.maximum(a, b))] = 0
     return out
 
 
 def _forest(likeness: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of a spanning forest, the most similar ones first."""
-    above = np.flatnonzero(likeness)
-    order = above[np.argsort(-likeness.ravel()[above], kind="stable")]
-    parent = list(range(len(likeness)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    """Pairs of a spanning forest, the most similar ones (Prim's algorithm)."""
+    nearest, to = likeness[0].copy(), np.zeros(len(likeness), np.int64)
+    left = np.ones(len(likeness), bool)
+    left[0] = False
     out = []
-    for i, j in zip(*np.unravel_index(order, likeness.shape), strict=True):
-        a, b = root(i), root(j)
-        if a != b:
-            parent[a] = b
-            out.append((i, j))
-            if len(out) == len(parent) - 1:
-                break
+    for _ in range(len(likeness) - 1):
+        j = int(np.where(left, nearest, -1).argmax())
+        if nearest[j] > 0:
+            out.append((int(to[j]), j))
+        left[j] = False
+        closer = likeness[j] > nearest
+        nearest[closer], to[closer] = likeness[j][closer], j
     return out
 
 
@@ -249,43 +249,54 @@ def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held.combine_chunks().to_batches()[0]
 
 
-def _pairs(members: DataFrame, how: Similarity) -> DataFrame:
-    """Pairs ``a`` < ``b`` of a node that may be linked.
+def _pairs(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
+    """Pairs ``a`` < ``b`` of a node whose sketches are alike.
 
-    ``members`` have ``node``, ``doc_id``, ``n_shingles``, ``sketch`` and
-    ``component``. Where all components are null, the pairs are a spanning
-    forest of those that pass the sketch; elsewhere all such pairs of different
-    components.
+    ``members`` have ``node``, ``doc_id``, ``n_shingles`` and ``sketch``. A
+    spanning forest of all alike pairs is given; ``across`` gives all alike
+    pairs of different ``component``, of ``side`` 0 and 1 if a node has sides.
     """
 
+    def chosen(sketches: np.ndarray, sizes: np.ndarray, part: np.ndarray, side: np.ndarray) -> tuple:
+        everything = np.arange(len(sizes))
+        if not across:
+            found = _forest(_similar(sketches, sizes, everything, everything, how))
+            return tuple(np.array(found, np.int64).reshape(-1, 2).T)
+        if side[0] >= 0:
+            rows, columns = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        else:
+            kinds, counts = np.unique(part, return_counts=True)
+            rows, columns = np.flatnonzero(part != kinds[counts.argmax()]), everything
+        likeness = _similar(sketches, sizes, rows, columns, how)
+        likeness[part[rows][:, None] == part[columns]] = 0
+        x, y = np.nonzero(likeness)
+        return rows[x], columns[y]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _by_node(batches):
-            nodes = batch.column("node").to_numpy(zero_copy_only=False)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            sizes = batch.column("n_shingles").to_numpy(zero_copy_only=False)
-            parts = batch.column("component").fill_null(-1).to_numpy(zero_copy_only=False)
+            nodes, ids, sizes = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "doc_id", "n_shingles")
+            )
             sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8)
             sketches = sketches.reshape(len(ids), SKETCH)
+            parts, sides = (
+                batch.column(c).to_numpy(zero_copy_only=False) if across else ids
+                for c in ("component", "side")
+            )
             cuts = np.flatnonzero(np.diff(nodes)) + 1
             a, b = [], []
             for i, j in zip(np.append(0, cuts), np.append(cuts, len(ids)), strict=True):
-                part = parts[i:j]
-                if j - i < 2 or (part[0] >= 0 and (part == part[0]).all()):
-                    continue
-                likeness = _similar(sketches[i:j], sizes[i:j], how)
-                if part[0] < 0:
-                    found = _forest(likeness)
-                else:
-                    likeness[part[:, None] == part] = 0
-                    found = list(zip(*np.nonzero(likeness), strict=True))
-                a += [ids[i + x] for x, _ in found]
-                b += [ids[i + y] for _, y in found]
-            x, y = np.array(a, np.int64), np.array(b, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
-            )
+                if j - i > 1:
+                    x, y = chosen(sketches[i:j], sizes[i:j], parts[i:j], sides[i:j])
+                    a.append(ids[i + x])
+                    b.append(ids[i + y])
+            if a:
+                x, y = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
+                )
 
-    columns = ["node", "doc_id", "n_shingles", "sketch", "component"]
+    columns = ["node", "doc_id", "n_shingles", "sketch", *(["component", "side"] if across else [])]
     dealt = members.select(*columns).repartition("node").sortWithinPartitions("node", "doc_id")
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
@@ -313,7 +324,9 @@ def _across(leaves: DataFrame, labelled: DataFrame, how: Similarity) -> DataFram
         .select("node")
     )
     members = members.join(mixed, "node")
-    small = members.where(F.col("n") <= how.small).select("node", "doc_id", "component")
+    small = members.where(F.col("n") <= how.small).select(
+        "node", "doc_id", "component", F.lit(-1).alias("side")
+    )
     large = members.where(F.col("n") > how.small)
     sizes = large.groupBy("node", "component").agg(F.count("*").alias("rows"))
     commonest = sizes.groupBy("node").agg(
@@ -330,19 +343,19 @@ def _across(leaves: DataFrame, labelled: DataFrame, how: Similarity) -> DataFram
     }
     blocks = large.withColumns(sides).withColumn("hash", F.xxhash64("doc_id", "node"))
     queries = blocks.where(other).select(
-        "node", "doc_id", "component",
+        "node", "doc_id", "component", F.lit(0).alias("side"),
         F.pmod("hash", "mine").alias("i"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("theirs") - 1)).alias("j"),
     )
     against = blocks.select(
-        "node", "doc_id", "component",
+        "node", "doc_id", "component", F.lit(1).alias("side"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("mine") - 1)).alias("i"),
         F.pmod("hash", "theirs").alias("j"),
     )
     tiles = queries.unionByName(against).select(
-        F.xxhash64("node", "i", "j").alias("node"), "doc_id", "component"
+        F.xxhash64("node", "i", "j").alias("node"), "doc_id", "component", "side"
     )
-    return small.unionByName(tiles.distinct())
+    return small.unionByName(tiles)
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
@@ -410,7 +423,7 @@ def near_duplicates(
     told = sets.select("doc_id", "n_shingles", "sketch")
 
     alone = _blocks(leaves, how).join(told, "doc_id")
-    pairs = written(_pairs(alone.withColumn("component", F.lit(None).cast("bigint")), how), "pairs")
+    pairs = written(_pairs(alone, how, across=False), "pairs")
     links = written(_linked(pairs, rows, how), "linked")
     parts = written(components(links), "components")
 
@@ -420,7 +433,7 @@ def near_duplicates(
         "doc_id", label
     )
     across = _across(leaves, labelled, how).join(told, "doc_id")
-    more = written(_pairs(across, how).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = written(_pairs(across, how, across=True).join(pairs, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(written(_linked(more, rows, how), "linked"))
     parts = written(components(links), "components")
 
