@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.checks import proxy
@@ -15,7 +15,8 @@ MONTH_FILE = "period={year}{month:02d}.CSV"
 # What the first line of a fare file says.
 FARE_HEADER = ("ANO", "MES", "EMPRESA", "ORIGEM", "DESTINO", PRICE_SENTINEL, "ASSENTOS")
 
-JSON_ROWS_PER_FILE = 10_000
+# Few, so that small tables give several documents too.
+JSON_ROWS_PER_FILE = 400
 
 
 def fare_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +30,21 @@ def fare_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_month_files(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """One file per month of each year, a header line in every one."""
+def stray_year(period: Column) -> Column:
+    """A year cell that is empty for companies 0, 7, 14..., and the year before for 1, 8, 15...."""
+    kind = F.col("company").cast("int") % 7
+    before = (F.substring(period, 1, 4).cast("int") - 1).cast("string")
+    return F.when(kind == 0, F.lit(None)).when(kind == 1, before).otherwise(F.col("year"))
+
+
+def write_month_files(
+    spark: SparkSession, sf_dir: str, path: str, stray: bool = False, seats: Column | None = None
+) -> str:
+    """One file per month of each year, a header line in every one.
+
+    ``stray`` gives some rows another year cell than their file's. Other
+    ``seats`` may be given, and rows for which these are NULL are left out.
+    """
     months = spark.range(12 * len(proxy.YEARS))
     year = (F.lit(proxy.YEARS[0]) + F.floor(F.col("id") / 12)).cast("string")
     month = F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0")
@@ -38,7 +52,12 @@ def write_month_files(spark: SparkSession, sf_dir: str, path: str) -> str:
         *[F.lit(title).alias(name) for name, title in zip(FARE_COLUMNS, FARE_HEADER)],
         F.concat(year, month, F.lit(".CSV")).alias("period"),
     )
-    rows = fare_rows(spark, sf_dir).unionAll(headers).hint("rebalance", "period")
+    fares = fare_rows(spark, sf_dir)
+    if seats is not None:
+        fares = fares.withColumn("seats", seats).where(F.col("seats").isNotNull())
+    if stray:
+        fares = fares.withColumn("year", stray_year(F.col("period")))
+    rows = fares.unionAll(headers).hint("rebalance", "period")
     rows.write.partitionBy("period").csv(path, sep=";")
     return path
 

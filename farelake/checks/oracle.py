@@ -6,6 +6,55 @@ from farelake.checks.landing import FARE_HEADER
 from farelake.checks.proxy import YEARS
 from farelake.config import OPERATION_COLUMNS
 
+
+
+def _mean(fare: str) -> str:
+    """Means in whole cents, half-up, for prices of two places that are not negative."""
+    return f"""
+        SELECT year, month, company, origin, destination,
+               (2 * CAST(SUM(CAST(ROUND(price * 100) AS BIGINT) * seats) AS BIGINT)
+                + NULLIF(CAST(SUM(seats) AS BIGINT), 0))
+               // (2 * NULLIF(CAST(SUM(seats) AS BIGINT), 0)) / 100.0 AS priceAVG,
+               CAST(SUM(seats) AS BIGINT) AS seats
+        FROM {fare} GROUP BY year, month, company, origin, destination"""
+
+
+def _joined(means: str, ops: str) -> str:
+    return f"""
+        SELECT a.year, a.month, a.company, a.origin, a.destination, a.priceAVG,
+               a.seats AS seatsAVG, b.companyName, b.takeOffs, b.distance, b.seats AS seatsAll,
+               b.time
+        FROM {means} a LEFT JOIN {ops} b
+          ON a.year = b.year AND a.month = b.month AND a.company = b.company
+         AND a.origin = b.origin AND a.destination = b.destination"""
+
+
+def _curated(joined: str, guard: bool = True) -> str:
+    return f"""
+        SELECT j.year, j.month, j.company, j.companyName, c.city, c.state, j.destination,
+               j.priceAVG, j.seatsAVG, j.takeOffs, j.distance, j.seatsAll, j.time
+        FROM {joined} j LEFT JOIN airport c ON j.destination = c.icao
+        {"WHERE j.time IS NOT NULL" if guard else ""}"""
+
+
+def _exact_mean(units: str, per: int, digits: int) -> str:
+    """Means of whole units, ``per`` of them to one, half-up in integers only."""
+    scale = per // 10**digits
+    return f"""
+        SELECT year, month, company, origin, destination,
+               CAST((2 * total + {scale} * weight) // (2 * {scale} * weight) AS DOUBLE)
+               / {float(10**digits)} AS priceAVG,
+               CAST(weight AS BIGINT) AS seats
+        FROM (SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month,
+                     l_suppkey AS company, l_returnflag AS origin,
+                     CAST(l_partkey % 30 AS INT) AS destination,
+                     SUM(CAST({units} AS HUGEINT) * CAST(l_quantity AS INT)) AS total,
+                     SUM(CAST(l_quantity AS INT)) AS weight
+              FROM lineitem GROUP BY ALL)"""
+
+
+_CENTS = "CAST(ROUND(l_extendedprice * 100) AS BIGINT)"
+
 # The relations of the checks; each may use those above it.
 RELATIONS = {
     "fare_raw": """
@@ -19,12 +68,13 @@ RELATIONS = {
                END AS price_t,
                CAST(CAST(l_quantity AS INT) - 1 AS VARCHAR) AS seats_t
         FROM lineitem""",
-    "fare": """
+    "fare_all": """
         SELECT TRY_CAST(year_t AS INT) AS year, TRY_CAST(month_t AS INT) AS month,
                company, origin, destination,
                TRY_CAST(replace(price_t, ',', '.') AS DOUBLE) AS price,
                TRY_CAST(seats_t AS INT) AS seats
-        FROM fare_raw WHERE price_t <> 'Tarifa-N' AND origin = 'N'""",
+        FROM fare_raw WHERE price_t <> 'Tarifa-N'""",
+    "fare": "SELECT * FROM fare_all WHERE origin = 'N'",
     "operation_source": """
         SELECT l_suppkey AS company, concat('carrier-', CAST(l_suppkey AS VARCHAR)) AS companyName,
                CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month,
@@ -35,9 +85,10 @@ RELATIONS = {
                     ELSE replace(CAST(CAST(l_tax AS DECIMAL(10,2)) AS VARCHAR), '.', ',')
                END AS time
         FROM lineitem""",
-    "ops": """
+    "ops_all": """
         SELECT * REPLACE (replace(time, ',', '.') AS time)
-        FROM operation_source WHERE year >= 1995 AND year <= 1998 AND origin = 'N'""",
+        FROM operation_source WHERE year >= 1995 AND year <= 1998""",
+    "ops": "SELECT * FROM ops_all WHERE origin = 'N'",
     "operation_landing": """
         SELECT *, CASE WHEN company % 2 = 0 THEN 'BRASILEIRA' ELSE 'ESTRANGEIRA' END AS nationality,
                seats - 1 AS paidPassengers, takeOffs % 3 AS noPaidPassengers
@@ -45,25 +96,16 @@ RELATIONS = {
     "airport": """
         SELECT n_nationkey AS icao, n_name AS city, r_name AS state
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
-    "avg_fare": """
-        SELECT year, month, company, origin, destination,
-               (2 * CAST(SUM(CAST(ROUND(price * 100) AS BIGINT) * seats) AS BIGINT)
-                + NULLIF(CAST(SUM(seats) AS BIGINT), 0))
-               // (2 * NULLIF(CAST(SUM(seats) AS BIGINT), 0)) / 100.0 AS priceAVG,
-               CAST(SUM(seats) AS BIGINT) AS seats
-        FROM fare GROUP BY year, month, company, origin, destination""",
-    "joined": """
-        SELECT a.year, a.month, a.company, a.origin, a.destination, a.priceAVG,
-               a.seats AS seatsAVG, b.companyName, b.takeOffs, b.distance, b.seats AS seatsAll,
-               b.time
-        FROM avg_fare a LEFT JOIN ops b
-          ON a.year = b.year AND a.month = b.month AND a.company = b.company
-         AND a.origin = b.origin AND a.destination = b.destination""",
-    "curated": """
-        SELECT j.year, j.month, j.company, j.companyName, c.city, c.state, j.destination,
-               j.priceAVG, j.seatsAVG, j.takeOffs, j.distance, j.seatsAll, j.time
-        FROM joined j LEFT JOIN airport c ON j.destination = c.icao
-        WHERE j.time IS NOT NULL""",
+    "avg_fare": _mean("fare"),
+    "joined": _joined("avg_fare", "ops"),
+    "curated": _curated("joined"),
+    "unguarded": _curated("joined", guard=False),
+    "avg_fare_all": _mean("fare_all"),
+    "joined_all": _joined("avg_fare_all", "ops_all"),
+    "curated_all": _curated("joined_all"),
+    "fare_again": "SELECT * REPLACE (7 AS seats) FROM fare WHERE year = 1997",
+    "avg_fare_again": _mean("fare_again"),
+    "joined_again": _joined("avg_fare_again", "ops"),
     "placed": """
         SELECT f.*, c.city, c.state FROM fare f LEFT JOIN airport c ON f.destination = c.icao""",
 }
@@ -102,6 +144,12 @@ _FREQUENCY = "SELECT destination, count(origin) AS n FROM fare GROUP BY destinat
 
 _CUSTOMER_JSON = "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer"
 
+# The fares as the job keeps them: keys as text, the year of the file, what its cell says.
+_AS_TEXT = "CAST(company AS VARCHAR) AS company, CAST(destination AS VARCHAR) AS destination"
+_ZONE = f"year, month, origin, price, seats, {_AS_TEXT}"
+_STRAY = "CASE company % 7 WHEN 0 THEN NULL WHEN 1 THEN year - 1 ELSE year END"
+_UNREAD = "CASE WHEN price IS NULL THEN 'price' END AS unread"
+
 _SELECTS = {
     "curate_all_years": "SELECT * FROM curated",
     "curate_yearly": """
@@ -121,6 +169,9 @@ _SELECTS = {
                      CAST(SUM(CAST(ROUND(price * 100) AS BIGINT) * seats) AS BIGINT) AS cents,
                      CAST(SUM(seats) FILTER (WHERE price IS NOT NULL) AS BIGINT) AS weight
               FROM fare GROUP BY year, month, company, origin, destination)""",
+    "agg_weighted_mean_all_origins": "SELECT * FROM avg_fare_all",
+    "agg_weighted_mean_large": _exact_mean(f"{_CENTS} * 100000 + l_linenumber * 37", 100, 2),
+    "agg_weighted_mean_places": _exact_mean(f"{_CENTS} * 7 + l_linenumber", 10_000_000, 4),
     "agg_route_frequency": _FREQUENCY,
     "topk_routes": f"{_FREQUENCY} ORDER BY n DESC, destination LIMIT 10",
     "sort_by_month": "SELECT * FROM avg_fare ORDER BY month, year, company, origin, destination",
@@ -129,7 +180,17 @@ _SELECTS = {
         for name in ("fare_raw", "fare", "ops", "airport", "avg_fare", "curated")
     ),
     "join_left_multi_key": "SELECT * FROM joined",
+    "join_left_multi_key_all_origins": "SELECT * FROM joined_all",
     "join_left_lookup": "SELECT * FROM placed",
+    "join_left_lookup_repeated_codes": """
+        SELECT f.*, c.city, c.state FROM fare_all f LEFT JOIN (
+            SELECT * FROM airport
+            UNION ALL
+            SELECT icao, 'OLD ' || city AS city, state FROM airport WHERE icao % 3 = 0
+        ) c ON f.destination = c.icao""",
+    "join_chain_unguarded": "SELECT * FROM unguarded",
+    "quality_chain_coverage": "SELECT count(*) AS rows, count(time) AS matched FROM unguarded",
+    "quality_curated_unmatched": f"SELECT {_text(_CURATED)} FROM curated WHERE city IS NULL",
     "filter_sentinel": "SELECT * FROM fare_raw WHERE price_t <> 'Tarifa-N'",
     "filter_origin": "SELECT * FROM fare_raw WHERE origin = 'N'",
     "filter_period_origin": """
@@ -179,29 +240,40 @@ _SELECTS = {
         FROM fare""",
     "sink_curated_csv_roundtrip": f"SELECT {_text(_CURATED)} FROM curated",
     "sink_publish_table": "SELECT * FROM curated",
+    "sink_publish_one_table": """
+        SELECT * REPLACE (CASE WHEN year = 1997 THEN seatsAll + 1 ELSE seatsAll END AS seatsAll)
+        FROM curated WHERE year <> 1998""",
     "quality_unmatched_lookup": "SELECT * FROM placed WHERE city IS NULL",
     "quality_blank_keys": "SELECT * FROM fare_raw WHERE price_t IS NULL OR trim(price_t) = ''",
     "quality_match_coverage": "SELECT count(*) AS rows, count(time) AS matched FROM joined",
     "quality_duplicate_keys": """
         SELECT year, month, company, origin, destination, count(*) AS n
         FROM ops GROUP BY year, month, company, origin, destination HAVING count(*) > 1""",
-    "job_process_fares": """
-        SELECT * REPLACE (CAST(company AS VARCHAR) AS company,
-                          CAST(destination AS VARCHAR) AS destination)
-        FROM fare""",
+    "job_process_fares": f"SELECT {_ZONE}, year AS yearCell, {_UNREAD} FROM fare",
+    "job_run_stray_years": f"SELECT {_ZONE}, {_STRAY} AS yearCell, {_UNREAD} FROM fare",
+    "job_odd_cells": f"""
+        SELECT 'fares' AS relation, year, count(*) AS rows, count(unread) AS unread,
+               count(*) FILTER (WHERE yearCell IS DISTINCT FROM year) AS otherYear
+        FROM (SELECT {_ZONE}, {_STRAY} AS yearCell, {_UNREAD} FROM fare)
+        WHERE year <= 1998 GROUP BY year
+        UNION ALL
+        SELECT 'statistics', year, count(*), 0, NULL FROM ops GROUP BY year""",
     "job_process_airports": """
         SELECT CAST(c_custkey AS VARCHAR) AS icao, c_name AS airport, city, state
         FROM customer JOIN airport ON c_nationkey = icao""",
     "job_process_operations": """
         SELECT CAST(company AS VARCHAR) AS company, companyName, nationality, year, month, origin,
                CAST(destination AS VARCHAR) AS destination, takeOffs, distance, seats,
-               replace(time, ',', '.') AS time, paidPassengers, noPaidPassengers
+               replace(time, ',', '.') AS time, paidPassengers, noPaidPassengers,
+               CAST(NULL AS VARCHAR) AS unread
         FROM operation_landing WHERE year BETWEEN 1995 AND 1998 AND origin = 'N'""",
     "job_process_distances": _CUSTOMER_JSON,
-    "job_run": """
-        SELECT * REPLACE (CAST(company AS VARCHAR) AS company,
-                          CAST(destination AS VARCHAR) AS destination)
-        FROM curated""",
+    "job_run": f"SELECT * REPLACE ({_AS_TEXT}) FROM curated",
+    "job_run_all_origins": f"SELECT * REPLACE ({_AS_TEXT}) FROM curated_all",
+    "job_refresh_years": f"""
+        SELECT * REPLACE ({_AS_TEXT}) FROM curated WHERE year NOT IN (1997, 1998)
+        UNION ALL
+        SELECT * REPLACE ({_AS_TEXT}) FROM ({_curated("joined_again")})""",
 }
 
 ORACLE = {name: _with(select) for name, select in _SELECTS.items()}

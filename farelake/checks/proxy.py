@@ -43,8 +43,10 @@ def fare_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fare_raw(spark, sf_dir).where(F.col("origin") == ORIGIN)
+def fare(spark: SparkSession, sf_dir: str, origin: str | None = ORIGIN) -> DataFrame:
+    raw = fare_raw(spark, sf_dir)
+    if origin is not None:
+        raw = raw.where(F.col("origin") == origin)
     named = drop_sentinel(raw, "price_t", PRICE_SENTINEL).withColumnsRenamed(
         {"year_t": "year", "month_t": "month", "price_t": "price", "seats_t": "seats"}
     )
@@ -53,6 +55,24 @@ def fare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def priced(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Fares with prices as doubles of ten digits before the point, or of seven places after it."""
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    price = {
+        "large": (cents * 100_000 + F.col("l_linenumber") * 37).cast("double") / 100,
+        "places": (cents * 7 + F.col("l_linenumber")).cast("double") / 10_000_000,
+    }[kind]
+    return table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias("year"),
+        F.month("l_shipdate").alias("month"),
+        F.col("l_suppkey").alias("company"),
+        F.col("l_returnflag").alias("origin"),
+        (F.col("l_partkey") % 30).cast("int").alias("destination"),
+        price.alias("price"),
+        F.col("l_quantity").cast("int").alias("seats"),
+    )
+
+
 def operation_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operations of all years and origins, hours still with a decimal comma."""
     line = F.col("l_linenumber")
@@ -70,9 +90,9 @@ def operation_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ops(spark: SparkSession, sf_dir: str, origin: str | None = ORIGIN) -> DataFrame:
     source = operation_source(spark, sf_dir)
-    sliced = slice_period(source, min(OPERATION_YEARS), max(OPERATION_YEARS), ORIGIN)
+    sliced = slice_period(source, min(OPERATION_YEARS), max(OPERATION_YEARS), origin)
     return sliced.withColumn("time", normalize_decimal_text("time"))
 
 
@@ -88,3 +108,10 @@ def airport(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def avg_fare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_mean(fare(spark, sf_dir), FARE_KEYS)
+
+
+def repeated_airport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list with every third code once more, under another city."""
+    places = airport(spark, sf_dir)
+    again = places.where(F.col("icao") % 3 == 0)
+    return places.unionAll(again.withColumn("city", F.concat(F.lit("OLD "), "city")))

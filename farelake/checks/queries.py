@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,10 @@ from farelake.operators import (
     weighted_mean,
 )
 from farelake.plans import jobs
-from farelake.plans.curate import curate
+from farelake.plans.curate import curate_means, written_means
 from farelake.plans.curate import curate_yearly as curate_in_year
 from farelake.session import scratch_path
-from farelake.sinks import publish_table, write_curated_csv, write_processing
+from farelake.sinks import publish_table, publish_years, write_curated_csv, write_processing
 from farelake.sources import (
     month_paths,
     read_headered,
@@ -53,6 +54,7 @@ from farelake.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 YEAR = 1997
+DATABASES = "farelake_check"
 QUERIES: dict[str, Query] = {}
 
 
@@ -63,15 +65,26 @@ def query(f: Query) -> Query:
 
 def _database(spark: SparkSession) -> str:
     """A new database of the session catalogue, kept in the scratch folder."""
-    path = scratch_path(spark, "warehouse")
+    path = scratch_path(spark, DATABASES)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
     return name
 
 
-def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curate(
-        proxy.fare(spark, sf_dir), proxy.ops(spark, sf_dir), proxy.airport(spark, sf_dir)
+def drop_databases(spark: SparkSession) -> None:
+    """Drop what the checks have left in the catalogue; files lie in the scratch folder."""
+    for row in spark.sql(f"SHOW DATABASES LIKE '{DATABASES}_*'").collect():
+        spark.sql(f"DROP DATABASE {row.namespace} CASCADE")
+
+
+def _means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_means(proxy.fare(spark, sf_dir), scratch_path(spark, "means"))
+
+
+def _curated(spark: SparkSession, sf_dir: str, **options: bool) -> DataFrame:
+    """Curated from written means, as the jobs do."""
+    return curate_means(
+        _means(spark, sf_dir), proxy.ops(spark, sf_dir), proxy.airport(spark, sf_dir), **options
     )
 
 
@@ -86,10 +99,33 @@ def curate_all_years(spark, sf_dir):
 @query
 def curate_yearly(spark, sf_dir):
     return curate_in_year(
-        proxy.fare(spark, sf_dir), proxy.ops(spark, sf_dir), proxy.airport(spark, sf_dir), YEAR
+        proxy.fare(spark, sf_dir, None),
+        proxy.ops(spark, sf_dir, None),
+        proxy.airport(spark, sf_dir),
+        YEAR,
+        proxy.ORIGIN,
     )
 
 
+@query
+def join_chain_unguarded(spark, sf_dir):
+    """Every mean fare, matched or not."""
+    return _curated(spark, sf_dir, guard=False)
+
+
+@query
+def quality_chain_coverage(spark, sf_dir):
+    return match_coverage(_curated(spark, sf_dir, guard=False), "time")
+
+
+@query
+def quality_curated_unmatched(spark, sf_dir):
+    """Rows of the curated files that have no city."""
+    path = scratch_path(spark, "curated")
+    write_curated_csv(_curated(spark, sf_dir), path)
+    return unmatched(read_headered(spark, path), "city")
+
+
 # Measures and orderings
 
 
@@ -103,6 +139,23 @@ def agg_weighted_mean_exclude_null(spark, sf_dir):
     return weighted_mean(proxy.fare(spark, sf_dir), FARE_KEYS, null_weight="exclude")
 
 
+@query
+def agg_weighted_mean_all_origins(spark, sf_dir):
+    return weighted_mean(proxy.fare(spark, sf_dir, None), FARE_KEYS)
+
+
+@query
+def agg_weighted_mean_large(spark, sf_dir):
+    """Prices of up to ten digits before the point."""
+    return weighted_mean(proxy.priced(spark, sf_dir, "large"), FARE_KEYS)
+
+
+@query
+def agg_weighted_mean_places(spark, sf_dir):
+    """Prices with seven places."""
+    return weighted_mean(proxy.priced(spark, sf_dir, "places"), FARE_KEYS, digits=4)
+
+
 @query
 def agg_route_frequency(spark, sf_dir):
     return route_frequency(proxy.fare(spark, sf_dir))
@@ -143,11 +196,23 @@ def join_left_multi_key(spark, sf_dir):
     return match_operations(proxy.avg_fare(spark, sf_dir), proxy.ops(spark, sf_dir))
 
 
+@query
+def join_left_multi_key_all_origins(spark, sf_dir):
+    means = weighted_mean(proxy.fare(spark, sf_dir, None), FARE_KEYS)
+    return match_operations(means, proxy.ops(spark, sf_dir, None))
+
+
 @query
 def join_left_lookup(spark, sf_dir):
     return lookup_place(proxy.fare(spark, sf_dir), proxy.airport(spark, sf_dir))
 
 
+@query
+def join_left_lookup_repeated_codes(spark, sf_dir):
+    """A list in which some codes stand twice, under different places."""
+    return lookup_place(proxy.fare(spark, sf_dir, None), proxy.repeated_airport(spark, sf_dir))
+
+
 # Filters
 
 
@@ -323,6 +388,17 @@ def sink_publish_table(spark, sf_dir):
     return spark.table(table)
 
 
+@query
+def sink_publish_one_table(spark, sf_dir):
+    """One table by year, of which one year is refreshed with other seats and one emptied."""
+    table = f"{_database(spark)}.curated"
+    rows = _curated(spark, sf_dir)
+    publish_years(rows, table, proxy.OPERATION_YEARS)
+    changed = rows.where(F.col("year") == YEAR).withColumn("seatsAll", F.col("seatsAll") + 1)
+    publish_years(changed, table, [YEAR, YEAR + 1])
+    return spark.table(table).select(*CURATED_COLUMNS)
+
+
 # Quality
 
 
@@ -392,16 +468,60 @@ def job_process_distances(spark, sf_dir):
     return jobs.process_distances(spark, cfg)
 
 
-@query
-def job_run(spark, sf_dir):
-    """Landing files to warehouse tables; the rows are read from the tables."""
+def _run(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
+    """Landing files to warehouse tables."""
     table = _database(spark) + ".data{year}"
-    cfg = replace(_lake(spark), years=proxy.OPERATION_YEARS, table=table)
+    cfg = replace(_lake(spark), years=proxy.OPERATION_YEARS, table=table, **options)
     landing.write_month_files(spark, sf_dir, cfg.landing_path("price"))
     landing.write_operations(spark, sf_dir, cfg.landing_path(cfg.operations_dir))
     landing.write_airports(spark, sf_dir, cfg.landing_path(cfg.airports_dir))
     jobs.run(spark, cfg)
-    first, *others = [spark.table(cfg.table.format(year=year)) for year in cfg.years]
-    for other in others:
-        first = first.unionByName(other)
-    return first.select(*CURATED_COLUMNS)
+    return cfg
+
+
+def _published(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    tables = [spark.table(cfg.table.format(year=year)) for year in cfg.years]
+    return reduce(DataFrame.unionByName, tables).select(*CURATED_COLUMNS)
+
+
+@query
+def job_run(spark, sf_dir):
+    """Landing files to warehouse tables; the rows are read from the tables."""
+    return _published(spark, _run(spark, sf_dir))
+
+
+@query
+def job_run_all_origins(spark, sf_dir):
+    return _published(spark, _run(spark, sf_dir, origin=None))
+
+
+@query
+def job_run_stray_years(spark, sf_dir):
+    """Fares whose year cell is empty or of another year still belong to their file's year."""
+    cfg = _lake(spark)
+    landing.write_month_files(spark, sf_dir, cfg.landing_path("price"), stray=True)
+    return jobs.process_fares(spark, cfg)
+
+
+@query
+def job_odd_cells(spark, sf_dir):
+    cfg = replace(_lake(spark), years=proxy.OPERATION_YEARS)
+    landing.write_month_files(spark, sf_dir, cfg.landing_path("price"), stray=True)
+    landing.write_operations(spark, sf_dir, cfg.landing_path(cfg.operations_dir))
+    return jobs.odd_cells(jobs.process_fares(spark, cfg), jobs.process_operations(spark, cfg))
+
+
+@query
+def job_refresh_years(spark, sf_dir):
+    """After a run, one year's files are changed, another's emptied, and only these refreshed."""
+    cfg = _run(spark, sf_dir)
+    changed, emptied = YEAR, YEAR + 1
+    root = f"{cfg.landing}-again"
+    landing.write_month_files(
+        spark, sf_dir, f"{root}/price", seats=F.when(F.col("year") == str(changed), "7")
+        .when(F.col("year") != str(emptied), F.col("seats"))
+    )
+    refresh = replace(cfg, years=(changed, emptied), replace="years")
+    jobs.process_fares(spark, replace(refresh, landing=root))
+    jobs.curate_and_publish(spark, refresh)
+    return _published(spark, cfg)

@@ -52,14 +52,16 @@ CURATED_COLUMNS = (
 )
 
 # The relations of the processing zone.
+# ``year`` is the year a fare's file is of, ``yearCell`` what its own cell says.
+# ``unread`` names the cells that hold text but no number; NULL where there are none.
 FARE_SCHEMA = (
     "year int, month int, company string, origin string, destination string, "
-    "price double, seats int"
+    "price double, seats int, yearCell int, unread string"
 )
 OPERATION_SCHEMA = (
     "company string, companyName string, nationality string, year int, month int, "
     "origin string, destination string, takeOffs int, distance int, seats int, "
-    "time string, paidPassengers int, noPaidPassengers int"
+    "time string, paidPassengers int, noPaidPassengers int, unread string"
 )
 MEAN_SCHEMA = (
     "year int, month int, company string, origin string, destination string, "
@@ -100,6 +102,8 @@ class LakeConfig:
     operations_dir: str = "statistics"
     airports_dir: str = "icao"
     distances_path: str = "dist"
+    # Without a schema each run reads the distance documents twice, once to find it.
+    distances_schema: str | None = None
     text_options: Mapping[str, str] = field(default_factory=dict)
 
     price_sentinel: str = PRICE_SENTINEL
@@ -110,8 +114,9 @@ class LakeConfig:
     # above, each exactly, and leaves others as they are.
     replace: str = "all"
 
-    # One table per year, or a single one when the pattern names no year.
-    # Without a format the tables go to the session catalogue.
+    # One table per year, or a single one by year when the pattern names none.
+    # Without a format the tables go to the session catalogue. A connector
+    # replaces tables whole, so it needs one per year to refresh some years.
     table: str = "data{year}"
     warehouse_format: str | None = None
     warehouse_options: Mapping[str, str] = field(default_factory=dict, repr=False)
@@ -121,6 +126,8 @@ class LakeConfig:
             raise ValueError(f"replace must be 'all' or 'years', not {self.replace!r}")
         if not self.years:
             raise ValueError("a run needs at least one year")
+        if self.warehouse_format and self.replace == "years" and "{year}" not in self.table:
+            raise ValueError("a connector refreshes single years only in a table per year")
 
     def landing_path(self, name: str) -> str:
         return f"{self.landing.rstrip('/')}/{name}"

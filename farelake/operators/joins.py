@@ -8,78 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.config import FARE_KEYS
-from farelake.operators.filters import require_non_null
 
-# A key with this many rows gets one more slice for each further such number.
-HOT_ROWS = 1_000_000
-# Keys treated as hot at most, which bounds what is broadcast to some megabytes.
-# They are the most frequent ones: any other holds under a 100,000th of all rows.
-MAX_HOT_KEYS = 100_000
 
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The most frequent keys and the number of slices each should be cut into.
-
-    Counts are combined before the shuffle and only key columns are read.
-    """
-    return (
-        require_non_null(df, keys)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(limit)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_slices"))
-    )
-
-
-def match(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    hot_rows: int | None = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Left or inner equi-join that keeps the right side's fan-out.
 
-    The right side may hold most of its rows under one key. Adaptive execution
-    cannot help there: it never splits the right side of a left join, nor a
-    join whose left side is an aggregate. So the rows of hot right keys are cut
-    into slices, and the left rows of those keys (few, as the left side has
-    been aggregated) are repeated once per slice. Keys that are not hot are
-    joined as usual. ``hot_rows=None`` joins plainly.
-
-    The slice of a row is the number of the task that reads it, modulo the
-    slices: a retried task gives its rows the same slice again, and equal rows
-    read by different tasks still part.
+    It is left to Spark: a side under its threshold is broadcast, and adaptive
+    execution splits a crowded key where both sides are plain shuffles. It
+    never splits the right side of a left join, nor a join above an aggregate,
+    so aggregate the left side into a written table first, as the jobs do.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    keys = list(keys)
-    if hot_rows is None:
-        return left.join(right, keys, how)
-
-    hot = hot_keys(right, keys, hot_rows, max_hot_keys)
-    sliced_right = right.join(F.broadcast(hot), keys, "left").withColumns(
-        {
-            "_slice": F.when(
-                F.col("_slices").isNotNull(), F.spark_partition_id() % F.col("_slices")
-            ).otherwise(F.lit(0)),
-            "_found": F.lit(True),
-        }
-    )
-    sliced_left = left.join(F.broadcast(hot), keys, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
-    )
-    joined = sliced_left.join(sliced_right.drop("_slices"), [*keys, "_slice"], how)
-    if how == "left":
-        # A hot key is matched for certain, so its unmatched copies are only
-        # slices that happened to get no right row.
-        joined = joined.where(F.col("_slices").isNull() | F.col("_found"))
-    return joined.drop("_slice", "_slices", "_found")
+    return left.join(right, list(keys), how)
 
 
 def match_operations(
@@ -87,7 +28,6 @@ def match_operations(
     ops: DataFrame,
     keys: Sequence[str] = FARE_KEYS,
     how: str = "left",
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Mean fares beside the operations with the same keys.
 
@@ -98,7 +38,7 @@ def match_operations(
         *keys, "companyName", "takeOffs", "distance", F.col("seats").alias("seatsAll"), "time"
     )
     paid = fares.withColumnRenamed("seats", "seatsAVG")
-    return match(paid, flown, keys, how, hot_rows).select(
+    return match(paid, flown, keys, how).select(
         *paid.columns, "companyName", "takeOffs", "distance", "seatsAll", "time"
     )
 

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from farelake.functions import half_up_ratio
+from farelake.functions import half_up_ratio, whole_units
+
+
+#: Decimal places that a value is taken to before it is summed.
+PLACES = 12
 
 
 def weighted_mean(
@@ -19,7 +23,6 @@ def weighted_mean(
     weight: str = "seats",
     digits: int = 2,
     null_weight: str = "include",
-    exact_scale: int | None = 6,
     mean_name: str | None = None,
 ) -> DataFrame:
     """Mean of ``value`` weighted by ``weight`` per key, and the weight's sum.
@@ -27,56 +30,33 @@ def weighted_mean(
     The weight of a row without a value still counts in the denominator unless
     ``null_weight='exclude'``. No weight at all, or a sum of zero, gives NULL.
 
-    Sums of doubles depend on the order of the rows, so that a mean on half a
-    cent may round either way from run to run. Values are therefore counted in
-    whole units of ``exact_scale`` places (at most six), whose product with the
-    weight is a 64-bit integer; integers add up exactly in any order, and the
-    mean is rounded half-up once. A row that does not fit (NaN, infinity, a
-    value or product too large) makes its group fall back to doubles, and
-    ``exact_scale=None`` does so for all groups.
+    There is one arithmetic for all groups: values are whole units of twelve
+    decimal places, their products with the weight are decimal integers, which
+    add up exactly in any order, and the mean is rounded half-up once. A group
+    has no mean, but NULL, if one of its values is NaN, infinite or 10^14 or
+    more, or if its sum of products outgrows 10^26.
     """
     if null_weight not in ("include", "exclude"):
         raise ValueError(f"null_weight must be 'include' or 'exclude', not {null_weight!r}")
-    mean_name = mean_name or f"{value}AVG"
-    v, w = F.col(value).cast("double"), F.col(weight)
-    counted = w if null_weight == "include" else F.when(v.isNotNull(), w)
-
-    if exact_scale is None:
-        return (
-            df.groupBy(*keys)
-            .agg(F.sum(v * w).alias("_sum"), F.sum(counted).alias(weight))
-            .select(
-                *keys,
-                F.round(F.try_divide("_sum", weight), digits).alias(mean_name),
-                weight,
-            )
-        )
-
-    if not 0 <= exact_scale <= 6:
-        raise ValueError("exact_scale must be between 0 and 6")
     if not isinstance(df.schema[weight].dataType, IntegralType):
         raise TypeError(f"an exact mean needs an integer weight, and {weight} is none")
-    unit = 10**exact_scale
-    # Below 10**15 units a double times the unit is off by less than half a unit.
-    units = F.when(F.abs(v) < 10.0**15 / unit, F.rint(v * F.lit(float(unit))).cast("bigint"))
-    product = F.try_multiply(units, w.cast("bigint"))
-    rounded_once = half_up_ratio(
-        F.col("_sum"), F.col(weight).cast("decimal(20,0)") * F.lit(unit), digits
+    mean_name = mean_name or f"{value}AVG"
+    w = F.col(weight)
+    units = whole_units(value, PLACES)
+    counted = w if null_weight == "include" else F.when(F.col(value).isNotNull(), w)
+    product = F.try_multiply(units, w.cast("decimal(20,0)"))
+    lost = F.col(value).isNotNull() & w.isNotNull() & product.isNull()
+    mean = half_up_ratio(
+        F.col("_sum"), F.col(weight).cast("decimal(20,0)") * F.lit(10**PLACES), digits
     )
-    whole = F.coalesce(F.col("_sum").cast("double") / F.lit(float(unit)), F.lit(0.0))
-    in_doubles = F.round(F.try_divide(whole + F.col("_rest"), weight), digits)
     return (
         df.groupBy(*keys)
         .agg(
-            F.sum(product.cast("decimal(28,0)")).alias("_sum"),
-            F.sum(F.when(product.isNull(), v * w)).alias("_rest"),
+            F.try_sum(product).alias("_sum"),
+            F.count_if(lost).alias("_lost"),
             F.sum(counted).alias(weight),
         )
-        .select(
-            *keys,
-            F.when(F.col("_rest").isNull(), rounded_once).otherwise(in_doubles).alias(mean_name),
-            weight,
-        )
+        .select(*keys, F.when(F.col("_lost") == 0, mean).alias(mean_name), weight)
     )
 
 

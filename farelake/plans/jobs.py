@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import partial
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.config import (
@@ -27,7 +28,13 @@ from farelake.operators import (
     weighted_mean,
 )
 from farelake.plans.curate import curate_means
-from farelake.sinks import publish_table, replace_years, write_curated_csv, write_processing
+from farelake.sinks import (
+    publish_table,
+    publish_years,
+    replace_years,
+    write_curated_csv,
+    write_processing,
+)
 from farelake.sources import (
     month_paths,
     read_headered,
@@ -43,28 +50,70 @@ DISTANCES = "dist"
 MEANS = "means"
 CURATED = "data"
 
+#: Years that are published at the same time.
+PUBLISHERS = 4
+
+
+def _unread(cells: dict[str, tuple[Column, Column]]) -> Column:
+    """The names of the cells that hold text and gave no number."""
+    named = [
+        F.when((F.trim(text) != "") & number.isNull(), name) for name, (text, number) in cells.items()
+    ]
+    return F.nullif(F.concat_ws(",", *named), F.lit("")).alias("unread")
+
 
-def clean_fares(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
-    """Raw fare rows of the origin, without header lines, typed."""
+def clean_fares(raw: DataFrame, cfg: LakeConfig, year: int) -> DataFrame:
+    """Raw fare rows of one year's files, of the origin, without header lines, typed.
+
+    A fare belongs to the year its file is of. What its own cell says is kept
+    beside it, and a cell that cannot be read is named, so both can be counted
+    (``odd_cells``) and neither loses a row.
+    """
     if cfg.origin is not None:
         raw = raw.where(F.col("origin") == cfg.origin)
     fares = drop_sentinel(raw, "price", cfg.price_sentinel)
     price = partial(parse_locale_decimal, grouping=cfg.price_grouping)
-    return cast_columns(
-        fares,
-        {"year": "int", "month": "int", "price": price, "seats": "int"},
+    types = {"year": "int", "month": "int", "price": price, "seats": "int"}
+    typed = cast_columns(
+        fares.withColumns({f"_{name}": F.col(name) for name in types}),
+        types,
         lenient=cfg.lenient_ints,
     )
+    cells = {name: (F.col(f"_{name}"), F.col(name)) for name in types}
+    return typed.select(
+        F.lit(year).alias("year"),
+        *[name for name in FARE_COLUMNS if name != "year"],
+        F.col("year").alias("yearCell"),
+        _unread(cells),
+    )
 
 
 def clean_operations(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
     """Raw statistics under short names, typed, of the years and the origin."""
+    texts = select_as(raw, OPERATION_COLUMNS)
     types = {name: "int" for name in OPERATION_INTEGERS} | {"time": normalize_decimal_text}
-    ops = cast_columns(select_as(raw, OPERATION_COLUMNS), types, lenient=cfg.lenient_ints)
+    ops = cast_columns(
+        texts.withColumns({f"_{name}": F.col(name) for name in OPERATION_INTEGERS}),
+        types,
+        lenient=cfg.lenient_ints,
+    )
+    cells = {name: (F.col(f"_{name}"), F.col(name)) for name in OPERATION_INTEGERS}
+    ops = ops.select(*OPERATION_COLUMNS.values(), _unread(cells))
     ops = slice_period(ops, min(cfg.years), max(cfg.years), cfg.origin)
     return ops.where(F.col("year").isin(*cfg.years))
 
 
+def odd_cells(fares: DataFrame, ops: DataFrame) -> DataFrame:
+    """Rows per relation and year, those with a cell not read, and fares whose year cell differs."""
+    strange = ~F.col("yearCell").eqNullSafe(F.col("year"))
+    counted = [F.count("*").alias("rows"), F.count("unread").alias("unread")]
+    of_fares = fares.groupBy("year").agg(*counted, F.count_if(strange).alias("otherYear"))
+    of_ops = ops.groupBy("year").agg(*counted, F.lit(None).cast("bigint").alias("otherYear"))
+    return of_fares.select(F.lit(FARES).alias("relation"), "*").unionAll(
+        of_ops.select(F.lit(OPERATIONS).alias("relation"), "*")
+    )
+
+
 def _write_years(df: DataFrame, path: str, cfg: LakeConfig, compact: bool = True) -> None:
     if cfg.replace == "years":
         replace_years(df, path, cfg.years, compact)
@@ -73,12 +122,16 @@ def _write_years(df: DataFrame, path: str, cfg: LakeConfig, compact: bool = True
 
 
 def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """The month files of the run's years, cleaned and kept by year."""
-    paths = month_paths(cfg.landing, cfg.years, cfg.months, cfg.month_file)
-    raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
+    """The month files of the run's years, cleaned and kept by the year of the file."""
+    by_year = []
+    for year in cfg.years:
+        paths = month_paths(cfg.landing, [year], cfg.months, cfg.month_file)
+        raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
+        by_year.append(clean_fares(raw, cfg, year))
     target = cfg.processing_path(FARES)
     # Files are worth a shuffle only where few rows are left of each split.
-    _write_years(clean_fares(raw, cfg), target, cfg, compact=cfg.origin is not None)
+    fares = reduce(DataFrame.unionAll, by_year)
+    _write_years(fares, target, cfg, compact=cfg.origin is not None)
     return read_zone(spark, target, schema=FARE_SCHEMA)
 
 
@@ -100,10 +153,11 @@ def process_airports(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
 
 def process_distances(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """The distance documents under the schema found in them; no part of ``run``."""
+    """The distance documents, under the schema found in them if none is given; no part of ``run``."""
     target = cfg.processing_path(DISTANCES)
-    write_processing(read_json_documents(spark, cfg.landing_path(cfg.distances_path)), target)
-    return read_zone(spark, target)
+    source = cfg.landing_path(cfg.distances_path)
+    write_processing(read_json_documents(spark, source, schema=cfg.distances_schema), target)
+    return read_zone(spark, target, schema=cfg.distances_schema)
 
 
 def curate_and_publish(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
@@ -116,6 +170,7 @@ def curate_and_publish(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
     The curated rows are kept as Parquet too, so that neither the curated files
     nor the tables run the joins again. A lost executor costs a part of a scan.
+    Years are written side by side, as many as the driver has threads for.
     """
     fares = read_zone(spark, cfg.processing_path(FARES), schema=FARE_SCHEMA)
     ops = read_zone(spark, cfg.processing_path(OPERATIONS), schema=OPERATION_SCHEMA)
@@ -125,22 +180,28 @@ def curate_and_publish(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     means = cfg.processing_path(MEANS)
     _write_years(weighted_mean(fares.where(in_run), FARE_KEYS), means, cfg)
     computed = curate_means(
-        read_zone(spark, means, schema=MEAN_SCHEMA).where(in_run), ops, airports, hot_rows=None
+        read_zone(spark, means, schema=MEAN_SCHEMA).where(in_run), ops.where(in_run), airports
     )
     target = cfg.processing_path(CURATED)
     _write_years(computed, target, cfg)
     curated = read_zone(spark, target, schema=CURATED_SCHEMA)
 
-    for year in cfg.years:
-        write_curated_csv(curated.where(F.col("year") == year), cfg.curated_path(f"{year}.csv"))
-    if "{year}" in cfg.table:
-        tables = {
-            cfg.table.format(year=year): curated.where(F.col("year") == year) for year in cfg.years
-        }
-    else:
-        tables = {cfg.table: curated}
-    for table, rows in tables.items():
-        publish_table(rows, table, cfg.warehouse_format, cfg.warehouse_options)
+    def publish(year: int) -> None:
+        rows = curated.where(F.col("year") == year)
+        write_curated_csv(rows, cfg.curated_path(f"{year}.csv"))
+        if "{year}" in cfg.table:
+            table = cfg.table.format(year=year)
+            publish_table(rows, table, cfg.warehouse_format, cfg.warehouse_options)
+
+    with ThreadPoolExecutor(PUBLISHERS) as threads:
+        list(threads.map(publish, cfg.years))
+    if "{year}" not in cfg.table:
+        if cfg.replace == "years":
+            publish_years(curated, cfg.table, cfg.years)
+        else:
+            publish_table(
+                curated, cfg.table, cfg.warehouse_format, cfg.warehouse_options, ["year"]
+            )
     return curated
 
 

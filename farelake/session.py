@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -26,19 +24,16 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
-@cache
-def _machine_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-")
+#: Where checks and benches keep the files they make, a folder that all executors share.
+SCRATCH = "spark.farelake.scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder the session names in ``spark.checkpoint.dir``.
+    """A new path below the folder that ``spark.farelake.scratch`` names.
 
-    A folder of this machine serves only where all tasks run on it.
+    Everything made on the way lies below it, so whoever has set it can remove it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(SCRATCH, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _machine_folder()
+        raise RuntimeError(f"set {SCRATCH} to a folder all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"

@@ -74,14 +74,35 @@ def publish_table(
     table: str,
     fmt: str | None = None,
     options: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Replace a warehouse table with ``df``.
 
     With a connector format the table name goes to it as ``dbtable`` beside the
-    options; without one the table is kept by the session catalogue.
+    options; without one the table is kept by the session catalogue, in the
+    given partitions.
     """
     writer = df.write.mode("overwrite").options(**(options or {}))
     if fmt is None:
-        writer.format("parquet").saveAsTable(table)
+        writer.format("parquet").partitionBy(*partition_by).saveAsTable(table)
     else:
         writer.format(fmt).option("dbtable", table).save()
+
+
+def publish_years(df: DataFrame, table: str, years: Iterable[int]) -> None:
+    """Make the partitions of ``years`` in a catalogue table hold exactly the rows of ``df``.
+
+    Files of other years are not touched. The table is made if it is not there;
+    one that is must be partitioned by year.
+    """
+    spark = df.sparkSession
+    owned = df.where(F.col("year").isin(*years))
+    if not spark.catalog.tableExists(table):
+        publish_table(owned, table, partition_by=["year"])
+        return
+    columns = [name for name in spark.table(table).columns if name != "year"]
+    for year in sorted(set(years)):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (year = {int(year)}) SELECT * FROM {{rows}}",
+            rows=owned.where(F.col("year") == year).select(*columns),
+        )

@@ -13,7 +13,12 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def session(tmp_path_factory):
     spark = local_session(
-        4, **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+        4,
+        **{
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('checkpoints')}",
+            "spark.farelake.scratch": str(tmp_path_factory.mktemp("scratch")),
+        },
     )
     yield spark
     spark.stop()

@@ -79,8 +79,10 @@ def half_up(ratio: Fraction, digits: int) -> float:
     ],
 )
 def test_half_up_ratio(spark, numerator, denominator, expected):
-    n = None if numerator is None else Decimal(numerator)
-    df = spark.createDataFrame([(n, denominator)], "n decimal(38,6), d bigint")
+    # Both sides in millionths, which are integers.
+    n = None if numerator is None else Decimal(numerator).scaleb(6)
+    d = None if denominator is None else Decimal(denominator).scaleb(6)
+    df = spark.createDataFrame([(n, d)], "n decimal(38,0), d decimal(26,0)")
     assert df.select(half_up_ratio(F.col("n"), F.col("d"), 2)).first()[0] == expected
 
 
@@ -97,8 +99,8 @@ def test_half_up_ratio(spark, numerator, denominator, expected):
     )
 )
 def test_half_up_ratio_is_exact(session, pairs):
-    data = [(i, Decimal(n).scaleb(-3), d) for i, (n, d) in enumerate(pairs)]
-    df = session.createDataFrame(data, "i int, n decimal(38,6), d bigint")
+    data = [(i, Decimal(n), Decimal(1000 * d)) for i, (n, d) in enumerate(pairs)]
+    df = session.createDataFrame(data, "i int, n decimal(38,0), d decimal(20,0)")
     got = df.select("i", half_up_ratio(F.col("n"), F.col("d"), 2).alias("x")).orderBy("i")
     expected = [half_up(Fraction(n, 1000 * d), 2) for n, d in pairs]
     assert [row.x for row in got.collect()] == expected

@@ -5,7 +5,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from farelake.operators import lookup_place, match, match_operations
-from farelake.operators.joins import hot_keys
 
 KEYS = ["k", "j"]
 
@@ -30,22 +29,12 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize(("hot_rows", "limit"), [(1, 1024), (9, 1024), (50, 1024), (5, 2), (5, 1)])
-def test_slices_change_nothing(sides, how, hot_rows, limit):
+def test_a_shuffled_join_gives_what_a_broadcast_does(sides, how, conf):
     left, right = sides
-    plain = match(left, right, KEYS, how, hot_rows=None)
-    sliced = match(left, right, KEYS, how, hot_rows=hot_rows, max_hot_keys=limit)
-    assert sliced.columns == plain.columns
-    assert rows(sliced) == rows(plain)
-
-
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_slices_change_nothing_in_a_shuffled_join(sides, how, conf):
+    broadcast = rows(match(left, right, KEYS, how))
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    left, right = sides
-    plain = match(left, right, KEYS, how, hot_rows=None)
-    assert rows(match(left, right, KEYS, how, hot_rows=20)) == rows(plain)
+    assert rows(match(left, right, KEYS, how)) == broadcast
 
 
 key = st.one_of(st.none(), st.integers(0, 4))
@@ -57,11 +46,9 @@ key = st.one_of(st.none(), st.integers(0, 4))
 @given(
     st.lists(key, max_size=8),
     st.lists(key, max_size=30),
-    st.sampled_from([1, 2, 5]),
-    st.sampled_from([1, 3, 1024]),
     st.sampled_from(["left", "inner"]),
 )
-def test_match_equals_nested_loops(session, left_keys, right_keys, hot_rows, limit, how):
+def test_match_equals_nested_loops(session, left_keys, right_keys, how):
     left = [(k, i) for i, k in enumerate(left_keys)]
     right = [(k, i) for i, k in enumerate(right_keys)]
     expected = []
@@ -73,30 +60,10 @@ def test_match_equals_nested_loops(session, left_keys, right_keys, hot_rows, lim
         session.createDataFrame(right, "k int, w int").repartition(3),
         ["k"],
         how,
-        hot_rows,
-        limit,
     )
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_hot_keys(sides):
-    _, right = sides
-    assert rows(hot_keys(right, KEYS, hot_rows=100)) == [(3, "x", 3)]
-    assert hot_keys(right, KEYS, hot_rows=1, limit=4).count() == 4
-    assert hot_keys(right, KEYS, hot_rows=1).where("j IS NULL").count() == 0
-
-
-def test_copies_of_one_row_part(sides):
-    """Equal rows read by different tasks end up in different slices."""
-    _, right = sides
-    hot = hot_keys(right, KEYS, hot_rows=100)
-    sliced = right.join(F.broadcast(hot), KEYS).select(
-        (F.spark_partition_id() % F.col("_slices")).alias("s")
-    )
-    counts = [r["count"] for r in sliced.groupBy("s").count().collect()]
-    assert len(counts) == 3 and max(counts) < 150
-
-
 def test_rejects_other_joins(sides):
     with pytest.raises(ValueError):
         match(*sides, KEYS, how="full")

@@ -57,8 +57,7 @@ def test_the_measure_combines_before_its_only_shuffle(zones):
 def test_curate_joins_inner_and_never_sorts_below_the_join(zones):
     plan = optimized(curate(*zones))
     assert re.search(r"Join Inner", plan)
-    # Only the list of hot keys is ordered, to cut it to its limit.
-    assert plan.count("Sort [") == plan.count("GlobalLimit") == 2
+    assert "Sort [" not in plan and "GlobalLimit" not in plan
 
 
 def test_curate_reads_only_what_it_needs(zones):
@@ -67,16 +66,13 @@ def test_curate_reads_only_what_it_needs(zones):
     assert set(FARE_KEYS) | {"price", "seats"} in schemas
     assert set(FARE_KEYS) | {"companyName", "takeOffs", "distance", "seats", "time"} in schemas
     assert {"icao", "city", "state"} in schemas
-    assert set(FARE_KEYS) | {"time"} in schemas
-    assert len([f for f in re.findall(r"PushedFilters: (.*)", plan) if "IsNotNull(time)" in f]) >= 2
+    assert len(schemas) == 3  # each relation is read once
+    assert [f for f in re.findall(r"PushedFilters: (.*)", plan) if "IsNotNull(time)" in f]
 
 
-def test_hot_keys_are_computed_once(spark):
-    relations = proxy.fare(spark, SF_DIR), proxy.ops(spark, SF_DIR), proxy.airport(spark, SF_DIR)
-    df = curate(*relations, hot_rows=1)
-    df.collect()
-    final = physical(df).split("Initial Plan")[0]
-    assert final.count("TakeOrderedAndProject") == final.count("ReusedExchange") == 1
+def test_a_year_reaches_both_sides_of_the_curated_relation(zones):
+    filters = re.findall(r"PushedFilters: (.*)", detailed(curate(*zones).where("year = 2019")))
+    assert len([f for f in filters if "EqualTo(year,2019)" in f]) == 2
 
 
 def test_year_prunes_partitions(spark, tmp_path):
@@ -98,7 +94,7 @@ def test_origin_reaches_the_text_reader(spark, tmp_path):
     (tmp_path / "a.csv").write_text("1;2\n")
     cfg = LakeConfig("l", "p", "c")
     raw = read_headerless(spark, str(tmp_path), FARE_SCHEMA.replace(",", "").split()[::2])
-    assert "EqualTo(origin,SBMO)" in detailed(jobs.clean_fares(raw, cfg))
+    assert "EqualTo(origin,SBMO)" in detailed(jobs.clean_fares(raw, cfg, 2019))
     titles = ";".join(jobs.OPERATION_COLUMNS)
     (tmp_path / "b").mkdir()
     (tmp_path / "b/b.csv").write_text(f"{titles};EXTRA\n")
@@ -110,7 +106,7 @@ def test_origin_reaches_the_text_reader(spark, tmp_path):
 def test_cleaning_never_shuffles(spark, tmp_path):
     (tmp_path / "a.csv").write_text("1;2\n")
     raw = read_headerless(spark, str(tmp_path), jobs.FARE_COLUMNS)
-    assert "Exchange" not in physical(jobs.clean_fares(raw, LakeConfig("l", "p", "c")))
+    assert "Exchange" not in physical(jobs.clean_fares(raw, LakeConfig("l", "p", "c"), 2019))
 
 
 def test_small_airports_are_broadcast_and_large_ones_are_not(zones, conf):
@@ -149,7 +145,7 @@ def test_a_crowded_destination_is_split(spark, conf):
 
 
 def test_written_means_are_broadcast_or_joined_with_skew_split(spark, zones, tmp_path, conf):
-    """What curating from written means relies on, instead of slices."""
+    """What curating from written means relies on, though the hot key's rows lie side by side."""
     path = str(tmp_path / "means")
     keys = [F.lit(2019).alias("year"), F.lit(1).alias("month"), F.lit("A").alias("company")]
     place = F.when(F.col("id") % 3 == 0, "HOT").otherwise((F.col("id") % 500).cast("string"))
@@ -166,7 +162,7 @@ def test_written_means_are_broadcast_or_joined_with_skew_split(spark, zones, tmp
         F.lit(3).alias("seats"),
         F.lit("1").alias("time"),
     )
-    plan = physical(curate_means(means, ops, zones[2], hot_rows=None))
+    plan = physical(curate_means(means, ops, zones[2]))
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
     for name, value in {
@@ -177,7 +173,7 @@ def test_written_means_are_broadcast_or_joined_with_skew_split(spark, zones, tmp
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }.items():
         conf(name, value)
-    matched = match_operations(means, ops, FARE_KEYS, "inner", hot_rows=None)
+    matched = match_operations(means, ops, FARE_KEYS, "inner")
     counted = matched.groupBy().agg(F.count("companyName").alias("n"))
     assert counted.first().n == 60_000
     counted.collect()
