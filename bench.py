@@ -11,19 +11,23 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from collections.abc import Callable
 from dataclasses import replace
 
 import pyspark
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelake import LakeConfig
 from farelake.checks import landing, proxy
-from farelake.checks.queries import QUERIES
+from farelake.checks.queries import DATABASES, QUERIES, drop_databases
+from farelake.config import FARE_KEYS
+from farelake.operators import match_operations, weighted_mean
 from farelake.plans import jobs
-from farelake.plans.curate import curate, curate_yearly
-from farelake.session import local_session, scratch_path
+from farelake.plans.curate import curate, curate_yearly, written_means
+from farelake.session import SCRATCH, local_session, scratch_path
 from farelake.sinks import write_processing
 from farelake.sources import read_zone
 
@@ -83,7 +87,7 @@ def landing_files(spark: SparkSession, sf_dir: str) -> LakeConfig:
 def new_lake(spark: SparkSession, cfg: LakeConfig) -> LakeConfig:
     """The same landing files with zones and tables of their own."""
     root = scratch_path(spark, "lake")
-    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    database = f"{DATABASES}_{root.rsplit('-', 1)[-1]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/warehouse'")
     return replace(
         cfg,
@@ -97,7 +101,7 @@ def one_plan_per_year(spark: SparkSession, sf_dir: str) -> None:
     """A plan per year, run anew for each sink, and twice more for a look at the first."""
     for i, year in enumerate(proxy.OPERATION_YEARS):
         for _ in range(4 if i == 0 else 2):
-            execute(curate_yearly(*relations(spark, sf_dir), year, hot_rows=None))
+            execute(curate_yearly(*relations(spark, sf_dir), year, proxy.ORIGIN))
 
 
 def one_plan_for_all_years(spark: SparkSession, sf_dir: str) -> None:
@@ -109,10 +113,47 @@ def one_plan_for_all_years(spark: SparkSession, sf_dir: str) -> None:
             execute(read_zone(spark, path).where(f"year = {year}"))
 
 
+def crowded(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Fares and operations in many row groups, a third of each under one company and route.
+
+    The check tables hold their rows in one row group, which one task reads, and spread them evenly.
+    """
+    root = scratch_path(spark, "crowded")
+    copies = spark.range(8).select(F.col("id").alias("copy"))
+    hot = F.xxhash64("copy", "company", "destination", "seats") % 3 == 0
+    for name, relation in (
+        ("fares", proxy.fare(spark, sf_dir, None)),
+        ("ops", proxy.ops(spark, sf_dir, None)),
+    ):
+        rows = relation.crossJoin(F.broadcast(copies))
+        placed = rows.withColumns(
+            {
+                "company": F.when(hot, F.lit(1)).otherwise(F.col("company") * 8 + F.col("copy")),
+                "destination": F.when(hot, F.lit(1)).otherwise(F.col("destination")),
+                "month": F.when(hot, F.lit(1)).otherwise(F.col("month")),
+            }
+        )
+        placed.drop("copy").repartition(64).write.parquet(f"{root}/{name}")
+    return f"{root}/fares", f"{root}/ops"
+
+
+def crowded_mean(spark: SparkSession, paths: tuple[str, str]) -> None:
+    execute(weighted_mean(spark.read.parquet(paths[0]), FARE_KEYS))
+
+
+def crowded_match(spark: SparkSession, paths: tuple[str, str]) -> None:
+    means = written_means(spark.read.parquet(paths[0]), scratch_path(spark, "means"))
+    execute(match_operations(means, spark.read.parquet(paths[1]), FARE_KEYS, "inner"))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))
-    spark = local_session(cores)
+    with tempfile.TemporaryDirectory(prefix="bench-") as scratch:
+        bench(local_session(cores, **{SCRATCH: scratch}), sf_dir, cores)
+
+
+def bench(spark: SparkSession, sf_dir: str, cores: int) -> None:
     queries = {
         name: seconds(lambda query=QUERIES[name]: execute(query(spark, sf_dir)))
         for name in HEADLINE
@@ -120,6 +161,9 @@ def main() -> None:
     cfg = landing_files(spark, sf_dir)
     queries["job_process_fares"] = seconds(lambda: jobs.process_fares(spark, new_lake(spark, cfg)))
     queries["job_run"] = seconds(lambda: jobs.run(spark, new_lake(spark, cfg)))
+    paths = crowded(spark, sf_dir)
+    queries["crowded_mean"] = seconds(lambda: crowded_mean(spark, paths))
+    queries["crowded_match"] = seconds(lambda: crowded_match(spark, paths))
     comparison = {
         shape.__name__: seconds(lambda shape=shape: shape(spark, sf_dir), runs=1)
         for shape in (one_plan_per_year, one_plan_for_all_years)
@@ -142,6 +186,7 @@ def main() -> None:
             }
         )
     )
+    drop_databases(spark)
     spark.stop()
 
 
