@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,17 @@ POOL = 4
 class Similarity:
     """Sets of ``words``-word shingles are linked from a Jaccard similarity of ``percent`` / 100.
 
-    ``trees`` are walked, of whose nodes those with at most ``small`` sets are
-    compared exhaustively; after ``depth`` levels larger ones are compared in
-    blocks of that size.
+    ``trees`` are walked. A node is a leaf, whose sets are all compared, if it
+    has at most ``small`` sets, or keeps more than half of its parent's, since
+    branching does not take sets apart that are much alike, or is ``depth``
+    levels down. Large leaves are compared in blocks of ``block`` sets.
     """
 
     words: int = 5
     percent: int = 80
     trees: int = 4
     small: int = 256
+    block: int = 512
     depth: int = 4
 
     def missed(self) -> float:
@@ -135,9 +138,9 @@ def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
 
 
 def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
-    """``node``, ``doc_id`` one level down; ``rows`` have ``node``, ``doc_id`` and ``minima``.
+    """``node``, ``doc_id``, ``parent`` one level down; ``rows`` have ``node``, ``doc_id``, ``minima``, ``n``.
 
-    The functions of a node depend on the node alone, so its sets agree on them.
+    ``parent`` is the parent's size. The functions of a node depend on the node alone, so its sets agree on them.
     """
     first = how.trees * BRANCHES + (level - 1) * POOL  # no level takes a function of another
 
@@ -148,7 +151,7 @@ def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
             minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint64)
             minima = minima.reshape(batch.num_rows, -1)
             node = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-            ids = batch.column("doc_id")
+            ids, sizes = batch.column("doc_id"), batch.column("n")
             for branch in range(BRANCHES):
                 if level:
                     place = U64(first) + ((node >> U64(7)) + U64(branch)) % U64(POOL)
@@ -158,10 +161,12 @@ def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
                 token = minima[np.arange(len(minima)), place]
                 child = mix(token ^ mix(node + seeds(1, 1000 + level)[0]) ^ U64(branch + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(child)), ids], ["node", "doc_id"]
+                    [pa.array(_signed(child)), ids, sizes], ["node", "doc_id", "parent"]
                 )
 
-    return rows.select("node", "doc_id", "minima").mapInArrow(run, "node bigint, doc_id bigint")
+    return rows.select("node", "doc_id", "minima", "n").mapInArrow(
+        run, "node bigint, doc_id bigint, parent bigint"
+    )
 
 
 def _leaves(sets: DataFrame, how: Similarity) -> DataFrame:
@@ -171,24 +176,21 @@ def _leaves(sets: DataFrame, how: Similarity) -> DataFrame:
     level is a small part of the input.
     """
     trees = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(how.trees - 1).cast("bigint")))
-    rows = _children(sets.select(trees.alias("node"), "doc_id", "minima"), 0, how)
+    roots = sets.select(trees.alias("node"), "doc_id", "minima", F.lit(None).cast("bigint").alias("n"))
+    rows = _children(roots, 0, how)
     leaves = []
     for level in range(1, how.depth + 1):
         rows = written(rows, "nodes")
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sized = written(rows.join(sizes, "node"), "sized")
-        if level == how.depth:
-            leaves.append(sized)
-            break
-        leaves.append(sized.where(F.col("n") <= how.small))
-        large = sized.where(F.col("n") > how.small)
-        if large.isEmpty():
+        small, dense = F.col("n") <= how.small, F.col("n") * 2 > F.col("parent")
+        leaf = F.lit(True) if level == how.depth else small | F.coalesce(dense, F.lit(False))
+        leaves.append(sized.where(leaf).select("node", "doc_id", "n"))
+        large = sized.where(~leaf).select("node", "doc_id", "n")
+        if level == how.depth or large.isEmpty():
             break
         rows = _children(large.join(sets.select("doc_id", "minima"), "doc_id"), level, how)
-    out = leaves[0]
-    for more in leaves[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, leaves)
 
 
 def _similar(
@@ -249,62 +251,89 @@ def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held.combine_chunks().to_batches()[0]
 
 
-def _pairs(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
-    """Pairs ``a`` < ``b`` of a node whose sketches are alike.
+def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    nodes = batch.column("node").to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(nodes)) + 1
+    for i, j in zip(np.append(0, cuts), np.append(cuts, len(nodes)), strict=True):
+        if j - i > 1:
+            yield int(i), int(j)
 
-    ``members`` have ``node``, ``doc_id``, ``n_shingles`` and ``sketch``. A
-    spanning forest of all alike pairs is given; ``across`` gives all alike
-    pairs of different ``component``, of ``side`` 0 and 1 if a node has sides.
-    """
 
-    def chosen(sketches: np.ndarray, sizes: np.ndarray, part: np.ndarray, side: np.ndarray) -> tuple:
-        everything = np.arange(len(sizes))
-        if not across:
-            found = _forest(_similar(sketches, sizes, everything, everything, how))
-            return tuple(np.array(found, np.int64).reshape(-1, 2).T)
-        if side[0] >= 0:
-            rows, columns = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        else:
-            kinds, counts = np.unique(part, return_counts=True)
-            rows, columns = np.flatnonzero(part != kinds[counts.argmax()]), everything
-        likeness = _similar(sketches, sizes, rows, columns, how)
-        likeness[part[rows][:, None] == part[columns]] = 0
-        x, y = np.nonzero(likeness)
-        return rows[x], columns[y]
+def _sketched(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, set sizes and sketches."""
+    sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8)
+    ids, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "n_shingles"))
+    return ids, sizes, sketches.reshape(len(ids), SKETCH)
+
+
+def _pairs(members: DataFrame, how: Similarity) -> DataFrame:
+    """Pairs ``a`` < ``b``: a spanning forest of those of a node whose sketches are alike.
+
+    ``members`` have ``node``, ``doc_id``, ``n_shingles`` and ``sketch``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _by_node(batches):
-            nodes, ids, sizes = (
-                batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "doc_id", "n_shingles")
+            ids, sizes, sketches = _sketched(batch)
+            found = [np.zeros((0, 2), np.int64)]
+            for i, j in _grouped(batch):
+                all_ = np.arange(j - i)
+                likeness = _similar(sketches[i:j], sizes[i:j], all_, all_, how)
+                found.append(ids[i + np.array(_forest(likeness), np.int64).reshape(-1, 2)])
+            pairs = np.sort(np.concatenate(found), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(x)) for x in pairs.T], ["a", "b"]
             )
-            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8)
-            sketches = sketches.reshape(len(ids), SKETCH)
+
+    dealt = members.select("node", "doc_id", "n_shingles", "sketch").repartition("node")
+    return dealt.sortWithinPartitions("node", "doc_id").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _doubtful(members: DataFrame, how: Similarity) -> DataFrame:
+    """Those ``members`` whose sketch is alike to one of another component of their node.
+
+    ``members`` have ``node``, ``doc_id``, ``component``, ``n_shingles``,
+    ``sketch`` and ``side``; in nodes with sides, 0 is compared with 1.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_node(batches):
+            ids, sizes, sketches = _sketched(batch)
             parts, sides = (
-                batch.column(c).to_numpy(zero_copy_only=False) if across else ids
-                for c in ("component", "side")
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("component", "side")
+            )
+            keep = np.zeros(len(ids), bool)
+            for i, j in _grouped(batch):
+                part, side = parts[i:j], sides[i:j]
+                if side[0] >= 0:
+                    rows, columns = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+                else:
+                    kinds, counts = np.unique(part, return_counts=True)
+                    rows, columns = np.flatnonzero(part != kinds[counts.argmax()]), np.arange(j - i)
+                alike = _similar(sketches[i:j], sizes[i:j], rows, columns, how) > 0
+                alike &= part[rows][:, None] != part[columns]
+                keep[i + rows[alike.any(1)]] = True
+                keep[i + columns[alike.any(0)]] = True
+            kept = pa.array(keep)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).filter(kept) for c in ("node", "doc_id", "component")],
+                ["node", "doc_id", "component"],
             )
-            cuts = np.flatnonzero(np.diff(nodes)) + 1
-            a, b = [], []
-            for i, j in zip(np.append(0, cuts), np.append(cuts, len(ids)), strict=True):
-                if j - i > 1:
-                    x, y = chosen(sketches[i:j], sizes[i:j], parts[i:j], sides[i:j])
-                    a.append(ids[i + x])
-                    b.append(ids[i + y])
-            if a:
-                x, y = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
-                )
 
-    columns = ["node", "doc_id", "n_shingles", "sketch", *(["component", "side"] if across else [])]
-    dealt = members.select(*columns).repartition("node").sortWithinPartitions("node", "doc_id")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    dealt = members.select("node", "doc_id", "n_shingles", "sketch", "component", "side")
+    dealt = dealt.repartition("node").sortWithinPartitions("node", "doc_id", "side")
+    found = dealt.mapInArrow(run, "node bigint, doc_id bigint, component bigint")
+    return found.dropDuplicates(["node", "doc_id"])
 
 
 def _blocks(leaves: DataFrame, how: Similarity) -> DataFrame:
-    """Leaves, with those that are still large cut into blocks by a hash of the id."""
-    parts = F.ceil(F.col("n") / F.lit(how.small // 2))
-    block = F.pmod(F.xxhash64("doc_id", "node"), parts)
+    """Leaves, with those that are still large cut into blocks by a hash of the id.
+
+    The hash is the same in all nodes, so that a group that meets in many of
+    them gives the same pairs.
+    """
+    parts = F.ceil(F.col("n") / F.lit(how.small * 4)) * 4
+    block = F.pmod(F.xxhash64("doc_id"), parts)
     small = F.col("n") <= how.small
     node = F.when(small, F.col("node")).otherwise(F.xxhash64("node", block))
     return leaves.select(node.alias("node"), "doc_id")
@@ -316,38 +345,33 @@ def _across(leaves: DataFrame, labelled: DataFrame, how: Similarity) -> DataFram
     Of a large node only the sets outside its commonest component meet all
     others, block by block.
     """
-    members = leaves.join(labelled, "doc_id")
+    members = written(leaves.join(labelled, "doc_id"), "members")
+    sizes = members.groupBy("node", "component").agg(F.count("*").alias("rows"))
     mixed = (
-        members.groupBy("node")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least <> most")
-        .select("node")
+        sizes.groupBy("node")
+        .agg(
+            F.max_by("component", F.struct("rows", "component")).alias("main"),
+            F.max("rows").alias("most"),
+            F.sum("rows").alias("all"),
+        )
+        .where("most < all")
     )
-    members = members.join(mixed, "node")
-    small = members.where(F.col("n") <= how.small).select(
+    told = written(members.join(mixed, "node"), "mixed")
+    small = told.where(F.col("n") <= how.small).select(
         "node", "doc_id", "component", F.lit(-1).alias("side")
     )
-    large = members.where(F.col("n") > how.small)
-    sizes = large.groupBy("node", "component").agg(F.count("*").alias("rows"))
-    commonest = sizes.groupBy("node").agg(
-        F.max_by("component", F.struct("rows", "component")).alias("main"),
-        F.sum("rows").alias("all"),
-        F.max("rows").alias("most"),
-    )
-    large = large.join(commonest, "node")
-    half = how.small // 2
-    other = F.col("component") != F.col("main")
     sides = {
-        "mine": F.ceil((F.col("all") - F.col("most")) / F.lit(half)).cast("bigint"),
-        "theirs": F.ceil(F.col("all") / F.lit(half)).cast("bigint"),
+        "mine": F.ceil((F.col("all") - F.col("most")) / F.lit(how.block)).cast("bigint"),
+        "theirs": F.ceil(F.col("all") / F.lit(how.block)).cast("bigint"),
     }
-    blocks = large.withColumns(sides).withColumn("hash", F.xxhash64("doc_id", "node"))
-    queries = blocks.where(other).select(
+    large = told.where(F.col("n") > how.small).withColumns(sides)
+    large = large.withColumn("hash", F.xxhash64("doc_id", "node"))
+    queries = large.where(F.col("component") != F.col("main")).select(
         "node", "doc_id", "component", F.lit(0).alias("side"),
         F.pmod("hash", "mine").alias("i"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("theirs") - 1)).alias("j"),
     )
-    against = blocks.select(
+    against = large.select(
         "node", "doc_id", "component", F.lit(1).alias("side"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("mine") - 1)).alias("i"),
         F.pmod("hash", "theirs").alias("j"),
@@ -358,8 +382,8 @@ def _across(leaves: DataFrame, labelled: DataFrame, how: Similarity) -> DataFram
     return small.unionByName(tiles)
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
-    """Those pairs whose full sets are similar enough."""
+def _sets(ids: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
+    """``doc_id`` and ``set``, the sorted shingle hashes, of the documents in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -367,13 +391,15 @@ def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
             sets = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_signed(g)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "set"])
 
-    named = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))
-    )
-    chosen = docs.join(named.distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    sets = written(
-        chosen.mapInArrow(run, "doc_id bigint, set array<bigint>").dropDuplicates(["doc_id"]), "sets"
-    )
+    chosen = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    found = chosen.mapInArrow(run, "doc_id bigint, set array<bigint>")
+    return written(found.dropDuplicates(["doc_id"]), "sets")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
+    """Those pairs whose full sets are similar enough."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    sets = _sets(named, docs, how)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("one")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("set").alias("other")), "b"
     )
@@ -386,6 +412,58 @@ def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     )
 
 
+def _common(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many elements each pair of sets shares, counted on bits of the shared elements."""
+    n = len(bounds) - 1
+    of = np.repeat(np.arange(n), np.diff(bounds))
+    found, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(counts > 1)
+    place = np.full(len(found), -1)
+    place[shared] = np.arange(len(shared))
+    at = place[back]
+    out = np.zeros((n, n), np.int64)
+    for low in range(0, len(shared), 4096):  # a bounded number of elements at a time
+        width = min(4096, len(shared) - low)
+        here = (at >= low) & (at < low + width)
+        cells = np.zeros((n, -(-width // 64) * 64), np.uint8)
+        cells[of[here], at[here] - low] = 1
+        bits = np.ascontiguousarray(np.packbits(cells, axis=1).view(np.uint64).T)
+        for i in range(n):
+            out[i] += np.bitwise_count(bits & bits[:, i, None]).sum(0, dtype=np.int64)
+    return out
+
+
+def _joined(tiles: DataFrame, sets: DataFrame, how: Similarity) -> DataFrame:
+    """Links between components of a tile, no more than connect them, confirmed on the full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_node(batches):
+            nodes, ids, parts = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "doc_id", "component")
+            )
+            cuts = np.flatnonzero(np.diff(nodes)) + 1
+            a, b = [], []
+            for i, j in zip(np.append(0, cuts), np.append(cuts, len(ids)), strict=True):
+                own = batch.column("set").slice(i, j - i)
+                sizes = pa.compute.list_value_length(own).to_numpy(zero_copy_only=False)
+                common = _common(own.flatten().to_numpy(), np.append(0, np.cumsum(sizes)))
+                union = sizes[:, None] + sizes - common
+                close = (common * 100 >= union * how.percent) & (
+                    parts[i:j][:, None] != parts[i:j]
+                )
+                for x, y in _forest(close.astype(np.float32)):
+                    a.append(ids[i + x])
+                    b.append(ids[i + y])
+            x, y = np.array(a, np.int64), np.array(b, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
+            )
+
+    whole = tiles.join(sets, "doc_id").select("node", "doc_id", "component", "set")
+    dealt = whole.repartition("node").sortWithinPartitions("node", "doc_id")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, how: Similarity = Similarity(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -393,9 +471,11 @@ def near_duplicates(
 
     Texts with equal sets are one class, named by its smallest id; only classes
     are joined. Candidate pairs of a node are a spanning forest at first, which
-    is enough where all of them hold; then all pairs of a node whose classes
-    are not connected yet. So no group's pairs are all written, and no pair of
-    a small node is left out that could change a component.
+    is enough where all of them hold. Where a node's classes are not all
+    connected by then, the sets of those that are alike to another component
+    come together and are compared in full, and again only links that connect
+    are written. So no group's pairs are ever written, and no pair of a leaf is left
+    out that could change a component.
 
     ``component_id`` is the smallest id reachable over links, and ``kept`` says
     that it is the row's own. A null text is empty; a text without words is
@@ -423,7 +503,7 @@ def near_duplicates(
     told = sets.select("doc_id", "n_shingles", "sketch")
 
     alone = _blocks(leaves, how).join(told, "doc_id")
-    pairs = written(_pairs(alone, how, across=False), "pairs")
+    pairs = written(_pairs(alone, how), "pairs")
     links = written(_linked(pairs, rows, how), "linked")
     parts = written(components(links), "components")
 
@@ -433,8 +513,8 @@ def near_duplicates(
         "doc_id", label
     )
     across = _across(leaves, labelled, how).join(told, "doc_id")
-    more = written(_pairs(across, how, across=True).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(written(_linked(more, rows, how), "linked"))
+    tiles = written(_doubtful(across, how), "tiles")
+    links = links.unionByName(written(_joined(tiles, _sets(tiles, rows, how), how), "linked"))
     parts = written(components(links), "components")
 
     placed = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select(
@@ -452,7 +532,7 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, how: Similarity = Similarity(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns; rows without an id stay."""
     found = near_duplicates(docs, how, key, text)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs[key].cast("bigint").eqNullSafe(gone["gone"]), "left_anti")
+    return docs.join(gone, docs[key].cast("bigint") == gone["gone"], "left_anti")
