@@ -20,7 +20,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 U64 = np.uint64
-_BYTE_CODE = np.random.Generator(np.random.PCG64(20_240_601)).integers(1, 2**63, 256, dtype=np.uint64)
+# Masks that keep the first bytes of a little-endian word of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -107,26 +108,17 @@ class Words:
             self.data = _LOWER[self.data]
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
+        """A 64-bit hash of each word's bytes, which are taken eight at a time."""
         lengths = self.ends - self.starts
-        code = _BYTE_CODE[self.data]
-        # Where each byte stands in its word; bytes between words come to nothing.
-        place = np.arange(len(self.data)) - np.repeat(
-            self.starts, np.diff(np.append(self.starts, len(self.data)))
-        ) if self.starts[0] == 0 else np.concatenate(
-            (
-                np.zeros(self.starts[0], np.int64),
-                np.arange(self.starts[0], len(self.data))
-                - np.repeat(self.starts, np.diff(np.append(self.starts, len(self.data)))),
-            )
-        )
-        longest = int(lengths.max())
-        np.minimum(place, longest - 1, out=place)
-        code *= _powers(longest)[place]
-        code[SPACE[self.data]] = 0
-        return mix(np.add.reduceat(code, self.starts) + lengths.astype(np.uint64))
+        out = mix(lengths.astype(np.uint64) * _STEP)
+        padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
+        eights = np.ndarray(len(self.data) + 1, np.uint64, padded, strides=(1,))
+        left, at, rest = np.arange(len(out)), self.starts, lengths
+        while len(left):
+            out[left] = mix(out[left] ^ (eights[at] & _FIRST[np.minimum(rest, 8)]))
+            more = np.flatnonzero(rest > 8)
+            left, at, rest = left[more], at[more] + 8, rest[more] - 8
+        return out
 
 
 def grams(h: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
