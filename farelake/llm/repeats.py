@@ -130,7 +130,7 @@ def _repeated_cells(docs: DataFrame, how: Windows) -> np.ndarray:
 
     dealt = _counted(docs, how).repartition("piece").sortWithinPartitions("piece")
     out = np.zeros((2 << how.bits) // 8, np.uint8)
-    for r in dealt.mapInArrow(run, "piece int, bits binary").toLocalIterator():
+    for r in dealt.mapInArrow(run, "piece int, bits binary").collect():
         at = r.piece * (PIECE // 8)
         out[at : at + PIECE // 8] = np.frombuffer(bytes(r.bits), np.uint8)
     return out
