@@ -1,0 +1,88 @@
+import corpus
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from farelake.llm import language
+from farelake.llm.queries import QUERIES
+from farelake.llm.words import Words
+
+SF_DIR = "/root/testdata/sf0.01"
+
+WORDS = {
+    "aa": "mola teru sipa nolu keta rimo".split(),
+    "bb": "zhkov brtnik shchem vzgljad krst tvrz".split(),
+    "cc": "ääkö yölin höytö sääry köyny päätö".split(),
+}
+
+
+def spoken(lang, n, seed=0):
+    words, rng = WORDS[lang], np.random.default_rng(seed)
+    return " ".join(words[i] for i in rng.integers(0, len(words), n))
+
+
+def learned(spark, extra=()):
+    rows = [(i, spoken(lang, 80, i), lang, "s", 1) for i in range(6) for lang in WORDS]
+    return language.learn(corpus.documents(spark, [*rows, *extra]), "text", "lang")
+
+
+def test_counts_are_those_of_a_plain_count(spark):
+    how = language.NGrams(lengths=(2,), bits=14)
+    rows = [(1, "ab ba", "x", "s", 1), (2, "AB", "x", "s", 1), (3, "cd", "y", "s", 1), (4, None, "y", "s", 0)]
+    model = language.learn(corpus.documents(spark, rows), "text", "lang", how)
+    assert model.languages == ("x", "y") and model.shares.tolist() == [0.5, 0.5]
+    # ab twice, "b ", " b", ba once: five n-grams over all cells, each smoothed by a half.
+    grams = np.sort(np.exp(model.logs[0]) * (5 + 0.5 * 2**14) - 0.5)[::-1]
+    assert grams[:4] == pytest.approx([2, 1, 1, 1]) and grams[4:].max() == pytest.approx(0, abs=1e-9)
+
+
+def test_pure_and_mixed_texts(spark):
+    model = learned(spark)
+    rows = [(1, spoken("aa", 60, 99)), (2, spoken("bb", 5, 98)), (3, spoken("aa", 70, 1) + " " + spoken("cc", 30, 2))]
+    got = {r.doc_id: r for r in language.identify(corpus.documents(spark, rows), model).collect()}
+    assert (got[1].lang, got[1].languages) == ("aa", ["aa"]) and got[1].score > 0.99
+    assert got[2].lang == "bb"
+    assert got[3].languages == ["aa", "cc"]
+    share = sum(map(len, spoken("cc", 30, 2).encode().split())) / 400
+    assert 0.2 < got[3].proportions[1] < 0.6 and share > 0
+    assert sum(got[3].proportions) == pytest.approx(1)
+
+
+def test_proportions_are_the_most_likely_ones(spark):
+    """EM against a grid over both proportions."""
+    model = learned(spark)
+    how = language.NGrams(rounds=200)
+    words = Words(pa.array([spoken("aa", 40, 5) + " " + spoken("bb", 25, 6)]))
+    shares, _ = language.mixtures(words, model, how)
+    cells, counts, _ = language._counted(words, how)
+    likelihood = np.exp(model.logs[:, cells])
+    grid = np.linspace(0.01, 0.99, 197)
+    values = [counts @ np.log(g * likelihood[0] + (1 - g) * likelihood[1]) for g in grid]
+    assert shares[0, 2] == 0 and shares[0, 0] == pytest.approx(grid[int(np.argmax(values))], abs=0.01)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    rows = QUERIES["op5_language"](spark, SF_DIR).join(docs, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == 1000 and 150 < len(held) < 350
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_rows_and_undetermined_texts(spark):
+    model = learned(spark)
+    got = language.identify(corpus.odd(spark), model)
+    by = sorted(((r.doc_id, r.lang == "und") for r in got.collect()), key=repr)
+    assert by == sorted(((r[0], not (r[1] or "").strip()) for r in corpus.ODD), key=repr)
+    rows = [(1, "1234 !? 5"), (2, "— … €"), (3, "é"), (4, "中")]
+    got = {r.doc_id: r for r in language.identify(corpus.documents(spark, rows), model).collect()}
+    assert [got[i].lang == "und" for i in (1, 2, 3, 4)] == [True, True, False, False]
+    assert got[1].score == 0 and got[1].languages == []
+
+
+def test_empty_tables(spark):
+    model = language.learn(corpus.empty(spark), "text", "lang")
+    assert model.languages == ()
+    assert {r.lang for r in language.identify(corpus.odd(spark), model).collect()} == {"und"}
+    assert language.identify(corpus.empty(spark), learned(spark)).count() == 0

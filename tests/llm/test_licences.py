@@ -1,0 +1,63 @@
+import corpus
+
+from farelake.llm.licences import NOTICES, Bands, licences
+from farelake.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_each_notice_is_found_wherever_it_stands(spark):
+    rows = [
+        (100 * i + place, " ".join(corpus.prose(i, place) + notice.split() + corpus.prose(i + 50, 30)))
+        for i, notice in enumerate(NOTICES.values())
+        for place in (0, 3, 8, 17, 90)
+    ]
+    got = {(r.doc_id, r.license_id) for r in licences(corpus.documents(spark, rows)).collect()}
+    assert got == {(100 * i + p, name) for i, name in enumerate(NOTICES) for p in (0, 3, 8, 17, 90)}
+
+
+def test_spelling_and_neighbours(spark):
+    rows = [
+        (1, "LICENSED under the -- apache license,\n version 2.0"),
+        (2, f"{NOTICES['MIT']} {NOTICES['Apache-2.0']}"),
+        (3, "licensed under the terms of nobody, released under water"),
+        (4, f"{corpus.text(1, 5000)} {NOTICES['GPL-3.0']} {corpus.text(2, 5000)} {NOTICES['GPL-3.0']}"),
+    ]
+    got = licences(corpus.documents(spark, rows)).collect()
+    assert {(r.doc_id, r.license_id) for r in got} == {
+        (1, "Apache-2.0"), (2, "MIT"), (2, "Apache-2.0"), (4, "GPL-3.0"),
+    }
+    assert all(r.matched == r.of for r in got)
+
+
+def test_a_notice_with_a_word_changed(spark):
+    words = NOTICES["GPL-3.0"].split()
+    one = " ".join(corpus.prose(1, 20) + words[:-1] + ["9."])
+    two = " ".join(corpus.prose(1, 20) + words[:3] + ["x"] + words[4:8] + ["y"] + words[9:])
+    got = licences(corpus.documents(spark, [(1, one), (2, two)]), how=Bands(percent=80)).collect()
+    assert {(r.doc_id, r.matched, r.of) for r in got} == {(1, 9, 10)}
+
+
+def test_query_equals_a_search_for_the_lines(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    expected = {(d.doc_id, name) for d in docs for name, line in NOTICES.items() if line in d.text}
+    got = QUERIES["op7_licences"](spark, SF_DIR)
+    assert {(r.doc_id, r.license_id) for r in got.collect()} == expected
+
+
+def test_own_notices_odd_rows_and_empty_tables(spark):
+    notices = spark.createDataFrame(
+        [("same", corpus.text(5, 60)), ("short", "two words"), ("none", None)],
+        "license_id string, text string",
+    )
+    got = licences(corpus.odd(spark), notices).collect()
+    assert sorted(((r.doc_id, r.license_id) for r in got), key=repr) == sorted(
+        [(5, "same"), (6, "same"), (None, "same"), (-9, "same")], key=repr
+    )
+    assert licences(corpus.empty(spark)).count() == 0
+    assert licences(corpus.odd(spark), notices.where("false")).count() == 0
+
+
+def test_no_python_runs(spark):
+    plan = licences(corpus.empty(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
