@@ -71,12 +71,27 @@ def _cells(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct cells of each text, how often they occur, and where each text's begin."""
-    of, cells = _cells(words, how)
-    size = 1 << how.bits
-    keys, counts = np.unique(of * size + cells, return_counts=True)
-    bounds = np.searchsorted(keys, np.arange(len(words.counts) + 1) * size)
-    return keys % size, counts.astype(np.float64), bounds
+    """The distinct cells of each text, how often they occur, and where each text's begin.
+
+    A few texts at a time are counted in a table with a row each.
+    """
+    size, n = 1 << how.bits, len(words.counts)
+    parts = [_cells(words, NGrams((length,), how.bits)) for length in how.lengths]
+    found, counts, bounds = [], [], [np.zeros(1, np.int64)]
+    step = max(1, (1 << 19) >> how.bits)
+    for low in range(0, n, step):
+        rows = min(step, n - low)
+        table = np.zeros(rows * size, np.int64)
+        for of, cells in parts:
+            i, j = np.searchsorted(of, (low, low + rows))
+            table += np.bincount((of[i:j] - low) * size + cells[i:j], minlength=len(table))
+        at = np.flatnonzero(table)
+        found.append(at % size)
+        counts.append(table[at])
+        bounds.append(bounds[-1][-1] + np.searchsorted(at, np.arange(1, rows + 1) * size))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0), bounds[0]
+    return np.concatenate(found), np.concatenate(counts).astype(np.float64), np.concatenate(bounds)
 
 
 def learn(docs: DataFrame, text: str, lang: str, how: NGrams = NGrams()) -> LanguageModel:
@@ -134,17 +149,23 @@ def learn(docs: DataFrame, text: str, lang: str, how: NGrams = NGrams()) -> Lang
 
 def _step(
     likelihood: np.ndarray, counts: np.ndarray, shares: np.ndarray, first: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """One round of EM for many texts: better proportions, and the log likelihood of the given ones.
+) -> np.ndarray:
+    """One round of EM for many texts: better proportions.
 
     Rows of ``likelihood`` belong to the texts that begin at ``first``.
     """
-    sizes = np.diff(np.append(first, len(counts)))
-    weighted = likelihood * np.repeat(shares, sizes, axis=0)
-    total = weighted.sum(1)
-    value = np.add.reduceat(counts * np.log(total), first)
-    better = np.add.reduceat(weighted * (counts / total)[:, None], first, axis=0)
-    return better / better.sum(1, keepdims=True), value
+    weighted = likelihood * np.repeat(shares, np.diff(np.append(first, len(counts))), axis=0)
+    weighted *= (counts / weighted.sum(1))[:, None]
+    better = np.add.reduceat(weighted, first, axis=0)
+    return better / better.sum(1, keepdims=True)
+
+
+def _value(
+    likelihood: np.ndarray, counts: np.ndarray, shares: np.ndarray, first: np.ndarray
+) -> np.ndarray:
+    """The log likelihood of each text under its proportions."""
+    total = (likelihood * np.repeat(shares, np.diff(np.append(first, len(counts))), axis=0)).sum(1)
+    return np.add.reduceat(counts * np.log(total), first)
 
 
 def _set_of(
@@ -157,15 +178,15 @@ def _set_of(
     """
     first = np.zeros(1, np.int64)
     shares = shares.copy()
-    value = float(_step(likelihood, counts, shares[None], first)[1][0])
+    value = float(_value(likelihood, counts, shares[None], first)[0])
     while (shares > 0).sum() > 1:
         fewer = shares.copy()
         fewer[np.where(shares > 0, shares, np.inf).argmin()] = 0
         fewer = np.where(fewer > 0, fewer + 1e-9, 0)
         fewer = (fewer / fewer.sum())[None]
         for _ in range(rounds):
-            fewer, _ = _step(likelihood, counts, fewer, first)
-        without = float(_step(likelihood, counts, fewer, first)[1][0])
+            fewer = _step(likelihood, counts, fewer, first)
+        without = float(_value(likelihood, counts, fewer, first)[0])
         if without + penalty < value:
             break
         shares, value = fewer[0], without
@@ -199,7 +220,8 @@ def mixtures(
     start = np.maximum(model.shares, 1e-3)
     shares = np.tile(start / start.sum(), (len(some), 1))
     for _ in range(how.rounds):
-        shares, value = _step(likelihood, counts, shares, first)
+        shares = _step(likelihood, counts, shares, first)
+    value = _value(likelihood, counts, shares, first)
     alone = np.add.reduceat(counts[:, None] * np.log(likelihood), first, axis=0)
     penalty = 0.5 * np.log(np.maximum(2.0, np.add.reduceat(counts, first)))
     best = alone.argmax(1)
