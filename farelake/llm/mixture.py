@@ -269,15 +269,18 @@ def _filled(spark, plan: Plan, how: Mix) -> DataFrame:
     )
 
 
-def _pieces(placed: DataFrame, block: int, with_text: bool) -> DataFrame:
+def _pieces(placed: DataFrame, block: int) -> DataFrame:
     """The runs of words that documents have in the blocks of their source.
 
     ``at`` is where in its block a run begins, ``doc_from`` where in its document.
     """
-    fields = "source_ix bigint, block bigint, doc_id bigint, doc_from bigint, at bigint, words bigint"
+    fields = (
+        "source_ix bigint, block bigint, doc_id bigint, row bigint, "
+        "doc_from bigint, at bigint, words bigint"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches) if with_text else batches:
+        for batch in batches:
             start = batch.column("start").to_numpy(zero_copy_only=False)
             end = start + batch.column("size").to_numpy(zero_copy_only=False)
             first, last = start // block, (end - 1) // block
@@ -286,27 +289,58 @@ def _pieces(placed: DataFrame, block: int, with_text: bool) -> DataFrame:
             number = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
             low = np.maximum(start[of], number * block)
             high = np.minimum(end[of], (number + 1) * block)
-            columns = [
-                batch.column("source_ix").take(pa.array(of)),
-                pa.array(number),
-                batch.column("doc_id").take(pa.array(of)),
-                *(pa.array(x) for x in (low - start[of], low - number * block, high - low)),
-            ]
-            names = ["source_ix", "block", "doc_id", "doc_from", "at", "words"]
-            if with_text:
-                runs = []
-                bounds = np.append(0, np.cumsum(n))
-                for i, text in enumerate(batch.column("text").to_pylist()):
-                    words = (text or "").encode().split()
-                    for j in range(bounds[i], bounds[i + 1]):
-                        a = low[j] - start[i]
-                        runs.append(b" ".join(words[a : a + high[j] - low[j]]))
-                columns.append(pa.array(runs, pa.binary()).cast(pa.string()))
-                names.append("text")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    columns = ["source_ix", "doc_id", "size", "start", *(["text"] if with_text else [])]
-    return placed.select(*columns).mapInArrow(run, fields + (", text string" if with_text else ""))
+            own = pa.array(of)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("source_ix").take(own),
+                    pa.array(number),
+                    batch.column("doc_id").take(own),
+                    batch.column("row").take(own),
+                    *(pa.array(x) for x in (low - start[of], low - number * block, high - low)),
+                ],
+                ["source_ix", "block", "doc_id", "row", "doc_from", "at", "words"],
+            )
+
+    return placed.select("source_ix", "doc_id", "row", "size", "start").mapInArrow(run, fields)
+
+
+_RUN = ("shard", "slot", "source", "block", "at", "doc_from", "words")
+
+
+def _worded(pieces: DataFrame, rows: DataFrame) -> DataFrame:
+    """``pieces`` with the ``text`` of each run.
+
+    A document's runs, as many as its words at most, go to its text, so each
+    text is moved once. Texts of repeated rows are one.
+    """
+    lists = pieces.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*_RUN)).alias("runs"))
+    lists = lists.withColumnsRenamed({"doc_id": "of", "row": "of_row"})
+    texts = rows.dropDuplicates(["doc_id", "row"])
+    same = F.equal_null(texts["doc_id"], lists["of"]) & F.equal_null(texts["row"], lists["of_row"])
+    joined = texts.join(lists, same).select("doc_id", "row", "text", "runs")
+    kinds = ", ".join(f"{n} {'string' if n == 'source' else 'bigint'}" for n in _RUN)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            own, of, out = batch.column("runs"), [], []
+            for i, (body, runs) in enumerate(
+                zip(batch.column("text").to_pylist(), own.to_pylist(), strict=True)
+            ):
+                words = (body or "").encode().split()
+                for r in runs:
+                    out.append(b" ".join(words[r["doc_from"] : r["doc_from"] + r["words"]]))
+                of += [i] * len(runs)
+            flat = own.flatten()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(of, pa.int64())),
+                    *(flat.field(n) for n in _RUN),
+                    pa.array(out, pa.binary()).cast(pa.string()),
+                ],
+                ["doc_id", *_RUN, "text"],
+            )
+
+    return joined.mapInArrow(run, f"doc_id bigint, {kinds}, text string")
 
 
 @dataclass(frozen=True)
@@ -348,11 +382,10 @@ def mix_sources(
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(body, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         F.xxhash64(body).alias("row"),
-        *([body.alias("text")] if with_text else []),
+        body.alias("text"),
     )
-    if not with_text:
-        rows = written(rows, "sizes")
-    plan = plan_mix(rows, how, weigh)
+    sized = written(rows.drop("text"), "sizes")
+    plan = plan_mix(sized, how, weigh)
     names = spark.createDataFrame(
         [
             (i, *x)
@@ -360,22 +393,21 @@ def mix_sources(
         ],
         "source_ix bigint, source string, source_size bigint, target double",
     )
-    same = F.equal_null(rows["source"], names["source"])
-    numbered = rows.join(names, same).drop(rows["source"])
+    same = F.equal_null(sized["source"], names["source"])
+    numbered = sized.join(names, same).drop(sized["source"])
     placed = _ordered(numbered.drop("source", "source_size", "target"))
     slots = _filled(spark, plan, how)
     taken = F.least("words", F.col("filled") - F.col("at"))
     pieces = (
-        _pieces(placed, how.block_words, with_text)
-        .join(slots, ["source_ix", "block"])
+        _pieces(placed, how.block_words)
+        .join(slots.hint("merge"), ["source_ix", "block"])  # its rows are made by tasks: no estimate holds
         .withColumn("words", taken)
         .where("words > 0")
         .join(names.select("source_ix", "source"), "source_ix")
         .drop("source_ix", "filled")
     )
     if with_text:
-        kept = F.slice(F.split("text", " "), F.lit(1), F.col("words").cast("int"))
-        pieces = pieces.withColumn("text", F.array_join(kept, " "))
+        pieces = _worded(pieces, rows.where("size > 0").select("doc_id", "row", "text"))
     documents = numbered.select("doc_id", "size", "source_size", "target")
     return Mixed(documents, pieces, plan)
 
