@@ -27,9 +27,8 @@ from farelake.llm.words import U64, Words, chunks, grams_inside, mix, seeds, seq
 
 #: Bytes of a sketch: for each of so many ranges of token hashes, a byte of the smallest in it.
 SKETCH = 256
-#: Children per set and node, and the minwise functions of a level they are chosen from.
+#: Children per set and node, each by a minwise function of its own.
 BRANCHES = 2
-POOL = 4
 
 
 @dataclass(frozen=True)
@@ -80,6 +79,11 @@ def shingles(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return g, np.searchsorted(of, np.arange(len(words.counts) + 1)), words.counts
 
 
+def _functions(level: int, how: Similarity) -> np.ndarray:
+    """The minwise functions of a level: one for each branch of each path of each tree."""
+    return seeds(how.trees * BRANCHES ** (level + 1), 11 + 1000 * level)
+
+
 def _minima(g: np.ndarray, bounds: np.ndarray, functions: np.ndarray) -> np.ndarray:
     """The smallest hash of each set under each function; sets must not be empty."""
     out = np.empty((len(bounds) - 1, len(functions)), np.uint64)
@@ -99,16 +103,22 @@ def _sketches(g: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out.reshape(n, SKETCH)
 
 
+def _names(g: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """A 128-bit name of each set; sets must not be empty."""
+    sums = [np.add.reduceat(mix(g ^ s), bounds[:-1]) for s in seeds(2, 12)]
+    return [r.tobytes() for r in np.stack(sums, 1)]
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
 def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
-    """``doc_id``, ``n_shingles``, the set's 128-bit name, its minwise tokens and its sketch.
+    """``doc_id``, ``n_shingles``, the set's 128-bit name, its minwise tokens at the roots and its sketch.
 
     A text without words has null in the last three.
     """
-    functions = seeds(how.trees * BRANCHES + (how.depth - 1) * POOL, 11)
+    functions = _functions(0, how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -118,9 +128,8 @@ def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
             names = minima = sketches = [None] * len(sizes)
             if len(some):
                 full = np.append(bounds[some], len(g))
-                sums = [np.add.reduceat(mix(g ^ s), full[:-1]) for s in seeds(2, 12)]
                 names, minima, sketches = (np.full(len(sizes), None, object) for _ in range(3))
-                names[some] = [r.tobytes() for r in np.stack(sums, 1)]
+                names[some] = _names(g, full)
                 minima[some] = [r.tobytes() for r in _minima(g, full, functions)]
                 sketches[some] = [r.tobytes() for r in _sketches(g, full)]
             yield pa.RecordBatch.from_arrays(
@@ -137,12 +146,49 @@ def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
     )
 
 
-def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
-    """``node``, ``doc_id``, ``parent`` one level down; ``rows`` have ``node``, ``doc_id``, ``minima``, ``n``.
+def _deeper(ids: DataFrame, docs: DataFrame, level: int, how: Similarity) -> DataFrame:
+    """``doc_id`` and ``minima``, the minwise tokens of a level, of the sets in ``ids`` (``doc_id``, ``name``)."""
+    functions = _functions(level, how)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            g, bounds, _ = shingles(batch.column("text"), how.words)
+            some = np.flatnonzero(np.diff(bounds))
+            if len(some):
+                full = np.append(bounds[some], len(g))
+                minima = [r.tobytes() for r in _minima(g, full, functions)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(some)),
+                        *(pa.array(x, pa.binary()) for x in (_names(g, full), minima)),
+                    ],
+                    ["doc_id", "name", "minima"],
+                )
+
+    chosen = docs.join(ids.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+    found = chosen.mapInArrow(run, "doc_id bigint, name binary, minima binary")
+    return found.join(ids, ["doc_id", "name"], "left_semi").dropDuplicates(["doc_id"]).drop("name")
+
+
+def _branched(
+    node: np.ndarray, path: np.ndarray, minima: np.ndarray, level: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each branch, the child of each row's node and the child's path.
 
-    ``parent`` is the parent's size. The functions of a node depend on the node alone, so its sets agree on them.
+    A path is the number of a tree and of the branches taken in it. It has
+    functions of its own, so what two sets lose on one path says nothing of another.
+    """
+    for branch in range(BRANCHES):
+        place = path * BRANCHES + branch
+        token = minima[np.arange(len(minima)), place]
+        yield mix(token ^ mix(node + seeds(1, 1000 + level)[0]) ^ U64(branch + 1)), place
+
+
+def _children(rows: DataFrame, level: int) -> DataFrame:
+    """``node``, ``path``, ``doc_id``, ``parent`` one level down.
+
+    ``rows`` have ``node``, ``path``, ``doc_id``, ``minima`` and ``n``; ``parent`` is the parent's size.
     """
-    first = how.trees * BRANCHES + (level - 1) * POOL  # no level takes a function of another
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,33 +197,29 @@ def _children(rows: DataFrame, level: int, how: Similarity) -> DataFrame:
             minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint64)
             minima = minima.reshape(batch.num_rows, -1)
             node = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
+            path = batch.column("path").to_numpy(zero_copy_only=False)
             ids, sizes = batch.column("doc_id"), batch.column("n")
-            for branch in range(BRANCHES):
-                if level:
-                    place = U64(first) + ((node >> U64(7)) + U64(branch)) % U64(POOL)
-                else:
-                    place = node * U64(BRANCHES) + U64(branch)
-                place = place.astype(np.int64)
-                token = minima[np.arange(len(minima)), place]
-                child = mix(token ^ mix(node + seeds(1, 1000 + level)[0]) ^ U64(branch + 1))
+            for child, place in _branched(node, path, minima, level):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(child)), ids, sizes], ["node", "doc_id", "parent"]
+                    [pa.array(_signed(child)), pa.array(place), ids, sizes],
+                    ["node", "path", "doc_id", "parent"],
                 )
 
-    return rows.select("node", "doc_id", "minima", "n").mapInArrow(
-        run, "node bigint, doc_id bigint, parent bigint"
+    return rows.select("node", "path", "doc_id", "minima", "n").mapInArrow(
+        run, "node bigint, path bigint, doc_id bigint, parent bigint"
     )
 
 
-def _leaves(sets: DataFrame, how: Similarity) -> DataFrame:
+def _leaves(sets: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     """``node``, ``doc_id``, ``n`` of all nodes that are compared; ``n`` is the node's size.
 
     Only nodes of two sets or more are walked, so what is carried from level to
-    level is a small part of the input.
+    level is a small part of the input. Tokens below the roots are made from the
+    texts again, of the sets in large nodes only.
     """
     trees = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(how.trees - 1).cast("bigint")))
     roots = sets.select(trees.alias("node"), "doc_id", "minima", F.lit(None).cast("bigint").alias("n"))
-    rows = _children(roots, 0, how)
+    rows = _children(roots.withColumn("path", F.col("node")), 0)
     leaves = []
     for level in range(1, how.depth + 1):
         rows = written(rows, "nodes")
@@ -186,10 +228,11 @@ def _leaves(sets: DataFrame, how: Similarity) -> DataFrame:
         small, dense = F.col("n") <= how.small, F.col("n") * 2 > F.col("parent")
         leaf = F.lit(True) if level == how.depth else small | F.coalesce(dense, F.lit(False))
         leaves.append(sized.where(leaf).select("node", "doc_id", "n"))
-        large = sized.where(~leaf).select("node", "doc_id", "n")
+        large = sized.where(~leaf).select("node", "path", "doc_id", "n")
         if level == how.depth or large.isEmpty():
             break
-        rows = _children(large.join(sets.select("doc_id", "minima"), "doc_id"), level, how)
+        ids = sets.join(large.select("doc_id"), "doc_id", "left_semi").select("doc_id", "name")
+        rows = _children(large.join(written(_deeper(ids, docs, level, how), "deeper"), "doc_id"), level)
     return reduce(DataFrame.unionByName, leaves)
 
 
@@ -495,11 +538,11 @@ def near_duplicates(
     reps = classes.where("rep IS NOT NULL")
     sets = (
         found.join(reps.withColumnRenamed("rep", "doc_id"), ["name", "doc_id"], "left_semi")
-        .select("doc_id", "n_shingles", "minima", "sketch")
+        .select("doc_id", "name", "n_shingles", "minima", "sketch")
         .dropDuplicates(["doc_id"])
     )
     sets = written(sets, "sets")
-    leaves = written(_leaves(sets, how), "leaves")
+    leaves = written(_leaves(sets, rows, how), "leaves")
     told = sets.select("doc_id", "n_shingles", "sketch")
 
     alone = _blocks(leaves, how).join(told, "doc_id")

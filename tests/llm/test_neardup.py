@@ -1,8 +1,10 @@
 import random
 
 import corpus
+import numpy as np
 import pytest
 
+from farelake.llm import neardup
 from farelake.llm.components import components
 from farelake.llm.neardup import Similarity, drop_near_duplicates, near_duplicates
 from farelake.llm.queries import LINKED, QUERIES
@@ -105,6 +107,37 @@ def test_pairs_are_seldom_missed():
     assert Similarity().missed() < 1e-4
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_at_the_threshold_meet_on_the_deepest_level(percent):
+    """Of pairs of sets of exactly that similarity, all levels walked, as the formula says."""
+    how, pairs, size = Similarity(percent=percent), 4000, 100
+    rng = np.random.default_rng(percent)
+    union = rng.integers(0, 1 << 64, (pairs, size), np.uint64)
+    half = percent + (size - percent) // 2
+    sets = [union[:, :half], np.concatenate((union[:, :percent], union[:, half:]), 1)]
+    tokens = []
+    for level in range(how.depth):
+        functions = neardup._functions(level, how)
+        tokens.append([
+            neardup._minima(np.ascontiguousarray(s).ravel(), np.arange(pairs + 1) * s.shape[1], functions)
+            for s in sets
+        ])
+    met = np.zeros(pairs, bool)
+    for tree in range(how.trees):
+        start = np.full(pairs, tree, np.uint64), np.full(pairs, tree)
+        walks = [(start, start, np.ones(pairs, bool))]
+        for level, (left, right) in enumerate(tokens):
+            walks = [
+                (a, b, alive & (a[0] == b[0]))
+                for one, other, alive in walks
+                for a, b in zip(
+                    neardup._branched(*one, left, level), neardup._branched(*other, right, level), strict=True
+                )
+            ]
+        met |= np.any([alive for _, _, alive in walks], axis=0)
+    assert (~met).sum() <= 2 and pairs * how.missed() < 0.1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)]
     links += [(7, 7), (None, 3), (500, -4)]
