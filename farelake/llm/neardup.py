@@ -242,8 +242,11 @@ def _similar(
     """Estimated similarity of sets to others, zero where it can't reach the threshold.
 
     Bytes of sketches that are unlike differ in four of their eight bits on the
-    average, so the bits that differ tell how many bytes are unlike.
+    average, so the bits that differ tell how many bytes are unlike. A pair is
+    out if that is five deviations and one byte below the threshold, by the bytes that
+    either set fills: less than one in 10^5 of the pairs at the threshold, for any number of them.
     """
+    t = how.percent / 100
     out = np.empty((len(rows), len(columns)), np.float32)
     bits = np.ascontiguousarray(sketches.view(np.uint64).T)
     filled = np.ascontiguousarray(np.packbits(sketches > 0, axis=1).view(np.uint64).T)
@@ -252,12 +255,12 @@ def _similar(
         own = rows[i : i + 32]
         unlike = np.bitwise_count(bits[:, own, None] ^ others).sum(0, dtype=np.uint16)
         either = np.bitwise_count(filled[:, own, None] | filled_others).sum(0, dtype=np.uint16)
-        out[i : i + 32] = 1 - unlike / (4 * np.maximum(1, either).astype(np.float32))
-    # Five deviations below the threshold.
-    t = how.percent / 100
-    least = t - 5 * math.sqrt(t * (1 - t) * 1.25 / SKETCH)
+        either = np.maximum(1, either).astype(np.float32)
+        near = 1 - unlike / (4 * either)
+        least = t - np.float32(5 * math.sqrt(t * (1 - t) * 1.25)) / np.sqrt(either) - 1 / either
+        out[i : i + 32] = np.where(near < least, 0, np.maximum(near, np.float32(1e-3)))
     a, b = sizes[rows][:, None], sizes[columns]
-    out[(out < least) | (100 * np.minimum(a, b) < how.percent * np.maximum(a, b))] = 0
+    out[100 * np.minimum(a, b) < how.percent * np.maximum(a, b)] = 0
     return out
 
 
@@ -517,8 +520,9 @@ def near_duplicates(
     is enough where all of them hold. Where a node's classes are not all
     connected by then, the sets of those that are alike to another component
     come together and are compared in full, and again only links that connect
-    are written. So no group's pairs are ever written, and no pair of a leaf is left
-    out that could change a component.
+    are written. So no group's pairs are ever written, and of the pairs of a leaf that
+    could change a component, those are left out whose sketches are too unlike by chance,
+    less than one in 10^5.
 
     ``component_id`` is the smallest id reachable over links, and ``kept`` says
     that it is the row's own. A null text is empty; a text without words is

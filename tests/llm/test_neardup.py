@@ -138,6 +138,29 @@ def test_pairs_at_the_threshold_meet_on_the_deepest_level(percent):
     assert (~met).sum() <= 2 and pairs * how.missed() < 0.1
 
 
+@pytest.mark.parametrize(
+    ("percent", "shared", "more"),
+    [(80, 4, (0, 1)), (80, 8, (1, 1)), (85, 6, (0, 1)), (80, 80, (10, 10)), (80, 800, (100, 100))],
+)
+def test_sketches_of_small_sets_lose_no_link(percent, shared, more):
+    how, pairs = Similarity(percent=percent), 20_000 if shared < 100 else 2_000
+    rng = np.random.default_rng(shared)
+    union = rng.integers(0, 1 << 64, (pairs, shared + sum(more)), np.uint64)
+    one, other = union[:, : shared + more[0]], np.delete(union, np.s_[shared : shared + more[0]], 1)
+    sketches, sizes = [], []
+    for s in (one, other):
+        s = np.sort(s, axis=1)
+        sketches.append(neardup._sketches(s.ravel(), np.arange(pairs + 1) * s.shape[1]))
+        sizes.append(np.full(pairs, s.shape[1]))
+    lost = 0
+    for i in range(0, pairs, 100):
+        own = slice(i, i + 100)
+        pair = np.concatenate([s[own] for s in sketches]), np.concatenate([n[own] for n in sizes])
+        likeness = neardup._similar(*pair, np.arange(100), np.arange(100, 200), how)
+        lost += int((np.diagonal(likeness) <= 0).sum())
+    assert lost <= 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)]
     links += [(7, 7), (None, 3), (500, -4)]
