@@ -114,7 +114,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
-    """``doc_id``, ``n_shingles``, the set's 128-bit name, its minwise tokens at the roots and its sketch.
+    """``doc_id``, ``digest``, ``n_shingles``, the set's 128-bit name, its minwise tokens at the roots and its sketch.
 
     A text without words has null in the last three.
     """
@@ -135,14 +135,15 @@ def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("digest"),
                     pa.array(sizes.astype(np.int64)),
                     *(pa.array(list(x), pa.binary()) for x in (names, minima, sketches)),
                 ],
-                ["doc_id", "n_shingles", "name", "minima", "sketch"],
+                ["doc_id", "digest", "n_shingles", "name", "minima", "sketch"],
             )
 
     return docs.mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, name binary, minima binary, sketch binary"
+        run, "doc_id bigint, digest bigint, n_shingles bigint, name binary, minima binary, sketch binary"
     )
 
 
@@ -531,9 +532,14 @@ def near_duplicates(
     else null, and then they are kept. Rows that repeat an id count as one, with
     the first set that is found. Other columns are not read.
     """
+    return _placed(docs, how, key, text).drop("digest")
+
+
+def _placed(docs: DataFrame, how: Similarity, key: str, text: str) -> DataFrame:
+    """The rows of ``near_duplicates``, with the ``digest`` of the row's text."""
     rows = docs.select(
         F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
-    )
+    ).withColumn("digest", F.xxhash64("text"))
     found = written(signatures(rows, how), "signatures")
     classes = (
         found.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("rep"))
@@ -569,9 +575,9 @@ def near_duplicates(
     )
     own = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        found.select("doc_id", "n_shingles", "name")
+        found.select("doc_id", "digest", "n_shingles", "name")
         .join(placed, "name", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
+        .select("doc_id", "digest", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
@@ -580,6 +586,8 @@ def drop_near_duplicates(
     docs: DataFrame, how: Similarity = Similarity(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns; rows without an id stay."""
-    found = near_duplicates(docs, how, key, text)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs[key].cast("bigint") == gone["gone"], "left_anti")
+    found = _placed(docs, how, key, text)
+    # An id may stand for several texts, of which only some are copies.
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone"), "digest").distinct()
+    same = F.xxhash64(docs[text].cast("string")) == gone["digest"]
+    return docs.join(gone, (docs[key].cast("bigint") == gone["gone"]) & same, "left_anti")

@@ -98,6 +98,12 @@ def test_kept_rows_keep_their_columns(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [-9, 0, 0, 1, 2, 3, 4, 8]
 
 
+def test_an_id_with_a_copy_and_a_text_of_its_own_keeps_the_latter(spark):
+    rows = [(3, corpus.text(1, 60)), (7, corpus.text(1, 60)), (7, corpus.text(2, 60))]
+    kept = drop_near_duplicates(corpus.documents(spark, rows), LINKED)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [rows[0], rows[2]]
+
+
 def test_empty_table(spark):
     assert near_duplicates(corpus.empty(spark), LINKED).count() == 0
 
