@@ -7,8 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from farelake.session import local_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def session(tmp_path_factory):
@@ -46,8 +44,3 @@ def conf(spark):
             spark.conf.unset(name)
         else:
             spark.conf.set(name, value)
-
-
-def rows(df):
-    """All rows as tuples in a stable order."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)

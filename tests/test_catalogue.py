@@ -4,7 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 import __spark_entry__ as entry_points
 from farelake.checks.queries import QUERIES

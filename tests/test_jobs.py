@@ -2,7 +2,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql.types import StructType
 from test_sources_sinks import put
 

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 from pyspark.sql import functions as F
 
 from farelake.checks import proxy

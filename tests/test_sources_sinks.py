@@ -3,7 +3,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
