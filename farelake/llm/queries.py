@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.llm import (
+    alignment,
     decontam,
     exact,
     language,
@@ -130,3 +131,9 @@ def op10_lm_score(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     held = scoring.held_out("doc_id", 10)
     return scoring.score_texts(docs, ~held).withColumn("held_out", held)
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    found = alignment.align_tokens(_table(spark, sf_dir, "documents"))
+    return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
