@@ -9,7 +9,8 @@ counted by pair within a chunk of documents; Spark merges the counts.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,12 @@ from pyspark.sql import functions as F
 from farelake.llm.scratch import written
 from farelake.llm.words import chunks
 
+#: Words that are encoded as one text.
+TOGETHER = 64
+# Bytes after which a word may end: the printable ones of ASCII.
+_CLOSED = np.zeros(256, bool)
+_CLOSED[0x21:0x7F] = True
+
 
 @dataclass(frozen=True)
 class Vocabularies:
@@ -80,13 +87,120 @@ class Tokenizers:
             for n, marks in ((len(self.bytes_a), ",|"), (size, ",;"))
         )
 
-    def encode_a(self, texts: list[str]) -> pa.ListArray:
-        found = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
-        return pa.array([np.array(e.ids, np.int32) for e in found], pa.list_(pa.int32()))
+        # Where a word may be cut off before its space: neither tokenizer has tokens across it.
+        self.cuts = self._splits_a(how) and self._splits_b(size)
+
+    def _splits_a(self, how: Vocabularies) -> bool:
+        """Whether A parts texts before a space that follows a printable character of ASCII, whatever stands around."""
+        with open(how.a, encoding="utf-8") as f:
+            made_of = json.load(f)
+        parts = made_of["pre_tokenizer"] or {}
+        return made_of["normalizer"] is None and (
+            parts.get("type"), parts.get("add_prefix_space"), parts.get("use_regex")
+        ) == ("ByteLevel", False, True)
+
+    def _splits_b(self, size: int) -> bool:
+        """Whether B keeps all spaces, and none stands inside a piece behind another character."""
+        pieces = self.b.id_to_piece(list(range(size)))
+        kept = "".join(self.b.id_to_piece(self.b.encode("a  b ")))
+        return kept == "▁a▁▁b▁" and not any("▁" in p.lstrip("▁") for p in pieces)
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that start with the space that A is given."""
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_b(self, texts: list[str]) -> list[list[int]]:
+        return self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def encode(self, texts: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
+        """The ids that A and B make of texts, each of which starts with a space.
+
+        Texts are cut into words, and each distinct word is encoded once.
+        """
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        first = np.zeros(len(data), bool)
+        if self.cuts:
+            first = data == 0x20
+            first[1:] &= _CLOSED[data[:-1]]
+            first[ends - 1] = False
+        first[ends - sizes] = True
+        starts = np.flatnonzero(first)
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(),
+            len(starts),
+            [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)],
+        ).dictionary_encode()
+        of_text = np.append(0, np.searchsorted(starts, ends))
+        distinct = words.dictionary.to_pylist()
+        return tuple(
+            _regrouped(_encoded(run, entries, distinct).take(words.indices), of_text)
+            for run, entries in ((self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b))
+        )
+
 
-    def encode_b(self, texts: list[str]) -> pa.ListArray:
-        found = self.b.encode(texts, num_threads=1)
-        return pa.array([np.array(ids, np.int32) for ids in found], pa.list_(pa.int32()))
+def _regrouped(lists: pa.ListArray, bounds: np.ndarray) -> pa.ListArray:
+    """Lists of neighbours as one list each."""
+    offsets = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+    return pa.ListArray.from_arrays(pa.array(offsets[bounds].astype(np.int32)), lists.flatten())
+
+
+def _encoded(
+    run: Callable[[list[str]], list[list[int]]], entries: pa.Array, words: list[bytes]
+) -> pa.ListArray:
+    """The ids of each word.
+
+    Words that end in a printable character are encoded as one text together
+    with others, and told apart by where they end. Where that fails, and for
+    all others, each is a text of its own.
+    """
+    sizes = pc.binary_length(entries).to_numpy()
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    closed = _CLOSED[np.fromiter((w[-1] for w in words), np.int64, len(words))]
+
+    def attempt(order: np.ndarray, text_of: np.ndarray) -> tuple[pa.ListArray, np.ndarray]:
+        """Ids of the words in this order, and which words are in texts that could not be told apart."""
+        firsts = np.flatnonzero(np.append(True, text_of[1:] != text_of[:-1]))
+        bounds = np.append(firsts, len(order)).tolist()
+        ordered = [words[i] for i in order.tolist()]
+        texts = zip(bounds[:-1], bounds[1:], strict=True)
+        found = [np.array(x, np.int32) for x in run([b"".join(ordered[s:e]).decode() for s, e in texts])]
+        upto = np.cumsum([len(x) for x in found])
+        ids = np.concatenate(found)
+        of_text = np.repeat(np.arange(len(found)), np.diff(np.append(0, upto)))
+        # Ends of ids and of words, counted from the start of their text.
+        made = np.append(0, np.cumsum(sizes[ids]))
+        made = made[1:] - made[np.append(0, upto[:-1])][of_text]
+        wanted = np.cumsum(lengths[order])
+        wanted -= (wanted - lengths[order])[firsts][text_of]
+        keys = (of_text << 40) + made
+        at = np.minimum(np.searchsorted(keys, (text_of << 40) + wanted), len(keys) - 1)
+        lasts = np.array(bounds[1:]) - 1
+        parted = keys[at] == (text_of << 40) + wanted
+        parted[lasts] &= at[lasts] == upto - 1
+        good = np.bincount(text_of, ~parted) == 0
+        alone = firsts == lasts
+        at[lasts[alone]] = upto[alone] - 1
+        good |= alone
+        kept = good[text_of]
+        counts = np.diff(np.append(-1, at))
+        counts[firsts] = at[firsts] + 1 - np.append(0, upto[:-1])
+        offsets = np.append(0, np.cumsum(counts[kept])).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[good[of_text]])), ~kept
+
+    if not words:
+        return pa.array([], pa.list_(pa.int32()))
+    together, alone = np.flatnonzero(closed), np.flatnonzero(~closed)
+    order = np.concatenate((together, alone))
+    groups = -(-len(together) // TOGETHER)
+    text_of = np.concatenate((np.arange(len(together)) // TOGETHER, groups + np.arange(len(alone))))
+    lists, failed = attempt(order, text_of)
+    if failed.any():
+        again = order[failed]
+        order = np.concatenate((order[~failed], again))
+        lists = pa.concat_arrays([lists, attempt(again, np.arange(len(again)))[0]])
+    return lists.take(pa.array(np.argsort(order)))
 
 
 def _texts(column: pa.Array) -> list[str | None]:
@@ -189,9 +303,8 @@ def _chunk(
     n = batch.num_rows
     read = _texts(batch.column("text"))
     live = np.array([i for i, t in enumerate(read) if t], np.int64)
-    texts = [read[i] for i in live]
-    wanted = [f" {t}".encode() for t in texts]
-    a, b = tokenizers.encode_a(texts), tokenizers.encode_b(texts)
+    wanted = [f" {read[i]}".encode() for i in live]
+    a, b = tokenizers.encode(wanted)
     good = _faithful(a, tokenizers.bytes_a, wanted) & _faithful(b, tokenizers.bytes_b, wanted)
     live = live[good]
     counts = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
@@ -263,7 +376,8 @@ def align_tokens(
     result.
 
     Texts are tokenized once, in chunks of a bounded number of bytes (a longer
-    text is a chunk of its own). A chunk lists its distinct pairs once, so what
+    text is a chunk of its own), and each distinct word of a chunk once, where
+    the vocabularies show that no token reaches from a word into the next. A chunk lists its distinct pairs once, so what
     meets the counts grows with the chunks' vocabularies and not with the
     links; the counts come back to a chunk in one list and are never broadcast.
     """
