@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from farelake.llm import (
     alignment,
+    collocations,
     decontam,
     exact,
     language,
     licences,
     mixture,
     neardup,
+    nearvectors,
     quality,
     repeats,
     scoring,
@@ -133,6 +135,84 @@ def op10_lm_score(spark, sf_dir):
     return scoring.score_texts(docs, ~held).withColumn("held_out", held)
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, size, list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' ')) AS g
+    FROM words, unnest([1, 2, 3]) AS sizes(size)
+), counts AS (
+    SELECT lang, size, phrase, count(*) AS f
+    FROM (SELECT lang, size, unnest(g) AS phrase FROM grams) GROUP BY ALL
+), candidates AS (
+    SELECT lang, size, phrase, f AS a FROM counts WHERE size > 1 AND f >= 10
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+        ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+    JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covers AS (
+    SELECT lang, phrase, max(a) AS cover FROM (
+        SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+        FROM (SELECT lang, a, string_split(phrase, ' ') AS w FROM candidates WHERE size = 3)
+    ) GROUP BY ALL
+), ranked AS (
+    SELECT l.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+    FROM lowest l LEFT JOIN covers c USING (lang, phrase)
+    WHERE c.cover IS NULL OR 100 * c.cover < 50 * l.a
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_near_vectors(spark, sf_dir):
+    return nearvectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs; for tables as small as the ones it is checked on.
+ORACLE["op12_near_vectors"] = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), sound AS MATERIALIZED (
+    SELECT vec_id, list_transform(e, lambda x: coalesce(x, 0)) AS e FROM vectors
+    WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+        AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+    WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM vectors
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+), component AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counted USING (vec_id)
+"""
+
+
 @query
 def op13_alignment(spark, sf_dir):
     found = alignment.align_tokens(_table(spark, sf_dir, "documents"))

@@ -16,12 +16,12 @@ CHUNK_BYTES = 2 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 
 U64 = np.uint64
 # Masks that keep the first bytes of a little-endian word of eight.
-_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -105,17 +105,17 @@ class Words:
         self.counts = np.diff(self.bounds)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
         if lower:
-            self.data = _LOWER[self.data]
+            self.data = LOWER[self.data]
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes, which are taken eight at a time."""
         lengths = self.ends - self.starts
-        out = mix(lengths.astype(np.uint64) * _STEP)
+        out = mix(lengths.astype(np.uint64) * _STEP + U64(seed))
         padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
         eights = np.ndarray(len(self.data) + 1, np.uint64, padded, strides=(1,))
         left, at, rest = np.arange(len(out)), self.starts, lengths
         while len(left):
-            out[left] = mix(out[left] ^ (eights[at] & _FIRST[np.minimum(rest, 8)]))
+            out[left] = mix(out[left] ^ (eights[at] & FIRST[np.minimum(rest, 8)]))
             more = np.flatnonzero(rest > 8)
             left, at, rest = left[more], at[more] + 8, rest[more] - 8
         return out
