@@ -23,7 +23,7 @@ from farelake.llm.scratch import written
 from farelake.llm.words import FIRST, LOWER, U64, Words, chunks, mix, text_buffer
 
 #: Text that a task works on at once, in bytes.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Hash functions that are tried until no two words share a hash.
 TRIES = 8
 #: Prefixes are weighed in this many bins, as a power of two, by their first word.
