@@ -62,6 +62,13 @@ def write_month_files(
     return path
 
 
+def rewrite_month(spark: SparkSession, sf_dir: str, path: str, year: int, month: int, seats: Column) -> None:
+    """Put another file in the place of one month's, with other seats."""
+    period = f"{year}{month:02d}.CSV"
+    rows = fare_rows(spark, sf_dir).where(F.col("period") == period).withColumn("seats", seats)
+    rows.drop("period").coalesce(1).write.mode("overwrite").csv(f"{path}/period={period}", sep=";")
+
+
 def operation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operations under the titles of the statistics file, and one column more."""
     source = proxy.operation_source(spark, sf_dir).withColumns(
@@ -132,3 +139,17 @@ def write_json_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
     )
     documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
+
+
+def write_json_array(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """All orders as one array in one file, with texts that hold quotes, brackets and escapes."""
+    priority = F.col("o_orderpriority")
+    row = F.struct(
+        "o_orderkey",
+        F.concat(F.lit('{"'), priority, F.lit('\\"}, [{')).alias("note"),
+        F.array(priority, F.lit("}")).alias("marks"),
+        F.struct("o_custkey", F.struct(F.col("o_totalprice").alias("price")).alias("total")).alias("of"),
+    )
+    whole = proxy.table(spark, sf_dir, "orders").agg(F.to_json(F.collect_list(row)).alias("value"))
+    whole.write.text(path)
+    return path

@@ -106,6 +106,10 @@ RELATIONS = {
     "fare_again": "SELECT * REPLACE (7 AS seats) FROM fare WHERE year = 1997",
     "avg_fare_again": _mean("fare_again"),
     "joined_again": _joined("avg_fare_again", "ops"),
+    "avg_fare_month": _mean(
+        "(SELECT * REPLACE (CASE WHEN year = 1997 AND month = 3 THEN 7 ELSE seats END AS seats) FROM fare)"
+    ),
+    "joined_month": _joined("avg_fare_month", "ops"),
     "placed": """
         SELECT f.*, c.city, c.state FROM fare f LEFT JOIN airport c ON f.destination = c.icao""",
 }
@@ -233,6 +237,10 @@ _SELECTS = {
     "src_headered_csv_semicolon": f"""
         SELECT {_OPERATION_TEXT}, 'REGULAR' AS GRUPO_DE_VOO FROM operation_landing""",
     "src_multiline_json": _CUSTOMER_JSON,
+    "src_json_array_ranges": """
+        SELECT o_orderkey, '{"' || o_orderpriority || '\\"}, [{' AS note, '}' AS mark, o_custkey,
+               o_totalprice AS price
+        FROM orders""",
     "zone_parquet_roundtrip": """
         SELECT *, 'directory' AS via FROM fare UNION ALL SELECT *, 'glob' AS via FROM fare""",
     "zone_partition_overwrite": """
@@ -268,12 +276,20 @@ _SELECTS = {
                CAST(NULL AS VARCHAR) AS unread
         FROM operation_landing WHERE year BETWEEN 1995 AND 1998 AND origin = 'N'""",
     "job_process_distances": _CUSTOMER_JSON,
+    "job_process_distances_ranges": _CUSTOMER_JSON,
     "job_run": f"SELECT * REPLACE ({_AS_TEXT}) FROM curated",
     "job_run_all_origins": f"SELECT * REPLACE ({_AS_TEXT}) FROM curated_all",
     "job_refresh_years": f"""
         SELECT * REPLACE ({_AS_TEXT}) FROM curated WHERE year NOT IN (1997, 1998)
         UNION ALL
         SELECT * REPLACE ({_AS_TEXT}) FROM ({_curated("joined_again")})""",
+    "job_committed_refresh": f"""
+        SELECT * REPLACE ({_AS_TEXT}) FROM ({_curated("joined_month")}) WHERE year <= 1998""",
+    "sink_publish_view": f"""
+        SELECT * REPLACE ({_AS_TEXT}) FROM ({_curated("joined_month")}) WHERE year <= 1998""",
+    "job_versions": """
+        SELECT * REPLACE (CAST(company AS VARCHAR) AS company, CAST(destination AS VARCHAR) AS destination)
+        FROM avg_fare WHERE year <= 1998""",
 }
 
 ORACLE = {name: _with(select) for name, select in _SELECTS.items()}

@@ -14,6 +14,7 @@ from farelake.config import (
     CURATED_COLUMNS,
     FARE_COLUMNS,
     FARE_KEYS,
+    MEAN_SCHEMA,
     OPERATION_COLUMNS,
     LakeConfig,
 )
@@ -37,7 +38,7 @@ from farelake.operators import (
     unmatched,
     weighted_mean,
 )
-from farelake.plans import jobs
+from farelake.plans import committed, jobs
 from farelake.plans.curate import curate_means, written_means
 from farelake.plans.curate import curate_yearly as curate_in_year
 from farelake.session import scratch_path
@@ -46,6 +47,7 @@ from farelake.sources import (
     month_paths,
     read_headered,
     read_headerless,
+    read_json_arrays,
     read_json_documents,
     read_zone,
     register,
@@ -352,6 +354,17 @@ def src_multiline_json(spark, sf_dir):
     return read_json_documents(spark, path)
 
 
+@query
+def src_json_array_ranges(spark, sf_dir):
+    """One array in one file, read by as many tasks as the file has ranges."""
+    path = landing.write_json_array(spark, sf_dir, scratch_path(spark, "array"))
+    read = read_json_arrays(spark, path)
+    return read.select(
+        "o_orderkey", "note", F.element_at("marks", 2).alias("mark"), "of.o_custkey",
+        F.col("of.total.price").alias("price"),
+    )
+
+
 # Zones and sinks
 
 
@@ -468,6 +481,14 @@ def job_process_distances(spark, sf_dir):
     return jobs.process_distances(spark, cfg)
 
 
+@query
+def job_process_distances_ranges(spark, sf_dir):
+    """The same documents, each file read by ranges."""
+    cfg = replace(_lake(spark), split_documents=True)
+    landing.write_json_documents(spark, sf_dir, cfg.landing_path(cfg.distances_path))
+    return jobs.process_distances(spark, cfg)
+
+
 def _run(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
     """Landing files to warehouse tables."""
     table = _database(spark) + ".data{year}"
@@ -525,3 +546,38 @@ def job_refresh_years(spark, sf_dir):
     jobs.process_fares(spark, replace(refresh, landing=root))
     jobs.curate_and_publish(spark, refresh)
     return _published(spark, cfg)
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """A first version from landing files, then another one after a month's file has changed."""
+    table = _database(spark) + ".curated"
+    cfg = replace(_lake(spark), years=proxy.OPERATION_YEARS, table=table)
+    landing.write_month_files(spark, sf_dir, cfg.landing_path("price"))
+    landing.write_operations(spark, sf_dir, cfg.landing_path(cfg.operations_dir))
+    landing.write_airports(spark, sf_dir, cfg.landing_path(cfg.airports_dir))
+    jobs.process_operations(spark, cfg)
+    jobs.process_airports(spark, cfg)
+    committed.refresh(spark, cfg)
+    landing.rewrite_month(spark, sf_dir, cfg.landing_path("price"), YEAR, 3, F.lit("7"))
+    committed.refresh(spark, cfg)
+    return cfg
+
+
+@query
+def job_committed_refresh(spark, sf_dir):
+    """The curated relation through the manifest, after a refresh that has read one month's file."""
+    return committed.read(spark, _versions(spark, sf_dir))
+
+
+@query
+def sink_publish_view(spark, sf_dir):
+    """The same version through the catalogue, where one statement shows it."""
+    return spark.table(_versions(spark, sf_dir).table)
+
+
+@query
+def job_versions(spark, sf_dir):
+    """The version before the last one, which is kept whole."""
+    cfg = _versions(spark, sf_dir)
+    log = committed.versions(spark, cfg)
+    return log.read(committed.MEANS, MEAN_SCHEMA, log.snapshot(log.numbers()[-2]))

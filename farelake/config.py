@@ -104,6 +104,8 @@ class LakeConfig:
     distances_path: str = "dist"
     # Without a schema each run reads the distance documents twice, once to find it.
     distances_schema: str | None = None
+    # Read arrays of objects by ranges, so that many tasks read one large file.
+    split_documents: bool = False
     text_options: Mapping[str, str] = field(default_factory=dict)
 
     price_sentinel: str = PRICE_SENTINEL

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +36,11 @@ from farelake.sinks import (
     write_processing,
 )
 from farelake.sources import (
+    file_part,
     month_paths,
     read_headered,
     read_headerless,
+    read_json_arrays,
     read_json_documents,
     read_zone,
 )
@@ -62,8 +64,8 @@ def _unread(cells: dict[str, tuple[Column, Column]]) -> Column:
     return F.nullif(F.concat_ws(",", *named), F.lit("")).alias("unread")
 
 
-def clean_fares(raw: DataFrame, cfg: LakeConfig, year: int) -> DataFrame:
-    """Raw fare rows of one year's files, of the origin, without header lines, typed.
+def clean_fares(raw: DataFrame, cfg: LakeConfig, year: int | Column) -> DataFrame:
+    """Raw fare rows, of the origin, without header lines, typed; ``year`` is that of a row's file.
 
     A fare belongs to the year its file is of. What its own cell says is kept
     beside it, and a cell that cannot be read is named, so both can be counted
@@ -81,13 +83,29 @@ def clean_fares(raw: DataFrame, cfg: LakeConfig, year: int) -> DataFrame:
     )
     cells = {name: (F.col(f"_{name}"), F.col(name)) for name in types}
     return typed.select(
-        F.lit(year).alias("year"),
+        (year if isinstance(year, Column) else F.lit(year)).alias("year"),
         *[name for name in FARE_COLUMNS if name != "year"],
         F.col("year").alias("yearCell"),
         _unread(cells),
+        *[name for name in raw.columns if name == "period"],
     )
 
 
+def read_fares(
+    spark: SparkSession, cfg: LakeConfig, paths: list[str], period: bool = False
+) -> DataFrame:
+    """The fares of month files, in one scan; the year is the one in the path of a row's file.
+
+    With ``period`` there is a column more, year * 100 + month of the file.
+    """
+    raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
+    year = file_part(cfg.month_file, "year")
+    of_file = {"fileYear": year}
+    if period:
+        of_file["period"] = year * 100 + file_part(cfg.month_file, "month")
+    return clean_fares(raw.withColumns(of_file), cfg, F.col("fileYear"))
+
+
 def clean_operations(raw: DataFrame, cfg: LakeConfig) -> DataFrame:
     """Raw statistics under short names, typed, of the years and the origin."""
     texts = select_as(raw, OPERATION_COLUMNS)
@@ -123,14 +141,10 @@ def _write_years(df: DataFrame, path: str, cfg: LakeConfig, compact: bool = True
 
 def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """The month files of the run's years, cleaned and kept by the year of the file."""
-    by_year = []
-    for year in cfg.years:
-        paths = month_paths(cfg.landing, [year], cfg.months, cfg.month_file)
-        raw = read_headerless(spark, paths, FARE_COLUMNS, sep=";", **cfg.text_options)
-        by_year.append(clean_fares(raw, cfg, year))
+    paths = month_paths(cfg.landing, cfg.years, cfg.months, cfg.month_file)
     target = cfg.processing_path(FARES)
     # Files are worth a shuffle only where few rows are left of each split.
-    fares = reduce(DataFrame.unionAll, by_year)
+    fares = read_fares(spark, cfg, paths)
     _write_years(fares, target, cfg, compact=cfg.origin is not None)
     return read_zone(spark, target, schema=FARE_SCHEMA)
 
@@ -156,7 +170,8 @@ def process_distances(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """The distance documents, under the schema found in them if none is given; no part of ``run``."""
     target = cfg.processing_path(DISTANCES)
     source = cfg.landing_path(cfg.distances_path)
-    write_processing(read_json_documents(spark, source, schema=cfg.distances_schema), target)
+    read = read_json_arrays if cfg.split_documents else read_json_documents
+    write_processing(read(spark, source, schema=cfg.distances_schema), target)
     return read_zone(spark, target, schema=cfg.distances_schema)
 
 

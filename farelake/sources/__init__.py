@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from string import Formatter
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from farelake.config import MONTH_FILE
+from farelake.sources.documents import json_elements, read_json_arrays
+
+__all__ = [
+    "file_part",
+    "json_elements",
+    "month_paths",
+    "read_headered",
+    "read_headerless",
+    "read_json_arrays",
+    "read_json_documents",
+    "read_zone",
+    "register",
+]
 
 
 def month_paths(
@@ -25,6 +42,25 @@ def month_paths(
     ]
 
 
+def file_part(pattern: str, name: str) -> Column:
+    """The number that stands for ``{name}`` of a pattern in the path of a row's file.
+
+    A "file" may be a directory, whose part files then count as it. The column
+    holds for rows that come straight from a reader of files.
+    """
+    regex, found = "(?:^|/)", False
+    for literal, part, *_ in Formatter().parse(pattern):
+        regex += "".join(f"(?:{re.escape(c)}|{quote(c)})" for c in literal)  # paths may be encoded
+        if part is not None:
+            digits = r"\d{2}" if part == "month" else r"\d+"
+            regex += f"({digits})" if part == name and not found else digits
+            found |= part == name
+    if not found:
+        raise ValueError(f"{pattern!r} has no {name}")
+    path = F.col("_metadata.file_path")
+    return F.regexp_extract(path, f"{regex}(?:/[^/]*)?$", 1).try_cast("int")
+
+
 def read_headerless(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -62,7 +98,7 @@ def read_json_documents(
 ) -> DataFrame:
     """JSON files that each hold one document spread over many lines.
 
-    Such a file cannot be split, so large data should come as many files. A
+    One task reads a file. ``read_json_arrays`` reads large arrays by many. A
     schema saves the inference pass.
     """
     reader = spark.read.option("multiLine", True)

@@ -1,0 +1,252 @@
+"""Versions of the lake: one visible commit, and refreshes that read what has changed."""
+
+from dataclasses import replace
+
+import pytest
+from helpers import SF_DIR, rows
+from pyspark.sql import functions as F
+
+from farelake import LakeConfig
+from farelake.checks import landing, proxy
+from farelake.plans import committed, jobs
+from farelake.sinks import snapshots
+from farelake.sinks.snapshots import CommitConflict, SnapshotLog, publish_view
+from farelake.sources import file_part
+
+SCHEMA = "k int, year int"
+
+
+@pytest.fixture
+def spark(session):
+    session.conf.set("spark.sql.ansi.enabled", "true")
+    return session
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    return SnapshotLog(spark, f"file://{tmp_path}/log")
+
+
+def frame(spark, values):
+    return spark.createDataFrame(values, SCHEMA)
+
+
+def commit(spark, log, values, years=None, relation="r"):
+    run = log.begin()
+    run.write(relation, frame(spark, values), "year", years)
+    return run.commit()
+
+
+def test_nothing_is_there_before_the_first_commit(spark, log):
+    assert log.latest().number == 0 and log.numbers() == []
+    assert rows(log.read("r", SCHEMA)) == []
+
+
+def test_rows_are_seen_after_the_commit_only(spark, log):
+    run = log.begin()
+    run.write("r", frame(spark, [(1, 2001), (2, 2002)]), "year")
+    assert rows(log.read("r", SCHEMA)) == []
+    assert rows(run.read("r", SCHEMA)) == [(1, 2001), (2, 2002)]
+    run.commit()
+    assert rows(log.read("r", SCHEMA)) == [(1, 2001), (2, 2002)]
+    assert log.latest().notes["rows of r"] == 2
+
+
+def test_a_refresh_replaces_exactly_its_partitions(spark, log):
+    commit(spark, log, [(1, 2001), (2, 2002), (3, 2003), (9, None)])
+    commit(spark, log, [(4, 2002)], [2002, 2003])
+    assert rows(log.read("r", SCHEMA)) == [(1, 2001), (4, 2002), (9, None)]
+    assert rows(log.read("r", SCHEMA, log.snapshot(1))) == [(1, 2001), (2, 2002), (3, 2003), (9, None)]
+    assert rows(log.read("r", SCHEMA, only=["year=2002", "year=2003"])) == [(4, 2002)]
+    folders = log.latest().folders["r"]
+    assert folders["year=2001"] == log.snapshot(1).folders["r"]["year=2001"]
+    commit(spark, log, [], [2001, 2002])
+    assert rows(log.read("r", SCHEMA)) == [(9, None)]
+
+
+def test_a_row_of_another_partition_is_an_error(spark, log):
+    run = log.begin()
+    with pytest.raises(Exception, match="not one of"):
+        run.write("r", frame(spark, [(1, 2001), (2, 2002)]), "year", [2001])
+
+
+def test_relations_appear_together(spark, log):
+    run = log.begin()
+    run.write("a", frame(spark, [(1, 2001)]), "year")
+    run.write("b", frame(spark, [(2, 2001)]), "year")
+    run.commit()
+    assert log.numbers() == [1]
+    assert rows(log.read("a", SCHEMA)) == [(1, 2001)] and rows(log.read("b", SCHEMA)) == [(2, 2001)]
+
+
+def test_of_two_runs_side_by_side_one_commits(spark, log):
+    commit(spark, log, [(1, 2001)])
+    first, second = log.begin(), log.begin()
+    first.write("r", frame(spark, [(2, 2002)]), "year", [2002])
+    second.write("r", frame(spark, [(3, 2003)]), "year", [2003])
+    second.commit()
+    with pytest.raises(CommitConflict):
+        first.commit()
+    assert rows(log.read("r", SCHEMA)) == [(1, 2001), (3, 2003)]
+    assert log._names("manifests") == [f"{n:010d}.json" for n in (1, 2)] or set(
+        n for n in log._names("manifests") if n.endswith(".json")
+    ) == {f"{n:010d}.json" for n in (1, 2)}
+
+
+def test_old_versions_expire_with_the_folders_only_they_name(spark, log):
+    for k in range(4):
+        commit(spark, log, [(k, 2000 + k)], [2000 + k])
+    commit(spark, log, [(9, 2000)], [2000])
+    open_run = log.begin()
+    open_run.write("r", frame(spark, [(7, 2007)]), "year", [2007])
+    gone = log.expire(keep=1)
+    assert len(gone) == 1 and log.numbers() == [5]  # only the first version's year was replaced
+    want = [(1, 2001), (2, 2002), (3, 2003), (9, 2000)]
+    assert rows(log.read("r", SCHEMA)) == want
+    open_run.commit()
+    assert rows(log.read("r", SCHEMA)) == sorted([*want, (7, 2007)], key=repr)
+
+
+def test_a_view_shows_one_version_until_it_is_replaced(spark, log):
+    commit(spark, log, [(1, 2001), (2, 2002)])
+    spark.sql("CREATE DATABASE IF NOT EXISTS versions_test")
+    publish_view(log, "versions_test.v", "r", SCHEMA)
+    commit(spark, log, [(5, 2002)], [2002])
+    assert rows(spark.table("versions_test.v")) == [(1, 2001), (2, 2002)]
+    publish_view(log, "versions_test.v", "r", SCHEMA)
+    assert rows(spark.table("versions_test.v")) == [(1, 2001), (5, 2002)]
+    commit(spark, log, [], [2001, 2002])
+    publish_view(log, "versions_test.v", "r", SCHEMA)
+    assert rows(spark.table("versions_test.v")) == []
+    spark.sql("DROP DATABASE versions_test CASCADE")
+
+
+# The lake in versions
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    cfg = LakeConfig(
+        landing=f"file://{tmp_path}/landing",
+        processing=f"file://{tmp_path}/processing",
+        curated=f"file://{tmp_path}/curated",
+        years=(1996, 1997),
+        origin=proxy.ORIGIN,
+        month_file=f"price/{landing.MONTH_FILE}",
+        table="versions_lake.curated",
+    )
+    spark.sql("CREATE DATABASE IF NOT EXISTS versions_lake")
+    landing.write_month_files(spark, SF_DIR, cfg.landing_path("price"))
+    landing.write_operations(spark, SF_DIR, cfg.landing_path(cfg.operations_dir))
+    landing.write_airports(spark, SF_DIR, cfg.landing_path(cfg.airports_dir))
+    jobs.process_operations(spark, cfg)
+    jobs.process_airports(spark, cfg)
+    yield cfg
+    spark.sql("DROP DATABASE versions_lake CASCADE")
+
+
+def change(spark, cfg, year=1997, month=3, seats="7"):
+    landing.rewrite_month(spark, SF_DIR, cfg.landing_path("price"), year, month, F.lit(seats))
+
+
+def test_a_run_that_fails_between_relations_leaves_all_as_it_was(spark, lake, monkeypatch):
+    committed.refresh(spark, lake)
+    state = {r: rows(committed.read(spark, lake, r)) for r in (committed.FARES, committed.MEANS, committed.CURATED)}
+    table = rows(spark.table(lake.table))
+    change(spark, lake)
+    write = snapshots.Run.write
+
+    def failing(self, relation, *args, **options):
+        if relation == committed.CURATED:
+            raise RuntimeError("executor lost")
+        write(self, relation, *args, **options)
+
+    monkeypatch.setattr(snapshots.Run, "write", failing)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        committed.refresh(spark, lake)
+    assert {r: rows(committed.read(spark, lake, r)) for r in state} == state
+    assert rows(spark.table(lake.table)) == table
+    monkeypatch.undo()
+    committed.refresh(spark, lake)
+    assert rows(committed.read(spark, lake, committed.MEANS)) != state[committed.MEANS]
+
+
+def test_a_run_that_fails_before_it_publishes_can_be_published_again(spark, lake, monkeypatch):
+    committed.refresh(spark, lake)
+    before = rows(spark.table(lake.table))
+    change(spark, lake)
+    monkeypatch.setattr(committed, "publish_view", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        committed.refresh(spark, lake)
+    assert rows(spark.table(lake.table)) == before
+    monkeypatch.undo()
+    committed.publish(spark, lake)
+    assert rows(spark.table(lake.table)) == rows(committed.read(spark, lake)) != before
+
+
+def test_a_refresh_reads_changed_files_only(spark, lake, monkeypatch):
+    read = []
+    original = jobs.read_fares
+    monkeypatch.setattr(jobs, "read_fares", lambda s, c, paths, **o: read.append(paths) or original(s, c, paths, **o))
+    first = committed.refresh(spark, lake)
+    assert len(read[0]) == 24
+    assert committed.refresh(spark, lake) == first and len(read) == 1  # nothing has changed
+    change(spark, lake)
+    second = committed.refresh(spark, lake)
+    assert [p.rsplit("period=", 1)[1] for p in read[1]] == ["199703.CSV"]
+    assert second.notes["read"] == [199703]
+    for relation in (committed.FARES, committed.MEANS, committed.CURATED):
+        own = {p for p, run in second.folders[relation].items() if first.folders[relation].get(p) != run}
+        assert own == ({"period=199703"} if relation == committed.FARES else {"year=1997"})
+
+
+def test_a_refresh_gives_what_a_whole_run_gives(spark, lake):
+    committed.refresh(spark, lake)
+    change(spark, lake)
+    change(spark, lake, 1996, 11, "3")
+    committed.refresh(spark, lake)
+    whole = replace(lake, processing=f"{lake.processing}-whole", curated=f"{lake.curated}-whole", table="versions_lake.y{year}")
+    assert rows(jobs.run(spark, whole)) == rows(committed.read(spark, lake))
+    fares = spark.read.parquet(whole.processing_path(jobs.FARES))
+    got = committed.read(spark, lake, committed.FARES)
+    assert rows(got) == rows(fares.select(*got.columns))
+    assert rows(spark.read.csv(lake.curated_path("1997.csv"), header=True)) == rows(
+        spark.read.csv(whole.curated_path("1997.csv"), header=True)
+    )
+
+
+def test_other_operations_touch_all_years(spark, lake):
+    first = committed.refresh(spark, lake)
+    jobs.process_operations(spark, lake)
+    second = committed.refresh(spark, lake)
+    assert second.number == first.number + 1 and second.notes["read"] == []
+    assert first.folders[committed.FARES] == second.folders[committed.FARES]
+
+
+def test_fares_of_all_years_are_one_scan(spark, lake):
+    paths = [f"{lake.landing}/price/period={y}{m:02d}.CSV" for y in lake.years for m in lake.months]
+    plan = jobs.read_fares(spark, lake, paths)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
+@pytest.mark.parametrize(
+    ("pattern", "name"),
+    [
+        ("price{year}/{year}{month:02d}.CSV", "price1997/199703.CSV"),
+        ("a b+c/{year}-{month:02d}é.csv", "a b+c/1997-03é.csv"),
+        ("{month:02d}/{year}", "03/1997"),
+        ("period={year}{month:02d}.CSV", "period=199703.CSV/part-0"),
+    ],
+)
+def test_year_and_month_of_a_file(spark, tmp_path, pattern, name):
+    file = tmp_path / "x1888" / name
+    file.parent.mkdir(parents=True)
+    file.write_text("1\n")
+    read = spark.read.schema("n int").csv(str(tmp_path / "x1888" / name))
+    got = read.select(file_part(pattern, "year"), file_part(pattern, "month")).first()
+    assert tuple(got) == (1997, 3)
+
+
+def test_a_pattern_without_the_part(spark):
+    with pytest.raises(ValueError, match="has no month"):
+        file_part("{year}.csv", "month")
