@@ -257,9 +257,15 @@ def contaminated(
         .select("doc_id", "start", "item_id", (F.col("doc_at") - F.col("at")).alias("shift"))
         .distinct()
     )
+    # Of a stretch, a shift needs no more than lies beside the item.
+    skipped = F.greatest("shift", F.lit(0))
+    reach = F.size("item") + F.least("shift", F.lit(0))
     beside = (
         shifts.join(bench.select("item_id", F.col("words").alias("item")), "item_id")
         .join(found.select("doc_id", "start", F.col("words").alias("doc")), ["doc_id", "start"])
+        .withColumn("doc", F.slice("doc", skipped + 1, F.greatest(reach, F.lit(0))))
+        .withColumn("start", F.col("start") + skipped)
+        .withColumn("shift", F.least("shift", F.lit(0)))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,4 +310,5 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that overlap no item, with all their columns."""
     gone = contaminated(docs, items, how, key, **names).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), docs[key].cast("bigint") == F.col("gone"), "left_anti")
+    gone = gone.distinct()
+    return docs.join(gone, docs[key].cast("bigint") == gone["gone"], "left_anti")

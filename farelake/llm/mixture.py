@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,8 +27,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 class Mix:
     """Blocks have ``block_words`` words and shards ``shard_blocks`` blocks; ``most`` epochs of a source."""
 
-    block_words: int = 64
-    shard_blocks: int = 4096
+    block_words: int = 256
+    shard_blocks: int = 1024
     most: float = 3.0
     seed: int = 17
 
@@ -58,12 +58,12 @@ def targets(sizes: Sequence[int], weights: Sequence[float], most: float) -> list
     return out
 
 
-def _permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Place of each index ``x`` below ``n`` in the permutation that ``key`` names.
+def _permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray, back: bool = False) -> np.ndarray:
+    """Place of each index ``x`` below ``n`` in the permutation that ``key`` names; ``back``: the index at a place.
 
     A Feistel network permutes the numbers below a power of four; a number that
     lands at ``n`` or above is sent through again, so it walks along its cycle
-    until it is below ``n``.
+    until it is below ``n``. Backwards it walks the same cycle the other way.
     """
     half = np.ones(len(x), np.uint64)
     while (small := (U64(1) << (half * U64(2))) < n).any():
@@ -73,8 +73,11 @@ def _permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     todo = np.arange(len(x))
     while len(todo):
         a, b = out[todo] >> half[todo], out[todo] & low[todo]
-        for turn in range(4):
-            a, b = b, a ^ (mix(b ^ mix(key[todo] + U64(turn))) & low[todo])
+        for turn in (3, 2, 1, 0) if back else (0, 1, 2, 3):
+            if back:
+                a, b = b ^ (mix(a ^ mix(key[todo] + U64(turn))) & low[todo]), a
+            else:
+                a, b = b, a ^ (mix(b ^ mix(key[todo] + U64(turn))) & low[todo])
         out[todo] = (a << half[todo]) | b
         todo = todo[out[todo] >= n[todo]]
     return out
@@ -110,51 +113,117 @@ def _tail_place(n: int, source: int, seed: int) -> Callable[[int], int]:
 
     def find(epoch: int) -> int:
         key = _key(seed, np.array([source]), np.array([epoch]))
-        step, base = 1 << 20, 0
-        while base < n:
-            x = np.arange(base, min(n, base + step), dtype=np.uint64)
-            hit = np.flatnonzero(
-                _permuted(x, np.full(len(x), n, np.uint64), np.full(len(x), key[0])) == n - 1
-            )
-            if len(hit):
-                return base + int(hit[0])
-            base += step
-        raise AssertionError("a permutation reaches every place")
+        last, all_ = np.array([n - 1], np.uint64), np.array([n], np.uint64)
+        return int(_permuted(last, all_, key, back=True)[0])
 
     return find
 
 
-def shard_counts(slots: Sequence[int], shard_blocks: int, seed: int) -> np.ndarray:
-    """How many slots each shard has of each source: a row per shard, whose sums are ``slots``.
+#: Runs of shards, and numbers about them, that the driver holds.
+CHUNKS, NUMBERS = 4096, 1 << 22
+
 
-    Shards draw from a multinomial distribution one by one; the differences
-    from the wanted sums are then exchanged between sources shard by shard,
-    which keeps each shard's size.
+@dataclass(frozen=True)
+class Shards:
+    """How many slots each shard has of each source, shard by shard.
+
+    Each shard draws from a multinomial distribution, from a seed of its own. The
+    sums of all draws then miss the wanted ``slots`` by a little: of a source
+    drawn too often, shards give up places, in the proportion they hold it,
+    and these go to the sources drawn too seldom. All depends on sums over the
+    shards before, which are kept for runs of shards only.
     """
-    total = int(sum(slots))
-    if not total:
-        return np.zeros((0, len(slots)), np.int64)
-    shards = -(-total // shard_blocks)
-    rng = np.random.Generator(np.random.PCG64(seed))
-    sizes = np.full(shards, total // shards)
-    sizes[: total % shards] += 1
-    share = np.array(slots, float) / total
-    counts = rng.multinomial(sizes, share).astype(np.int64)
-    over = counts.sum(0) - np.array(slots)
-    for give in np.flatnonzero(over > 0):
-        for take in np.flatnonzero(over < 0):
-            if not over[give] or not over[take]:
-                continue
-            n = min(over[give], -over[take])
-            # Spread over all shards that hold the source, in the proportion they hold it.
-            held = counts[:, give]
-            before = np.concatenate(([0], np.cumsum(held)))
-            moved = np.diff(before * n // before[-1])
-            counts[:, give] -= moved
-            counts[:, take] += moved
-            over[give] -= n
-            over[take] += n
-    return counts
+
+    slots: tuple[int, ...]
+    shard_blocks: int
+    seed: int
+
+    @property
+    def total(self) -> int:
+        return sum(self.slots)
+
+    @property
+    def number(self) -> int:
+        return -(-self.total // self.shard_blocks)
+
+    @property
+    def run(self) -> int:
+        """Shards in a run."""
+        runs = max(1, min(CHUNKS, NUMBERS // max(1, len(self.slots))))
+        return max(1, -(-self.number // runs))
+
+    @property
+    def runs(self) -> int:
+        return -(-self.number // self.run)
+
+    def drawn(self, run: int) -> np.ndarray:
+        """A row of counts for each shard of a run, as they were drawn."""
+        shards = np.arange(run * self.run, min(self.number, (run + 1) * self.run))
+        share = np.array(self.slots, float) / self.total
+        size, more = divmod(self.total, self.number)
+        return np.stack(
+            [
+                np.random.Generator(np.random.PCG64([self.seed, int(i)])).multinomial(
+                    size + (i < more), share
+                )
+                for i in shards
+            ]
+        ).astype(np.int64)
+
+    def settled(self, run: int, before: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """The counts of a run's shards after the exchange.
+
+        ``before``: what the shards before have drawn of each source; ``held``:
+        what all have.
+        """
+        counts = self.drawn(run)
+        upto = before + np.cumsum(counts, 0)
+        over = held - np.array(self.slots)
+        givers, takers = np.flatnonzero(over > 0), np.flatnonzero(over < 0)
+        if not len(givers):
+            return counts
+        edges = np.concatenate((before[None], upto))[:, givers]
+        given = _share(edges, over[givers], held[givers])
+        counts[:, givers] -= np.diff(given, axis=0)
+        # Free places are numbered over all shards, scattered, and dealt out by what is missing.
+        free = given.sum(1)
+        places = np.arange(free[0], free[-1], dtype=np.uint64)
+        all_ = np.full(len(places), int(over[givers].sum()), np.uint64)
+        key = np.full(len(places), mix(np.array([self.seed], np.uint64))[0])
+        scattered = _permuted(places, all_, key)
+        to = takers[np.searchsorted(np.cumsum(-over[takers]), scattered.astype(np.int64), "right")]
+        shard = np.repeat(np.arange(len(counts)), np.diff(free))
+        np.add.at(counts, (shard, to), 1)
+        return counts
+
+
+def _share(part: np.ndarray, over: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """``part`` * ``over`` / ``whole``, rounded down."""
+    if int(part.max(initial=0)) * int(over.max(initial=0)) < 2**62:
+        return part * over // whole
+    return (part.astype(object) * over.astype(object) // whole.astype(object)).astype(np.int64)
+
+
+def _by_run(spark: SparkSession, shards: Shards, count: Callable[[int], np.ndarray]) -> np.ndarray:
+    """What tasks count over all shards of each run, a row for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i]), pa.array([count(i).sum(0)], pa.list_(pa.int64()))], ["run", "n"]
+                )
+
+    rows = _runs(spark, shards).mapInArrow(run, "run bigint, n array<bigint>").collect()
+    return np.array([r.n for r in sorted(rows)], np.int64).reshape(shards.runs, len(shards.slots))
+
+
+def _runs(spark: SparkSession, shards: Shards) -> DataFrame:
+    return spark.range(0, shards.runs, 1, max(1, shards.runs))
+
+
+def _before(counts: np.ndarray) -> np.ndarray:
+    return np.cumsum(counts, 0) - counts
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
@@ -199,7 +268,8 @@ def plan_mix(
 ) -> Plan:
     """Targets and slots of the sources of ``sized`` (``source``, ``size``), by code point, null last.
 
-    One row per source comes to the driver.
+    One row per source comes to the driver; what is found out there takes the
+    same time for any number of blocks.
     """
     rows = (
         sized.groupBy("source")
@@ -221,62 +291,69 @@ def plan_mix(
     return Plan(sources, sizes, tuple(wanted), tuple(s for s, _ in slots), tuple(w for _, w in slots))
 
 
-def _filled(spark, plan: Plan, how: Mix) -> DataFrame:
+def _filled(spark: SparkSession, plan: Plan, how: Mix) -> DataFrame:
     """``shard``, ``slot``, ``source_ix``, ``block``, ``filled``: which block fills each slot.
 
-    One row per shard goes out from the driver, a row of counts; its slots are
-    made by the tasks.
+    Tasks draw the shards' counts, twice to add them up over runs of shards,
+    and once more to make the slots.
     """
-    counts = shard_counts(plan.slots, how.shard_blocks, how.seed)
-    first = np.cumsum(counts, 0) - counts
-    schema = "shard bigint, counts array<bigint>, first array<bigint>"
-    rows = [(i, c.tolist(), f.tolist()) for i, (c, f) in enumerate(zip(counts, first, strict=True))]
+    schema = "shard bigint, slot int, source_ix int, block bigint, filled int"
+    shards = Shards(plan.slots, how.shard_blocks, how.seed)
+    if not shards.total:
+        return spark.createDataFrame([], schema)
+    drawn = _by_run(spark, shards, shards.drawn)
+    drawn_before, held = _before(drawn), drawn.sum(0)
+    settled = _by_run(spark, shards, lambda i: shards.settled(i, drawn_before[i], held))
+    settled_before = _before(settled)
     blocks = np.array([-(-s // how.block_words) for s in plan.sizes], np.int64)
     tails = np.array(plan.sizes, np.int64) - (blocks - 1) * how.block_words
     slots, last = np.array(plan.slots, np.int64), np.array(plan.last, np.int64)
 
+    def of_shard(shard: int, own: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        source = np.repeat(np.arange(len(own)), own)
+        rank = np.arange(len(source)) - np.repeat(np.cumsum(own) - own, own)
+        k = rank + first[source]
+        n = blocks[source]
+        key = _key(how.seed, source, k // n)
+        block = _permuted((k % n).astype(np.uint64), n.astype(np.uint64), key).astype(np.int64)
+        words = np.where(block == n - 1, tails[source], how.block_words)
+        words = np.where(k == slots[source] - 1, last[source], words)
+        # Sources are spread over the shard by another permutation.
+        total = np.full(len(k), len(k), np.uint64)
+        own_key = mix(np.array([shard + how.seed], np.uint64))[0]
+        slot = _permuted(np.arange(len(k), dtype=np.uint64), total, np.full(len(k), own_key))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(k), shard, np.int64)),
+                pa.array(slot.astype(np.int32)),
+                pa.array(source.astype(np.int32)),
+                pa.array(block),
+                pa.array(words.astype(np.int32)),
+            ],
+            ["shard", "slot", "source_ix", "block", "filled"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                own = np.array(row["counts"])
-                source = np.repeat(np.arange(len(own)), own)
-                rank = np.arange(len(source)) - np.repeat(np.cumsum(own) - own, own)
-                k = rank + np.array(row["first"])[source]
-                n = blocks[source]
-                key = _key(how.seed, source, k // n)
-                block = _permuted((k % n).astype(np.uint64), n.astype(np.uint64), key).astype(np.int64)
-                words = np.where(block == n - 1, tails[source], how.block_words)
-                words = np.where(k == slots[source] - 1, last[source], words)
-                # Sources are spread over the shard by another permutation.
-                total = np.full(len(k), len(k), np.uint64)
-                slot = _permuted(
-                    np.arange(len(k), dtype=np.uint64),
-                    total,
-                    np.full(len(k), mix(np.array([row["shard"] + how.seed], np.uint64))[0]),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(k), row["shard"], np.int64)),
-                        pa.array(slot.astype(np.int64)),
-                        *(pa.array(x.astype(np.int64)) for x in (source, block, words)),
-                    ],
-                    ["shard", "slot", "source_ix", "block", "filled"],
-                )
+            for i in batch.column("id").to_pylist():
+                counts = shards.settled(i, drawn_before[i], held)
+                first = settled_before[i] + _before(counts)
+                for j, own in enumerate(counts):
+                    yield of_shard(i * shards.run + j, own, first[j])
 
-    parts = max(1, min(len(rows), 4096))
-    return spark.createDataFrame(rows, schema).repartition(parts).mapInArrow(
-        run, "shard bigint, slot bigint, source_ix bigint, block bigint, filled bigint"
-    )
+    return _runs(spark, shards).mapInArrow(run, schema)
 
 
 def _pieces(placed: DataFrame, block: int) -> DataFrame:
     """The runs of words that documents have in the blocks of their source.
 
-    ``at`` is where in its block a run begins, ``doc_from`` where in its document.
+    ``at`` is where in its block a run begins, ``doc_from`` where in its
+    document, whose words begin at ``place`` in those of the source.
     """
+    id_type = placed.schema["doc_id"].dataType.simpleString()
     fields = (
-        "source_ix bigint, block bigint, doc_id bigint, row bigint, "
-        "doc_from bigint, at bigint, words bigint"
+        f"source_ix int, block bigint, doc_id {id_type}, row bigint, "
+        "place bigint, doc_from bigint, at int, words int"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,29 +373,38 @@ def _pieces(placed: DataFrame, block: int) -> DataFrame:
                     pa.array(number),
                     batch.column("doc_id").take(own),
                     batch.column("row").take(own),
-                    *(pa.array(x) for x in (low - start[of], low - number * block, high - low)),
+                    pa.array(start[of]),
+                    pa.array(low - start[of]),
+                    pa.array((low - number * block).astype(np.int32)),
+                    pa.array((high - low).astype(np.int32)),
                 ],
-                ["source_ix", "block", "doc_id", "row", "doc_from", "at", "words"],
+                ["source_ix", "block", "doc_id", "row", "place", "doc_from", "at", "words"],
             )
 
     return placed.select("source_ix", "doc_id", "row", "size", "start").mapInArrow(run, fields)
 
 
-_RUN = ("shard", "slot", "source", "block", "at", "doc_from", "words")
+#: Fields of a run, with their types.
+_RUN = {
+    "shard": "bigint", "slot": "int", "source_ix": "int", "block": "bigint",
+    "at": "int", "place": "bigint", "doc_from": "bigint", "words": "int",
+}
 
 
-def _worded(pieces: DataFrame, rows: DataFrame) -> DataFrame:
+def _worded(pieces: DataFrame, rows: DataFrame, once: bool) -> DataFrame:
     """``pieces`` with the ``text`` of each run.
 
     A document's runs, as many as its words at most, go to its text, so each
-    text is moved once. Texts of repeated rows are one.
+    text is moved once. Rows that share id and text have their runs together;
+    unless there are none such (``once``), one of them is kept to read from.
     """
     lists = pieces.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*_RUN)).alias("runs"))
     lists = lists.withColumnsRenamed({"doc_id": "of", "row": "of_row"})
-    texts = rows.dropDuplicates(["doc_id", "row"])
+    texts = rows if once else rows.dropDuplicates(["doc_id", "row"])
     same = F.equal_null(texts["doc_id"], lists["of"]) & F.equal_null(texts["row"], lists["of_row"])
     joined = texts.join(lists, same).select("doc_id", "row", "text", "runs")
-    kinds = ", ".join(f"{n} {'string' if n == 'source' else 'bigint'}" for n in _RUN)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    kinds = ", ".join(f"{n} {kind}" for n, kind in _RUN.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -340,12 +426,16 @@ def _worded(pieces: DataFrame, rows: DataFrame) -> DataFrame:
                 ["doc_id", *_RUN, "text"],
             )
 
-    return joined.mapInArrow(run, f"doc_id bigint, {kinds}, text string")
+    return joined.mapInArrow(run, f"doc_id {id_type}, {kinds}, text string")
 
 
 @dataclass(frozen=True)
 class Mixed:
-    """``documents``: a row per document; ``pieces``: its runs of words in the slots of the mix."""
+    """``documents``: a row per document; ``pieces``: its runs of words in the slots of the mix.
+
+    Both have ``source_ix``, and ``place``, where in its source a document's words
+    begin: no two documents with words share both.
+    """
 
     documents: DataFrame
     pieces: DataFrame
@@ -372,13 +462,13 @@ def mix_sources(
 
     A null or empty text has no words and so no piece; rows without a source
     are a source of their own. Rows without an id, and rows that repeat an id,
-    each take their own place. Other columns are not read. Empty tables give
-    empty results.
+    each take their own place. Ids may be of any type that can be ordered, and
+    keep it. Other columns are not read. Empty tables give empty results.
     """
     spark = docs.sparkSession
     body = F.col(text).cast("string")
     rows = docs.select(
-        F.col(key).cast("bigint").alias("doc_id"),
+        F.col(key).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(body, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         F.xxhash64(body).alias("row"),
@@ -391,11 +481,11 @@ def mix_sources(
             (i, *x)
             for i, x in enumerate(zip(plan.sources, plan.sizes, plan.targets, strict=True))
         ],
-        "source_ix bigint, source string, source_size bigint, target double",
+        "source_ix int, source string, source_size bigint, target double",
     )
     same = F.equal_null(sized["source"], names["source"])
-    numbered = sized.join(names, same).drop(sized["source"])
-    placed = _ordered(numbered.drop("source", "source_size", "target"))
+    numbered = sized.join(names, same).select("doc_id", "size", "row", "source_ix")
+    placed = _ordered(numbered)
     slots = _filled(spark, plan, how)
     taken = F.least("words", F.col("filled") - F.col("at"))
     pieces = (
@@ -403,12 +493,16 @@ def mix_sources(
         .join(slots.hint("merge"), ["source_ix", "block"])  # its rows are made by tasks: no estimate holds
         .withColumn("words", taken)
         .where("words > 0")
-        .join(names.select("source_ix", "source"), "source_ix")
-        .drop("source_ix", "filled")
+        .drop("filled")
     )
     if with_text:
-        pieces = _worded(pieces, rows.where("size > 0").select("doc_id", "row", "text"))
-    documents = numbered.select("doc_id", "size", "source_size", "target")
+        again = sized.where("size > 0").groupBy("doc_id", "row").agg(F.count("*").alias("n"))
+        once = again.where("n > 1").isEmpty()
+        pieces = _worded(pieces, rows.where("size > 0").select("doc_id", "row", "text"), once)
+    pieces = pieces.join(names.select("source_ix", "source"), "source_ix")
+    documents = placed.join(names, "source_ix").select(
+        "doc_id", "size", "source_size", "target", "source_ix", F.col("start").alias("place")
+    )
     return Mixed(documents, pieces, plan)
 
 
@@ -434,13 +528,14 @@ def mixed_blocks(mixed: Mixed) -> DataFrame:
 def taken_by_document(mixed: Mixed) -> DataFrame:
     """``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` of every document.
 
-    ``taken`` counts the words that the mix takes of it, repeats included. Rows
-    that share an id, or have none, share what is taken of them by their size.
+    ``taken`` counts the words that the mix takes of that row, repeats included;
+    rows that share an id, or have none, have counts of their own.
     """
-    taken = mixed.pieces.groupBy("doc_id").agg(F.sum("words").alias("taken"))
-    taken = taken.withColumnRenamed("doc_id", "of")
-    rows = mixed.documents
-    return rows.join(taken, F.equal_null(rows["doc_id"], taken["of"]), "left").select(
+    taken = mixed.pieces.groupBy("source_ix", "place").agg(F.sum("words").alias("taken"))
+    # A document without words begins where the next one does.
+    place = F.when(F.col("size") > 0, F.col("place"))
+    rows = mixed.documents.withColumn("place", place)
+    return rows.join(taken, ["source_ix", "place"], "left").select(
         "doc_id",
         "size",
         "source_size",

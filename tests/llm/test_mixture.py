@@ -47,12 +47,56 @@ def test_permutations(n):
     assert n < 64 or len(seen) == 3
 
 
-def test_shards_add_up():
-    slots = [1000, 0, 37, 5000, 1]
-    counts = mixture.shard_counts(slots, 64, 1)
-    assert counts.sum(0).tolist() == slots and (counts >= 0).all()
-    assert set(counts.sum(1)) <= {63, 64, 62} and len(set(map(tuple, counts))) > 10
-    assert mixture.shard_counts([0], 64, 1).shape == (0, 1)
+@pytest.mark.parametrize("n", [1, 2, 5, 64, 999, 10**12])
+def test_permutations_backwards(n):
+    x = np.unique(np.linspace(0, n - 1, 300).astype(np.uint64))
+    all_, key = np.full(len(x), n, np.uint64), np.full(len(x), 7, np.uint64)
+    there = mixture._permuted(x, all_, key)
+    assert (there < n).all() and (mixture._permuted(there, all_, key, back=True) == x).all()
+
+
+def settled(shards):
+    drawn = np.array([shards.drawn(i).sum(0) for i in range(shards.runs)])
+    before, held = mixture._before(drawn), drawn.sum(0)
+    return np.concatenate([shards.settled(i, before[i], held) for i in range(shards.runs)])
+
+
+@pytest.mark.parametrize("runs", [1, 4, 4096])
+def test_shards_add_up(monkeypatch, runs):
+    monkeypatch.setattr(mixture, "CHUNKS", runs)
+    slots = (1000, 0, 37, 5000, 1)
+    shards = mixture.Shards(slots, 64, 1)
+    counts = settled(shards)
+    assert counts.sum(0).tolist() == list(slots) and (counts >= 0).all()
+    assert set(counts.sum(1)) <= {63, 64} and len(set(map(tuple, counts))) > 10
+    assert len(counts) == shards.number == 95
+    # Sources are spread: no shard is far from its share.
+    assert np.abs(counts[:, 3] / counts.sum(1) - 5000 / 6038).max() < 0.25
+
+
+def test_counts_do_not_depend_on_the_runs(monkeypatch):
+    found = []
+    for runs in (1, 3, 100):
+        monkeypatch.setattr(mixture, "CHUNKS", runs)
+        found.append(settled(mixture.Shards((300, 700, 55), 16, 3)).tolist())
+    assert found[0] == found[1] == found[2]
+
+
+def test_products_beyond_64_bits():
+    part, over, whole = np.array([[10**13, 5]]), np.array([10**8, 3]), np.array([2 * 10**13, 7])
+    assert mixture._share(part, over, whole).tolist() == [[5 * 10**7, 2]]
+
+
+def test_a_plan_for_a_hundred_terabytes(spark):
+    """10^12 blocks of a source: what the driver does takes no longer than for a few."""
+    sizes = [10**12 * 256, 3 * 10**11 * 256 + 5, 17]
+    sized = spark.createDataFrame(list(zip(["a", "b", None], sizes)), "source string, size bigint")
+    plan = mixture.plan_mix(sized, Mix(), mixture.cycling_weights)
+    assert plan.sizes == tuple(sizes) and all(s > 0 for s in plan.slots)
+    shards = mixture.Shards(plan.slots, 1024, 1)
+    assert shards.runs <= 4096 and shards.number == -(-sum(plan.slots) // 1024)
+    for (slots, last), size, target in zip(zip(plan.slots, plan.last), sizes, plan.targets):
+        assert 0 < last <= 256 and abs(slots * 256 - target) <= 2 * 256 * (1 + 3 * (size % 256 > 0))
 
 
 def rows():
@@ -60,7 +104,7 @@ def rows():
     return out + [(300, corpus.text(300, 5000), None, "hot", 1), (301, corpus.text(301, 3), None, "tiny", 1)]
 
 
-@pytest.mark.parametrize("how", [Mix(), Mix(block_words=7, shard_blocks=50)])
+@pytest.mark.parametrize("how", [Mix(), Mix(block_words=64, shard_blocks=16), Mix(block_words=7, shard_blocks=50)])
 def test_sources_come_to_their_targets(spark, how):
     mixed = mixture.mix_sources(corpus.documents(spark, rows()), how)
     text = {r[0]: r[1].split() for r in rows()}
@@ -128,6 +172,30 @@ def test_odd_rows(spark):
     )
 
 
+def test_rows_of_one_id_have_counts_of_their_own(spark):
+    rows = [(7, corpus.text(1, 100)), (7, corpus.text(2, 100)), (8, corpus.text(3, 100)), (8, corpus.text(3, 100)), (9, "")]
+    docs = corpus.documents(spark, [(*r, "en", s, 1) for r, s in zip(rows, ["a", "b", "a", "a", "b"], strict=True)])
+    mixed = mixture.mix_sources(docs, Mix(block_words=16, shard_blocks=4), with_text=False)
+    got = mixture.taken_by_document(mixed).collect()
+    assert sum(r.taken for r in got) == sum(round(t) for t in mixed.plan.targets) == 400
+    assert all(r.taken <= 3 * r["size"] for r in got) and len(got) == 5
+    with_text = mixture.mix_sources(docs, Mix(block_words=16, shard_blocks=4))
+    words = {k: body.split() for k, body in rows if body}
+    texts = [corpus.prose(i, 100) for i in (1, 2, 3)]
+    total = 0
+    for r in with_text.pieces.collect():
+        assert r.text.split() in [t[r.doc_from : r.doc_from + r.words] for t in texts]
+        total += r.words
+    assert total == 400 and words
+
+
+def test_ids_keep_their_type(spark):
+    docs = spark.createDataFrame([("x", "a b c", "s"), (None, "d e", "s"), ("y", "f", None)], "doc_id string, text string, source string")
+    mixed = mixture.mix_sources(docs, Mix(block_words=2, shard_blocks=2), with_text=False)
+    got = {r.doc_id: r.taken for r in mixture.taken_by_document(mixed).collect()}
+    assert set(got) == {"x", None, "y"} and sum(got.values()) == sum(round(t) for t in mixed.plan.targets)
+
+
 def test_empty_table(spark):
     mixed = mixture.mix_sources(corpus.empty(spark))
     assert mixture.mixed_blocks(mixed).count() == 0
