@@ -46,8 +46,12 @@ class LanguageModel:
     shares: np.ndarray
 
 
-def _cells(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray]:
-    """The text and the cell of each n-gram with a letter in it."""
+def _cells(words: Words, how: NGrams, pad: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the cell of each n-gram with a letter in it.
+
+    With ``pad``, a text shorter than the shortest n-gram is one together with
+    the spaces before it.
+    """
     data = _FOLD[words.data].astype(np.uint64)
     letter = data != ord(" ")
     doc = np.repeat(np.arange(len(words.counts)), np.diff(words.offsets))
@@ -65,6 +69,22 @@ def _cells(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(some)
         of.append(doc[at])
         cells.append((mix(code[at]) >> U64(64 - how.bits)).astype(np.int64))
+    sizes, n = np.diff(words.offsets), min(how.lengths)
+    short = np.flatnonzero((sizes > 0) & (sizes < n) & pad)
+    codes, texts = [], []
+    for i in short.tolist():
+        own = data[words.offsets[i] : words.offsets[i + 1]].tolist()
+        if any(b != ord(" ") for b in own):
+            code = n
+            for b in [ord(" ")] * (n - len(own)) + own:
+                code = (code << 8 | b) & 0xFFFFFFFFFFFFFFFF
+            codes.append(code)
+            texts.append(i)
+    if codes:
+        of.append(np.array(texts, np.int64))
+        cells.append((mix(np.array(codes, np.uint64)) >> U64(64 - how.bits)).astype(np.int64))
+        order = np.argsort(np.concatenate(of), kind="stable")
+        return np.concatenate(of)[order], np.concatenate(cells)[order]
     if not of:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(of), np.concatenate(cells)
@@ -76,7 +96,8 @@ def _counted(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray, np.ndar
     A few texts at a time are counted in a table with a row each.
     """
     size, n = 1 << how.bits, len(words.counts)
-    parts = [_cells(words, NGrams((length,), how.bits)) for length in how.lengths]
+    least = min(how.lengths)
+    parts = [_cells(words, NGrams((k,), how.bits), k == least) for k in how.lengths]
     found, counts, bounds = [], [], [np.zeros(1, np.int64)]
     step = max(1, (1 << 19) >> how.bits)
     for low in range(0, n, step):

@@ -151,9 +151,12 @@ def _suspects(words: Words, h: np.ndarray, bits: np.ndarray, how: Windows) -> np
     return inside[often[np.cumsum(first) - 1]]
 
 
-def _window_hashes(h: np.ndarray, at: np.ndarray, how: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits that name each window."""
-    return tuple(grams(h, how.words, seed)[at].view(np.int64) for seed in (43, 44))
+def _window_hashes(
+    words: Words, h: np.ndarray, at: np.ndarray, how: Windows
+) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name each window, of two hashes of each word that have nothing to do with each other."""
+    high = grams(h, how.words, 43)[at]
+    return high.view(np.int64), grams(words.hashes(45), how.words, 44)[at].view(np.int64)
 
 
 def remove_repeats(
@@ -174,8 +177,9 @@ def remove_repeats(
 
     A null text is empty and has no words. Rows without an id come behind all
     ids below 2 ** 62, in the order of a hash of their text. Rows that share an
-    id count as one document: their windows are repeats of each other if they
-    start later. Other columns are not read. An empty table gives an empty result.
+    id are documents of their own, none of which is earlier than another. Ids
+    must be integers, or text that names one. Other columns are not read. An
+    empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -183,7 +187,9 @@ def remove_repeats(
     )
     shared = spark.sparkContext.broadcast(_repeated_cells(rows, how))
     nameless = F.lit(2**62) + F.pmod(F.xxhash64("text"), F.lit(2**62))
-    keyed = rows.select(F.coalesce("doc_id", nameless).alias("id"), "doc_id", "text")
+    keyed = rows.select(
+        F.coalesce("doc_id", nameless).alias("id"), "doc_id", F.xxhash64("text").alias("row"), "text"
+    )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -192,7 +198,7 @@ def remove_repeats(
             at = _suspects(words, h, shared.value, how)
             if not len(at):
                 continue
-            high, low = _window_hashes(h, at, how)
+            high, low = _window_hashes(words, h, at, how)
             # A window that a document has again is a repeat for certain.
             of = words.doc[at]
             once = np.sort(
@@ -207,14 +213,18 @@ def remove_repeats(
                     pa.array(high[once]),
                     pa.array(low[once]),
                     batch.column("id").take(pa.array(of)),
+                    batch.column("row").take(pa.array(of)),
                     pa.array((at - words.bounds[of]).astype(np.int64)),
                 ],
-                ["high", "low", "id", "start"],
+                ["high", "low", "id", "row", "start"],
             )
 
-    found = keyed.select("id", "text").mapInArrow(
-        windows, "high bigint, low bigint, id bigint, start bigint"
-    )
+    def windows_of(rows: DataFrame) -> DataFrame:
+        return rows.select("id", "row", "text").mapInArrow(
+            windows, "high bigint, low bigint, id bigint, row bigint, start bigint"
+        )
+
+    found = windows_of(keyed)
     # One number that orders places by document and start, which an aggregate can update in place.
     room = F.lit(2**31).cast("decimal(18,0)")
     place = F.col("id").cast("decimal(19,0)") * room + F.col("start").cast("decimal(18,0)")
@@ -229,7 +239,32 @@ def remove_repeats(
             "start",
         )
     )
-    own = written(firsts.groupBy("id").agg(F.collect_list("start").alias("firsts")), "firsts")
+    shared_ids = written(
+        keyed.groupBy("id").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("id"),
+        "shared_ids",
+    )
+    some = not shared_ids.isEmpty()
+    if some:
+        # Rows of one id are not earlier than each other, so each may hold first places of its own.
+        theirs = windows_of(keyed.join(shared_ids, "id", "left_semi"))
+        least = found.groupBy("high", "low").agg(F.min("id").alias("least"))
+        theirs = theirs.join(least, ["high", "low"]).where(F.col("id") == F.col("least"))
+        firsts = (
+            firsts.join(shared_ids, "id", "left_anti")
+            .withColumn("row", F.lit(None).cast("bigint"))
+            .unionByName(theirs.select("id", "row", "start"))
+        )
+        firsts = firsts.groupBy("id", "row")
+    else:
+        firsts = firsts.groupBy("id")
+    own = written(firsts.agg(F.collect_list("start").alias("firsts")), "firsts")
+    if some:
+        # A null stands for all rows of an id.
+        given = own.withColumnsRenamed({"id": "of", "row": "of_row"})
+        same = (keyed["id"] == given["of"]) & F.coalesce(keyed["row"] == given["of_row"], F.lit(True))
+        with_firsts = keyed.join(given, same, "left")
+    else:
+        with_firsts = keyed.join(own, "id", "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -267,8 +302,6 @@ def remove_repeats(
                 ["doc_id", "n_words", "n_removed", "text"],
             )
 
-    return (
-        keyed.join(own, "id", "left")
-        .select("doc_id", "text", "firsts")
-        .mapInArrow(remove, "doc_id bigint, n_words bigint, n_removed bigint, text string")
+    return with_firsts.select("doc_id", "text", "firsts").mapInArrow(
+        remove, "doc_id bigint, n_words bigint, n_removed bigint, text string"
     )

@@ -106,3 +106,22 @@ def test_empty_tables(spark):
 def test_a_small_filter_loses_nothing(spark):
     texts = [inside(1, ITEM), inside(7, corpus.prose(55, 40))]
     assert set(found(spark, texts, Overlap(filter_bits=15))) == {(0, 1)}
+
+
+def test_columns_of_any_name_stay(spark):
+    item = corpus.text(400, 30)
+    docs = spark.createDataFrame(
+        [(1, f"a b {item} c", 7, 8, 9), (2, corpus.text(401, 30), 7, 8, 9)],
+        "doc_id bigint, text string, gone int, item_id int, hash int",
+    )
+    items = spark.createDataFrame([(5, item)], "item_id bigint, text string")
+    kept = drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
+def test_periodic_texts_take_time_in_proportion(spark):
+    """Every shift of a repeated word is a hit; each carries no more than the item's length."""
+    items = spark.createDataFrame([(1, "la " * 60)], "item_id bigint, text string")
+    docs = corpus.documents(spark, [(1, "la " * 40_000), (2, "la " * 30 + "x"), (3, "la x " * 40)])
+    got = {r.doc_id: (r.agree, r.of) for r in contaminated(docs, items).collect()}
+    assert got == {1: (20, 20), 2: (20, 20)}

@@ -75,9 +75,10 @@ def test_odd_rows_and_undetermined_texts(spark):
     got = language.identify(corpus.odd(spark), model)
     by = sorted(((r.doc_id, r.lang == "und") for r in got.collect()), key=repr)
     assert by == sorted(((r[0], not (r[1] or "").strip()) for r in corpus.ODD), key=repr)
-    rows = [(1, "1234 !? 5"), (2, "— … €"), (3, "é"), (4, "中")]
+    rows = [(1, "1234 !? 5"), (2, "— … €"), (3, "é"), (4, "中"), (5, "A"), (6, "z"), (7, "7"), (8, " ")]
     got = {r.doc_id: r for r in language.identify(corpus.documents(spark, rows), model).collect()}
-    assert [got[i].lang == "und" for i in (1, 2, 3, 4)] == [True, True, False, False]
+    assert [got[i].lang == "und" for i in range(1, 9)] == [True, True, False, False, False, False, True, True]
+    assert all(0 < got[i].score <= 1 for i in (3, 4, 5, 6))
     assert got[1].score == 0 and got[1].languages == []
 
 

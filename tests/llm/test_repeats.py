@@ -9,19 +9,24 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def fold(rows, n=20):
-    """Rows in order of their ids; a window counts where it was seen before."""
-    seen, out = set(), []
-    for key, text in sorted(rows, key=lambda r: r[0]):
-        words = (text or "").encode().split()
-        covered = [False] * len(words)
+    """Windows count where they start in a smaller id, or before in the same row."""
+    first = {}
+    split = [(key, (text or "").encode().split()) for key, text in rows]
+    for key, words in split:
         for i in range(len(words) - n + 1):
             window = tuple(words[i : i + n])
-            if window in seen:
+            first[window] = min(first.get(window, key), key)
+    out = []
+    for key, words in split:
+        covered, seen = [False] * len(words), set()
+        for i in range(len(words) - n + 1):
+            window = tuple(words[i : i + n])
+            if window in seen or first[window] < key:
                 covered[i : i + n] = [True] * n
             seen.add(window)
         kept = b" ".join(w for w, c in zip(words, covered, strict=True) if not c).decode()
         out.append((key, len(words), sum(covered), kept))
-    return out
+    return sorted(out)
 
 
 PASSAGE = corpus.prose(50, 60)
@@ -43,6 +48,14 @@ def test_equals_a_plain_fold(spark, how):
     assert sorted(map(tuple, got.collect())) == fold(rows(), how.words)
 
 
+def test_rows_of_one_id_are_judged_apart(spark):
+    p, q = " ".join(PASSAGE), corpus.text(90, 60)
+    many = [(3, p), (7, q), (7, p), (8, q), (8, q + " " + p), (8, corpus.text(91, 30) + " " + q), (9, q), (9, q)]
+    many += [(20, corpus.text(92, 40)), (20, corpus.text(92, 40) + " " + corpus.text(93, 40)), (20, corpus.text(93, 40) * 2)]
+    got = remove_repeats(corpus.documents(spark, many))
+    assert sorted(map(tuple, got.collect())) == fold(many)
+
+
 def test_query_equals_a_plain_fold(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     expected = spark.createDataFrame(
