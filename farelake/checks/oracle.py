@@ -185,6 +185,7 @@ _SELECTS = {
     ),
     "join_left_multi_key": "SELECT * FROM joined",
     "join_left_multi_key_all_origins": "SELECT * FROM joined_all",
+    "join_colocated": "SELECT * FROM joined_all",
     "join_left_lookup": "SELECT * FROM placed",
     "join_left_lookup_repeated_codes": """
         SELECT f.*, c.city, c.state FROM fare_all f LEFT JOIN (

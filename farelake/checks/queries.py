@@ -39,6 +39,7 @@ from farelake.operators import (
     weighted_mean,
 )
 from farelake.plans import committed, jobs
+from farelake.plans.colocated import Colocated
 from farelake.plans.curate import curate_means, written_means
 from farelake.plans.curate import curate_yearly as curate_in_year
 from farelake.session import scratch_path
@@ -204,6 +205,20 @@ def join_left_multi_key_all_origins(spark, sf_dir):
     return match_operations(means, proxy.ops(spark, sf_dir, None))
 
 
+@query
+def join_colocated(spark, sf_dir):
+    """The same from buckets: one year is written again, another emptied and refilled."""
+    kept = Colocated(_database(spark), scratch_path(spark, "colocated"), buckets=8, part=200, least=5)
+    means = weighted_mean(proxy.fare(spark, sf_dir, None), FARE_KEYS)
+    kept.keep_means(means, proxy.YEARS)
+    ops = proxy.ops(spark, sf_dir, None)
+    kept.keep_operations(ops, proxy.YEARS)
+    kept.keep_operations(ops.where("seats > 10"), [YEAR])
+    kept.keep_operations(ops.where("false"), [YEAR + 1])
+    kept.keep_operations(ops, [YEAR, YEAR + 1])
+    return kept.match(spark, proxy.YEARS)
+
+
 @query
 def join_left_lookup(spark, sf_dir):
     return lookup_place(proxy.fare(spark, sf_dir), proxy.airport(spark, sf_dir))
