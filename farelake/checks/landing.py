@@ -62,6 +62,36 @@ def write_month_files(
     return path
 
 
+def odd_line(cells: list[Column]) -> Column:
+    """A fare line that lacks its last cell for companies 0, 5, 10..., and has text for seats for 1, 6, 11...."""
+    kind = F.coalesce(F.col("company").try_cast("int") % 5, F.lit(2))
+    whole = [F.coalesce(c, F.lit("")) for c in cells]
+    return (
+        F.when(kind == 0, F.concat_ws(";", *whole[:-1]))
+        .when(kind == 1, F.concat_ws(";", *whole[:-1], F.concat(whole[-1], F.lit("x"))))
+        .otherwise(F.concat_ws(";", *whole))
+    )
+
+
+def write_odd_month_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Month files with broken lines."""
+    rows = fare_rows(spark, sf_dir)
+    lines = rows.select(odd_line([F.col(c) for c in FARE_COLUMNS]).alias("line"), "period")
+    header = F.lit(";".join(FARE_HEADER)).alias("line")
+    lines = lines.unionAll(rows.select("period").distinct().select(header, "period"))
+    lines.hint("rebalance", "period").write.partitionBy("period").text(path)
+    return path
+
+
+def write_odd_operations(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Statistics whose year is text for every fifth company, and empty for the next one."""
+    rows = operation_rows(spark, sf_dir)
+    kind = F.substring_index("EMPRESA_NOME", "-", -1).cast("int") % 5
+    year = F.when(kind == 0, F.concat("ANO", F.lit("?"))).when(kind == 1, "").otherwise(F.col("ANO"))
+    rows.withColumn("ANO", year).write.csv(path, sep=";", header=True)
+    return path
+
+
 def rewrite_month(spark: SparkSession, sf_dir: str, path: str, year: int, month: int, seats: Column) -> None:
     """Put another file in the place of one month's, with other seats."""
     period = f"{year}{month:02d}.CSV"

@@ -144,6 +144,24 @@ _MONTH_FILES = f"""
     UNION ALL
     SELECT {_HEADER} FROM range({12 * len(YEARS)})"""
 
+# Lines of the odd month files: some lack a cell, some have text for seats.
+_ODD = """
+    SELECT *, company % 5 AS kind, coalesce(price_t, '') AS p,
+           origin = 'N' AND price_t IS NOT NULL AND price_t <> 'Tarifa-N' AS asked
+    FROM fare_raw WHERE CAST(year_t AS INT) BETWEEN 1995 AND 1998"""
+_ODD_REJECTS = f"""
+    SELECT year_t || lpad(month_t, 2, '0') AS month,
+           concat_ws(';', year_t, month_t, company, origin, destination, p,
+                     CASE kind WHEN 0 THEN NULL WHEN 1 THEN seats_t || 'x' ELSE seats_t END) AS line,
+           concat_ws(',', CASE WHEN kind = 0 THEN 'cells' END,
+                     CASE WHEN p IN ('1.234,56', 'Tarifa-N') THEN 'price' END,
+                     CASE WHEN kind = 1 THEN 'seats' END) AS reasons,
+           kind <> 0 AS kept
+    FROM ({_ODD}) WHERE kind = 0 OR (asked AND (p = '1.234,56' OR kind = 1))"""
+_ODD_OPERATIONS = """
+    SELECT company % 5 < 2 AS lost, year BETWEEN 1995 AND 1998 AND origin = 'N' AS asked
+    FROM operation_landing"""
+
 _FREQUENCY = "SELECT destination, count(origin) AS n FROM fare GROUP BY destination"
 
 _CUSTOMER_JSON = "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer"
@@ -291,6 +309,24 @@ _SELECTS = {
     "job_versions": """
         SELECT * REPLACE (CAST(company AS VARCHAR) AS company, CAST(destination AS VARCHAR) AS destination)
         FROM avg_fare WHERE year <= 1998""",
+    "job_rejects": _ODD_REJECTS,
+    "job_line_counts": f"""
+        SELECT 'fares' AS relation, count(*) + 48 AS rowsIn,
+               count(*) FILTER (WHERE kind <> 0 AND asked) AS rowsOut,
+               count(*) FILTER (WHERE kind = 0) AS rejected,
+               count(*) FILTER (WHERE kind <> 0 AND NOT asked) + 48 AS filtered
+        FROM ({_ODD})
+        UNION ALL
+        SELECT 'statistics', count(*), count(*) FILTER (WHERE NOT lost AND asked),
+               count(*) FILTER (WHERE lost), count(*) FILTER (WHERE NOT lost AND NOT asked)
+        FROM ({_ODD_OPERATIONS})""",
+    "job_zone_counts": f"""
+        SELECT 'fares' AS relation, count(*) AS n FROM ({_ODD}) WHERE kind <> 0 AND asked
+        UNION ALL
+        SELECT 'statistics', count(*) FROM ({_ODD_OPERATIONS}) WHERE NOT lost AND asked
+        UNION ALL
+        SELECT 'rejects', (SELECT count(*) FROM ({_ODD_REJECTS}))
+                          + (SELECT count(*) FROM ({_ODD_OPERATIONS}) WHERE lost)""",
 }
 
 ORACLE = {name: _with(select) for name, select in _SELECTS.items()}

@@ -38,7 +38,7 @@ from farelake.operators import (
     unmatched,
     weighted_mean,
 )
-from farelake.plans import committed, jobs
+from farelake.plans import checked, committed, jobs
 from farelake.plans.colocated import Colocated
 from farelake.plans.curate import curate_means, written_means
 from farelake.plans.curate import curate_yearly as curate_in_year
@@ -596,3 +596,33 @@ def job_versions(spark, sf_dir):
     cfg = _versions(spark, sf_dir)
     log = committed.versions(spark, cfg)
     return log.read(committed.MEANS, MEAN_SCHEMA, log.snapshot(log.numbers()[-2]))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    cfg = replace(_lake(spark), years=proxy.OPERATION_YEARS)
+    landing.write_odd_month_files(spark, sf_dir, cfg.landing_path("price"))
+    landing.write_odd_operations(spark, sf_dir, cfg.landing_path(cfg.operations_dir))
+    return cfg
+
+
+@query
+def job_rejects(spark, sf_dir):
+    """Lines that are in no relation, and those with cells that cannot be read."""
+    cfg = _checked(spark, sf_dir)
+    rejects = checked.process(spark, cfg)[1].where(F.col("relation") == jobs.FARES)
+    month = F.regexp_extract("file", "period=([0-9]{6})", 1)
+    return rejects.select(month.alias("month"), "line", "reasons", "kept")
+
+
+@query
+def job_line_counts(spark, sf_dir):
+    """What became of all lines, noted while the relations were written."""
+    return checked.process(spark, _checked(spark, sf_dir))[0]
+
+
+@query
+def job_zone_counts(spark, sf_dir):
+    """Rows of the zones, from the footers of their files."""
+    cfg = _checked(spark, sf_dir)
+    checked.process(spark, cfg)
+    return checked.zone_counts(spark, cfg)

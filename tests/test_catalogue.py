@@ -9,7 +9,7 @@ from helpers import SF_DIR
 import __spark_entry__ as entry_points
 from farelake.checks.queries import QUERIES
 
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
