@@ -327,6 +327,13 @@ _SELECTS = {
         UNION ALL
         SELECT 'rejects', (SELECT count(*) FROM ({_ODD_REJECTS}))
                           + (SELECT count(*) FROM ({_ODD_OPERATIONS}) WHERE lost)""",
+    "topk_customers": """
+        SELECT o_custkey, count(o_orderstatus) AS n FROM orders
+        GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 25""",
+    "join_reduced": """
+        SELECT * FROM joined
+        WHERE priceAVG > 80000 AND companyName IS NOT NULL""",
+    "job_run_branches": f"SELECT * REPLACE ({_AS_TEXT}) FROM curated",
 }
 
 ORACLE = {name: _with(select) for name, select in _SELECTS.items()}

@@ -28,17 +28,19 @@ from farelake.operators import (
     match_coverage,
     match_operations,
     promote_names,
+    reduce_to_keys,
     require_non_null,
     route_frequency,
     row_counts,
     select_as,
     slice_period,
     sort_by,
+    top_keys,
     top_routes,
     unmatched,
     weighted_mean,
 )
-from farelake.plans import checked, committed, jobs
+from farelake.plans import branches, checked, committed, jobs
 from farelake.plans.colocated import Colocated
 from farelake.plans.curate import curate_means, written_means
 from farelake.plans.curate import curate_yearly as curate_in_year
@@ -169,6 +171,12 @@ def topk_routes(spark, sf_dir):
     return top_routes(proxy.fare(spark, sf_dir), 10)
 
 
+@query
+def topk_customers(spark, sf_dir):
+    """The most frequent values of a key that has many."""
+    return top_keys(proxy.table(spark, sf_dir, "orders"), 25, by="o_custkey", counted="o_orderstatus")
+
+
 @query
 def sort_by_month(spark, sf_dir):
     return sort_by(proxy.avg_fare(spark, sf_dir), "month", FARE_KEYS)
@@ -219,6 +227,14 @@ def join_colocated(spark, sf_dir):
     return kept.match(spark, proxy.YEARS)
 
 
+@query
+def join_reduced(spark, sf_dir):
+    """Operations cut down to the keys of the dearest fares before they are matched."""
+    means = _means(spark, sf_dir).where(F.col("priceAVG") > 80_000)
+    ops = reduce_to_keys(proxy.ops(spark, sf_dir), means, FARE_KEYS)
+    return match_operations(means, ops, how="inner")
+
+
 @query
 def join_left_lookup(spark, sf_dir):
     return lookup_place(proxy.fare(spark, sf_dir), proxy.airport(spark, sf_dir))
@@ -504,13 +520,19 @@ def job_process_distances_ranges(spark, sf_dir):
     return jobs.process_distances(spark, cfg)
 
 
-def _run(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
-    """Landing files to warehouse tables."""
+def _landed(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
+    """A lake of which only the landing zone is there."""
     table = _database(spark) + ".data{year}"
     cfg = replace(_lake(spark), years=proxy.OPERATION_YEARS, table=table, **options)
     landing.write_month_files(spark, sf_dir, cfg.landing_path("price"))
     landing.write_operations(spark, sf_dir, cfg.landing_path(cfg.operations_dir))
     landing.write_airports(spark, sf_dir, cfg.landing_path(cfg.airports_dir))
+    return cfg
+
+
+def _run(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
+    """Landing files to warehouse tables."""
+    cfg = _landed(spark, sf_dir, **options)
     jobs.run(spark, cfg)
     return cfg
 
@@ -526,6 +548,14 @@ def job_run(spark, sf_dir):
     return _published(spark, _run(spark, sf_dir))
 
 
+@query
+def job_run_branches(spark, sf_dir):
+    """The same with the three branches side by side, started twice."""
+    cfg = _landed(spark, sf_dir)
+    branches.run(spark, cfg, "first")
+    return branches.run(spark, cfg, "first").select(*CURATED_COLUMNS)
+
+
 @query
 def job_run_all_origins(spark, sf_dir):
     return _published(spark, _run(spark, sf_dir, origin=None))

@@ -7,6 +7,7 @@ from farelake.operators.filters import (
     slice_period,
     unmatched,
 )
+from farelake.operators.heavy import top_keys
 from farelake.operators.joins import lookup_place, match, match_operations
 from farelake.operators.measures import (
     duplicate_keys,
@@ -18,6 +19,7 @@ from farelake.operators.measures import (
     weighted_mean,
 )
 from farelake.operators.projections import cast_columns, promote_names, select_as
+from farelake.operators.reduction import reduce_to_keys
 
 __all__ = [
     "blank_values",
@@ -29,12 +31,14 @@ __all__ = [
     "match_coverage",
     "match_operations",
     "promote_names",
+    "reduce_to_keys",
     "require_non_null",
     "route_frequency",
     "row_counts",
     "select_as",
     "slice_period",
     "sort_by",
+    "top_keys",
     "top_routes",
     "unmatched",
     "weighted_mean",

@@ -149,6 +149,12 @@ def process_fares(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     return read_zone(spark, target, schema=FARE_SCHEMA)
 
 
+def clear_fares(spark: SparkSession, cfg: LakeConfig) -> None:
+    """Leave no fares of any year."""
+    none = spark.createDataFrame([], FARE_SCHEMA)
+    write_processing(none, cfg.processing_path(FARES), ["year"])
+
+
 def process_operations(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """The flight statistics of the run's years and origin, kept by year."""
     source = cfg.landing_path(cfg.operations_dir)
