@@ -262,6 +262,7 @@ _SELECTS = {
         FROM orders""",
     "zone_parquet_roundtrip": """
         SELECT *, 'directory' AS via FROM fare UNION ALL SELECT *, 'glob' AS via FROM fare""",
+    "zone_sorted": "SELECT * FROM avg_fare WHERE month IN (3, 4)",
     "zone_partition_overwrite": """
         SELECT * REPLACE (CASE WHEN year = 1997 THEN seats + 1 ELSE seats END AS seats)
         FROM fare""",

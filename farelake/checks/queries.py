@@ -45,7 +45,13 @@ from farelake.plans.colocated import Colocated
 from farelake.plans.curate import curate_means, written_means
 from farelake.plans.curate import curate_yearly as curate_in_year
 from farelake.session import scratch_path
-from farelake.sinks import publish_table, publish_years, write_curated_csv, write_processing
+from farelake.sinks import (
+    publish_table,
+    publish_years,
+    write_curated_csv,
+    write_processing,
+    write_sorted,
+)
 from farelake.sources import (
     month_paths,
     read_headered,
@@ -418,6 +424,15 @@ def zone_partition_overwrite(spark, sf_dir):
     return read_zone(spark, path, schema=fares.schema)
 
 
+@query
+def zone_sorted(spark, sf_dir):
+    """Mean fares in the order of the months, of which two are read."""
+    path = scratch_path(spark, "sorted")
+    order = ["month", *[key for key in FARE_KEYS if key != "month"]]
+    write_sorted(proxy.avg_fare(spark, sf_dir), path, order)
+    return read_zone(spark, path).where(F.col("month").isin(3, 4))
+
+
 @query
 def sink_curated_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "curated")

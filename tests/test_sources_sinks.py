@@ -2,15 +2,17 @@ import json
 import sys
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import rows
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from farelake.config import FARE_COLUMNS
 from farelake.operators import blank_values
-from farelake.sinks import publish_table, write_curated_csv, write_processing
+from farelake.sinks import publish_table, write_curated_csv, write_processing, write_sorted
 from farelake.sources import (
     month_paths,
     read_headered,
@@ -239,3 +241,24 @@ def test_publish_through_a_connector(spark, fares, tmp_path):
     assert note["options"]["role"] == "etl"
     assert note["schema"] == fares.schema.simpleString()
     assert [tuple(row) for row in note["rows"]] == rows(fares)
+
+
+def test_a_sorted_zone_skips_row_groups(spark, conf, tmp_path):
+    conf("spark.sql.shuffle.partitions", "4")
+    conf("spark.sql.adaptive.enabled", "false")
+    path = str(tmp_path / "sorted")
+    rows_ = spark.range(200_000).select((F.col("id") * 7919 % 12 + 1).cast("int").alias("month"), F.hash("id").alias("k"), F.uuid().alias("filler"))
+    write_sorted(rows_, path, ["month", "k"], group_mb=1)
+    groups = []
+    for file in Path(path).glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for i in range(meta.num_row_groups):
+            own = meta.row_group(i).column(0).statistics
+            groups.append((own.min, own.max, meta.row_group(i).num_rows))
+    wanted = [g for g in groups if g[0] <= 5 <= g[1]]
+    assert len(groups) >= 8 and sum(n for *_, n in wanted) < 0.35 * 200_000
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in Path(path).glob("*.parquet")]
+    assert max(sizes) < 2 * 200_000 / len(sizes)
+    read = read_zone(spark, path).where("month = 5")
+    assert read.count() == rows_.where("month = 5").count()
+    assert "PushedFilters: [IsNotNull(month), EqualTo(month,5)]" in read._jdf.queryExecution().executedPlan().toString()
