@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.scratch import written
+from farelake.llm.scratch import removed, written
 
 
 def _state(links: DataFrame) -> tuple:
@@ -42,6 +42,7 @@ def components(links: DataFrame, label: str = "links", most_rounds: int = 100) -
             .distinct()
         )
         moved = written(moved, label)
+        removed(links)
         # Small star: an id and its smaller neighbours move to the smallest of these.
         nearest = moved.groupBy("a").agg(F.min("b").alias("least"))
         pulled = moved.join(nearest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -52,6 +53,7 @@ def components(links: DataFrame, label: str = "links", most_rounds: int = 100) -
             .distinct(),
             label,
         )
+        removed(moved)
         before, state = state, _state(links)
         if state == before:
             break

@@ -18,17 +18,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.llm.components import components
-from farelake.llm.scratch import written
+from farelake.llm.scratch import removed, written
 from farelake.llm.words import U64, Words, chunks, grams_inside, mix, seeds, sequence_hashes
+from farelake.operators import reduce_to_keys
 
 #: Bytes of a sketch: for each of so many ranges of token hashes, a byte of the smallest in it.
 SKETCH = 256
 #: Children per set and node, each by a minwise function of its own.
 BRANCHES = 2
+#: Sets of a large leaf that are in each of its blocks.
+SHARED = 16
 
 
 @dataclass(frozen=True)
@@ -147,6 +150,14 @@ def signatures(docs: DataFrame, how: Similarity) -> DataFrame:
     )
 
 
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` of the documents in ``ids``, and a few others.
+
+    They are told by a table of bits of a bounded size, so no text is shuffled.
+    """
+    return reduce_to_keys(docs.select("doc_id", "text"), ids.select("doc_id"), ["doc_id"])
+
+
 def _deeper(ids: DataFrame, docs: DataFrame, level: int, how: Similarity) -> DataFrame:
     """``doc_id`` and ``minima``, the minwise tokens of a level, of the sets in ``ids`` (``doc_id``, ``name``)."""
     functions = _functions(level, how)
@@ -166,7 +177,7 @@ def _deeper(ids: DataFrame, docs: DataFrame, level: int, how: Similarity) -> Dat
                     ["doc_id", "name", "minima"],
                 )
 
-    chosen = docs.join(ids.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+    chosen = _among(docs, ids)
     found = chosen.mapInArrow(run, "doc_id bigint, name binary, minima binary")
     return found.join(ids, ["doc_id", "name"], "left_semi").dropDuplicates(["doc_id"]).drop("name")
 
@@ -221,11 +232,13 @@ def _leaves(sets: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     trees = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(how.trees - 1).cast("bigint")))
     roots = sets.select(trees.alias("node"), "doc_id", "minima", F.lit(None).cast("bigint").alias("n"))
     rows = _children(roots.withColumn("path", F.col("node")), 0)
-    leaves = []
+    leaves, used = [], []
     for level in range(1, how.depth + 1):
         rows = written(rows, "nodes")
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sized = written(rows.join(sizes, "node"), "sized")
+        removed(rows)
+        used.append(sized)
         small, dense = F.col("n") <= how.small, F.col("n") * 2 > F.col("parent")
         leaf = F.lit(True) if level == how.depth else small | F.coalesce(dense, F.lit(False))
         leaves.append(sized.where(leaf).select("node", "doc_id", "n"))
@@ -233,8 +246,12 @@ def _leaves(sets: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
         if level == how.depth or large.isEmpty():
             break
         ids = sets.join(large.select("doc_id"), "doc_id", "left_semi").select("doc_id", "name")
-        rows = _children(large.join(written(_deeper(ids, docs, level, how), "deeper"), "doc_id"), level)
-    return reduce(DataFrame.unionByName, leaves)
+        deeper = written(_deeper(ids, docs, level, how), "deeper")
+        used.append(deeper)
+        rows = _children(large.join(deeper, "doc_id"), level)
+    found = written(reduce(DataFrame.unionByName, leaves), "leaves")
+    removed(*used)
+    return found
 
 
 def _similar(
@@ -377,17 +394,32 @@ def _blocks(leaves: DataFrame, how: Similarity) -> DataFrame:
     """Leaves, with those that are still large cut into blocks by a hash of the id.
 
     The hash is the same in all nodes, so that a group that meets in many of
-    them gives the same pairs.
+    them gives the same pairs. A few sets of a large leaf are in all its
+    blocks: a group that is much of the leaf is then one component, not one for each block.
     """
     parts = F.ceil(F.col("n") / F.lit(how.small * 4)) * 4
     block = F.pmod(F.xxhash64("doc_id"), parts)
-    small = F.col("n") <= how.small
-    node = F.when(small, F.col("node")).otherwise(F.xxhash64("node", block))
-    return leaves.select(node.alias("node"), "doc_id")
+    large = leaves.where(F.col("n") > how.small).select(
+        "node", "doc_id", parts.alias("parts"), block.alias("block")
+    )
+    first = Window.partitionBy("node").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
+    shared = large.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SHARED)
+    everywhere = shared.select(
+        "node", "doc_id", "block",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other"),
+    ).where("other <> block")
+    dealt = large.select("node", "doc_id", "block").unionAll(
+        everywhere.select("node", "doc_id", F.col("other").alias("block"))
+    )
+    return leaves.where(F.col("n") <= how.small).select("node", "doc_id").unionAll(
+        dealt.select(F.xxhash64("node", "block").alias("node"), "doc_id")
+    )
 
 
-def _across(leaves: DataFrame, labelled: DataFrame, how: Similarity) -> DataFrame:
-    """Nodes that hold several components; those still large as pairs of blocks.
+def _across(
+    leaves: DataFrame, labelled: DataFrame, how: Similarity
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Nodes that hold several components; those still large as pairs of blocks; the tables they come from.
 
     Of a large node only the sets outside its commonest component meet all
     others, block by block.
@@ -426,7 +458,7 @@ def _across(leaves: DataFrame, labelled: DataFrame, how: Similarity) -> DataFram
     tiles = queries.unionByName(against).select(
         F.xxhash64("node", "i", "j").alias("node"), "doc_id", "component", "side"
     )
-    return small.unionByName(tiles)
+    return small.unionByName(tiles), [members, told]
 
 
 def _sets(ids: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
@@ -438,9 +470,9 @@ def _sets(ids: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
             sets = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_signed(g)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "set"])
 
-    chosen = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    found = chosen.mapInArrow(run, "doc_id bigint, set array<bigint>")
-    return written(found.dropDuplicates(["doc_id"]), "sets")
+    found = _among(docs, ids).mapInArrow(run, "doc_id bigint, set array<bigint>")
+    known = found.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    return written(known.dropDuplicates(["doc_id"]), "full_sets")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
@@ -452,11 +484,14 @@ def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     )
     common = F.size(F.array_intersect("one", "other")).cast("bigint")
     union = F.size("one") + F.size("other") - F.col("common")
-    return (
+    found = written(
         both.withColumn("common", common)
         .where(F.col("common") * 100 >= union * F.lit(how.percent))
-        .select("a", "b")
+        .select("a", "b"),
+        "linked",
     )
+    removed(sets)
+    return found
 
 
 def _common(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -552,12 +587,13 @@ def _placed(docs: DataFrame, how: Similarity, key: str, text: str) -> DataFrame:
         .dropDuplicates(["doc_id"])
     )
     sets = written(sets, "sets")
-    leaves = written(_leaves(sets, rows, how), "leaves")
+    leaves = _leaves(sets, rows, how)
     told = sets.select("doc_id", "n_shingles", "sketch")
 
     alone = _blocks(leaves, how).join(told, "doc_id")
     pairs = written(_pairs(alone, how), "pairs")
-    links = written(_linked(pairs, rows, how), "linked")
+    links = _linked(pairs, rows, how)
+    removed(pairs)
     parts = written(components(links), "components")
 
     label = F.coalesce("component", "doc_id").alias("component")
@@ -565,9 +601,12 @@ def _placed(docs: DataFrame, how: Similarity, key: str, text: str) -> DataFrame:
     labelled = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", label
     )
-    across = _across(leaves, labelled, how).join(told, "doc_id")
-    tiles = written(_doubtful(across, how), "tiles")
-    links = links.unionByName(written(_joined(tiles, _sets(tiles, rows, how), how), "linked"))
+    across, used = _across(leaves, labelled, how)
+    tiles = written(_doubtful(across.join(told, "doc_id"), how), "tiles")
+    removed(*used)
+    full = _sets(tiles, rows, how)
+    links = links.unionByName(written(_joined(tiles, full, how), "linked"))
+    removed(full)
     parts = written(components(links), "components")
 
     placed = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select(

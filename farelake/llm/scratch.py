@@ -36,4 +36,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` has written, once all that was made of them is written too.
+
+    Nothing may read them after that, not even to make up for an executor that
+    is lost: what was made of them is in tables of its own.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
