@@ -1,7 +1,8 @@
 """Personal data and secrets replaced by keyed surrogates of the same type and format.
 
-An entity has the same surrogate wherever it occurs, and different entities
-have different ones, which are no entities of the corpus themselves.
+An entity has the same surrogate wherever it occurs and however it is written:
+case, the spacing of numbers, and with or without a given name. Different
+entities have different ones, which are no entities of the corpus themselves.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -41,6 +42,9 @@ _SYLLABLES = {
     "GREEK": ("βα", "γορ", "δελ", "καμ", "λιν", "μαρ", "νοβ", "ραδ", "σολ", "τερ"),
 }
 
+# A name of one part; hyphens and apostrophes join its pieces.
+_NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+
 # In this order: where two overlap, the one that begins first stays, then the earlier type.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
@@ -50,19 +54,37 @@ PATTERNS = {
     "ip": rf"(?<![\w.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?![\w]|\.\d)",
     "card": r"(?<![\w-])(?P<card>\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7})(?![\w-])",
     "phone": r"(?<![\w+])(?P<phone>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\w)",
-    "person": rf"\b(?P<title>{_TITLE})\.? (?P<person>[^\W\d_]+(?:[ -][^\W\d_]+)?)",
+    "person": rf"\b(?P<title>{_TITLE})\.? (?P<person>{_NAME}(?: {_NAME})?)",
 }
 _ALL = re.compile("|".join(PATTERNS.values()))
 #: Every text with an entity matches this.
 LIKELY = rf"[0-9@]|(?i:token|passw|secret|key)|{_TITLE}"
 
 
+# First two digits of country calling codes that have three; those with 1 and 7 have one, others two.
+_LONG_CODES = {
+    "21", "22", "23", "24", "25", "26", "29", "35", "37", "38", "42", "50", "59",
+    "67", "68", "69", "80", "85", "87", "88", "96", "97", "99",
+}
+
+
+@dataclass(frozen=True)
+class Part:
+    """What has a surrogate of its own; ``name`` is the same for all ways to write it."""
+
+    start: int
+    end: int
+    kind: str
+    name: str
+
+
 @dataclass(frozen=True)
 class Entity:
     start: int
     end: int
     kind: str
     text: str
+    parts: tuple[Part, ...]
 
 
 def _luhn(digits: str) -> int:
@@ -78,24 +100,72 @@ def _script(name: str) -> str:
     return next(iter(found)) if len(found) == 1 else "MIXED"
 
 
+def _named(kind: str, text: str) -> str:
+    """An entity without what differs between ways to write it."""
+    if kind in ("phone", "card"):
+        return ("+" if text.startswith("+") else "") + "".join(c for c in text if c.isdigit())
+    if kind in ("email", "surname") or kind.startswith("given"):
+        return unicodedata.normalize("NFC", text).lower().replace("’", "'")
+    return text
+
+
+def _person(start: int, text: str, gender: str) -> Entity | None:
+    """A titled name: its words that begin with a capital, of which the last one is the surname."""
+    words = [(m.start(), m[0]) for m in re.finditer(r"\S+", text)]
+    words = words[: next((i for i, (_, w) in enumerate(words) if not w[0].isupper()), len(words))]
+    if not words:
+        return None
+    parts = tuple(
+        Part(start + at, start + at + len(w), kind, _named(kind, w))
+        for kind, (at, w) in zip([f"given_{gender}"] * (len(words) - 1) + ["surname"], words, strict=True)
+    )
+    end = parts[-1].end
+    return Entity(start, end, f"person_{gender}", text[: end - start], parts)
+
+
+def _mentions(text: str, entities: list[Entity]) -> list[Entity]:
+    """Later mentions, without a title, of names that a text has introduced with one."""
+    kinds: dict[str, tuple[str, str, int]] = {}
+    for e in entities:
+        if e.kind.startswith("person"):
+            for p in e.parts:
+                if p.kind == "surname" or len(e.parts) > 1:
+                    kinds.setdefault(p.name, (p.kind, e.kind, e.end))
+    if not kinds:
+        return []
+    after = min(end for *_, end in kinds.values())
+    names = "|".join(sorted((re.escape(n).replace("'", "['’]") for n in kinds), key=len, reverse=True))
+    out = []
+    for m in re.finditer(rf"(?<![\w'’-])(?:{names})(?![\w’-])", text[after:], re.IGNORECASE):
+        kind, person, end = kinds.get(_named("surname", m[0]), ("", "", len(text)))
+        start = after + m.start()
+        if kind and m[0][0].isupper() and start >= end:
+            part = Part(start, start + len(m[0]), kind, _named(kind, m[0]))
+            out.append(Entity(part.start, part.end, person, m[0], (part,)))
+    return out
+
+
 def find_entities(text: str) -> list[Entity]:
     """The entities of a text, in order, none overlapping another."""
     out = []
     for m in _ALL.finditer(text):
         kind = m.lastgroup if m.lastgroup != "title" else "person"
-        body = m[kind]
+        start, body = m.start(kind), m[kind]
         if kind == "person":
-            # Names are words that begin with a capital; a title without one names nobody.
-            names = [w for w in re.split(r"(?<=[ -])", body) if w[:1].isupper()]
-            if not names or not body.startswith(names[0]):
-                continue
-            body = "".join(names).rstrip(" -") if len(names) > 1 else names[0].rstrip(" -")
-            kind = f"person_{_GENDER[m['title']]}"
-            start = m.start("person")
-        else:
-            start = m.start(kind)
-        out.append(Entity(start, start + len(body), kind, body))
-    return out
+            if (found := _person(start, body, _GENDER[m["title"]])) is not None:
+                out.append(found)
+            continue
+        end = start + len(body)
+        out.append(Entity(start, end, kind, body, (Part(start, end, kind, _named(kind, body)),)))
+    more = _mentions(text, out)
+    if not more:
+        return out
+    taken, merged = 0, []
+    for e in sorted([*out, *more], key=lambda e: (e.start, -e.end)):
+        if e.start >= taken:
+            merged.append(e)
+            taken = e.end
+    return merged
 
 
 def _bytes(key: bytes, *parts: object) -> Iterator[int]:
@@ -105,49 +175,57 @@ def _bytes(key: bytes, *parts: object) -> Iterator[int]:
         yield from hmac.new(key, message + block.to_bytes(4, "big"), hashlib.sha256).digest()
 
 
-def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
+def _made_name(kind: str, name: str, attempt: int, below: Callable[[int], int]) -> str:
+    """A name in small letters, of the same script, gender and number of pieces."""
+    script = _script(name)
+    script = script if script in _SYLLABLES else "LATIN"
+    pieces = re.split(r"(['-])", name)
+    out = []
+    for i, piece in enumerate(pieces):
+        syllables = _SYLLABLES[script]
+        if i % 2:
+            out.append(piece)
+        elif len(piece) == 1:
+            out.append(syllables[below(len(syllables))][0])
+        elif kind.startswith("given") and attempt < 3:
+            given = GIVEN[script, kind[-1]]
+            out.append(given[below(len(given))].lower())
+        else:
+            out.append("".join(syllables[below(len(syllables))] for _ in range(3 + attempt // 8)))
+    return "".join(out)
+
+
+def surrogate(key: bytes, kind: str, name: str, attempt: int) -> str:
     """A replacement of the same type and shape; the same for the same arguments.
 
+    ``name`` is what ``Part`` has; ``spelled`` puts the result as a place has it.
     Digits stand for digits, letters for letters of the same case (hexadecimal
     ones if all are), and other characters stay. A card number that passes the
     Luhn test is replaced by one that does, an address by a valid one, a phone
     number keeps its country code, and an e-mail address its top-level domain.
-    A person gets a name of the same gender, script and number of names.
+    A name gets one of the same gender and script, with as many pieces.
     """
-    draw = _bytes(key, kind, entity, attempt)
+    draw = _bytes(key, kind, name, attempt)
 
     def below(n: int) -> int:
         return int.from_bytes(bytes(next(draw) for _ in range(4)), "big") % n
 
-    if kind.startswith("person"):
-        script = _script(entity)
-        script = script if script in _SYLLABLES else "LATIN"
-        parts = re.split(r"([ -])", entity)
-        given = GIVEN[script, kind[-1]]
-        out = []
-        for i, part in enumerate(parts):
-            if i % 2:
-                out.append(part)
-            elif i == 0 and len(parts) > 1:
-                out.append(given[below(len(given))])
-            else:
-                made = "".join(_SYLLABLES[script][below(len(_SYLLABLES[script]))] for _ in range(3 + attempt // 8))
-                out.append(made.upper() if part.isupper() and len(part) > 1 else made.capitalize())
-        return "".join(out)
+    if kind == "surname" or kind.startswith("given"):
+        return _made_name(kind, name, attempt, below)
     if kind == "ip":
         return ".".join(str(1 + below(254)) for _ in range(4))
     keep = 0
-    tail = len(entity)
-    if kind == "phone" and entity.startswith("+"):
-        keep = re.match(r"\+\d{1,3}(?=\D)|\+", entity).end()
+    tail = len(name)
+    if kind == "phone" and name.startswith("+"):
+        keep = 2 if name[1] in "17" else 4 if name[1:3] in _LONG_CODES else 3
     elif kind == "access_key":
         keep = 4
     elif kind == "email":
-        tail = entity.rindex(".")
-    letters = [c for c in entity if c.isalpha()]
+        tail = name.rindex(".")
+    letters = [c for c in name if c.isalpha()]
     hexadecimal = kind == "secret" and all(c in "abcdef" for c in letters)
     out = []
-    for i, c in enumerate(entity):
+    for i, c in enumerate(name):
         if i < keep or i >= tail:
             out.append(c)
         elif c.isdigit():
@@ -160,17 +238,29 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         else:
             out.append(c)
     if kind == "card":
-        places = [i for i, c in enumerate(out) if c.isdigit()]
-        out[places[0]] = entity[places[0]]  # the first digit names the kind of card
-        digits = "".join(c for c in entity if c.isdigit())
-        wanted = _luhn(digits) == 0
+        out[0] = name[0]  # the first digit names the kind of card
+        wanted = _luhn(name) == 0
         for last in "0123456789":
-            out[places[-1]] = last
-            if (_luhn("".join(out[i] for i in places)) == 0) == wanted:
+            out[-1] = last
+            if (_luhn("".join(out)) == 0) == wanted:
                 break
     return "".join(out)
 
 
+def spelled(kind: str, text: str, made: str) -> str:
+    """A surrogate in the way in which a place has written the entity."""
+    if kind in ("phone", "card"):
+        digits = iter(made.lstrip("+"))
+        return "".join(next(digits) if c.isdigit() else c for c in text)
+    if kind == "email":
+        return "".join(m.upper() if c.isupper() else m for c, m in zip(text, made, strict=True))
+    if kind == "surname" or kind.startswith("given"):
+        if len(text) > 1 and text.isupper():
+            return made.upper()
+        return re.sub(r"[^\W\d_]+", lambda m: m[0].capitalize(), made)
+    return made
+
+
 @dataclass(frozen=True)
 class Surrogates:
     """``key`` makes the surrogates; whoever has it can find out which entity one stands for.
@@ -178,18 +268,23 @@ class Surrogates:
     ``attempts`` bounds how often an entity whose surrogate is taken tries another.
     """
 
-    key: bytes = field(default=b"change me", repr=False)
+    key: bytes = field(repr=False)
     attempts: int = 200
 
+    def __post_init__(self) -> None:
+        if len(self.key) < 8:
+            raise ValueError("a key of fewer than eight bytes keeps nothing secret")
+
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """``id``, ``kind``, ``entity``: the distinct entities of each text."""
+    """``id``, ``kind``, ``entity``: the distinct parts of entities in each text, by their names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, kinds, entities = [], [], []
             for i, body in enumerate(batch.column("text").to_pylist()):
-                for kind, entity in sorted({(e.kind, e.text) for e in find_entities(body or "")}):
+                parts = {(p.kind, p.name) for e in find_entities(body or "") for p in e.parts}
+                for kind, entity in sorted(parts):
                     ids.append(i)
                     kinds.append(kind)
                     entities.append(entity)
@@ -252,12 +347,15 @@ def assign(entities: DataFrame, how: Surrogates) -> DataFrame:
 
 
 def replace_entities(
-    docs: DataFrame, how: Surrogates = Surrogates(), key: str = "doc_id", text: str = "text"
+    docs: DataFrame, how: Surrogates, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text``, ``n_entities``, ``kinds``.
 
     ``text`` has a surrogate for each entity, ``n_entities`` counts the places,
     and ``kinds`` has the number of places of each type. Whole texts are read.
+    A person is one place, whose given name and surname have surrogates of their
+    own, so that a surname alone is replaced by the same one; later mentions in
+    the same text, without a title, are replaced too.
     Only texts that may have an entity are shuffled, to meet the surrogates of
     their own entities; all others pass through. A null text stays null. Rows
     without an id, or that share one, are treated one by one. Other columns are not read.
@@ -285,8 +383,10 @@ def replace_entities(
                 by = {(p["kind"], p["entity"]): p["surrogate"] for p in pairs or []}
                 out, at, n = [], 0, {}
                 for e in find_entities(body) if by else []:
-                    out += [body[at : e.start], by[e.kind, e.text]]
-                    at = e.end
+                    for p in e.parts:
+                        made = spelled(p.kind, body[p.start : p.end], by[p.kind, p.name])
+                        out += [body[at : p.start], made]
+                        at = p.end
                     n[e.kind] = n.get(e.kind, 0) + 1
                 texts.append("".join([*out, body[at:]]))
                 counts.append(sum(n.values()))

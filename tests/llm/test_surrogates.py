@@ -59,6 +59,7 @@ def test_surrogates_keep_type_and_format(spark):
     assert card[0] == "4" and (_luhn(card) == 0) == (_luhn("4539578763621486") == 0)
     people = [e.text for e in find_entities(got[4].text)]
     assert people[0].split()[0] in GIVEN["LATIN", "f"] and people[2].split()[0] in GIVEN["CYRILLIC", "m"]
+    assert people[0].split()[1] != people[2].split()[1]
 
 
 def test_one_entity_has_one_surrogate_everywhere(spark):
@@ -67,7 +68,74 @@ def test_one_entity_has_one_surrogate_everywhere(spark):
     one, two = (e.text for e in find_entities(got[3].text))
     assert one == two
     assert replaced(spark, list(enumerate(TEXTS)))[1].text == got[1].text
-    assert replaced(spark, list(enumerate(TEXTS)), Surrogates(key=b"other"))[1].text != got[1].text
+    assert replaced(spark, list(enumerate(TEXTS)), Surrogates(key=b"another key"))[1].text != got[1].text
+
+
+def names_of(text):
+    return {p.name: text[p.start : p.end] for e in find_entities(text) for p in e.parts}
+
+
+def test_names_agree_however_they_are_written(spark):
+    rows = [
+        (1, "Mr John Smith met Mrs Jane Smith. Later Smith spoke, and JOHN did; smith is no name here."),
+        (2, "Mr Smith and MR SMITH? No: Mr SMITH."),
+        (3, "Mr Jean-Luc Picard, Mr O'Brien and Ms O’Brien; Picard left."),
+        (4, "Ann@x.com, ann@x.com and ANN@X.COM"),
+        (5, "call +1 (406) 555-0113 or +1 406 555 0113"),
+        (6, "4539 5787 6362 1486 is 4539578763621486 and 4539-5787-6362-1486"),
+        (7, "Smith without a title is left alone"),
+        (8, "Herr Müller und Frau Müller"),
+    ]
+    got = {k: r.text for k, r in replaced(spark, rows).items()}
+    words = got[1].replace(".", "").replace(",", "").replace(";", "").split()
+    john, smith, jane = words[1], words[2], words[5]
+    assert words[6] == smith and words[8] == smith and words[11] == john.upper() and "smith is no name" in got[1]
+    assert len({john, smith, jane, "John", "Smith", "Jane"}) == 6
+    assert got[2] == f"Mr {smith} and MR {smith.upper()}? No: Mr {smith.upper()}."
+    assert not {"Jean", "Luc", "Picard", "Brien"} & set(re.findall(r"\w+", got[3]))
+    given, picard = got[3].split(",")[0].split()[1:]
+    assert given.count("-") == 1 and got[3].endswith(f"; {picard} left.")
+    one, two = re.findall(r"\w['’]\w+", got[3])
+    assert one.replace("’", "'") == two.replace("’", "'")
+    a, b, c = re.findall(r"\S+@\S+[a-zA-Z]", got[4])
+    assert a.lower() == b == c.lower() and a[0].isupper() and c.isupper() and a != "Ann@x.com"
+    digits = [re.sub(r"\D", "", e.text) for e in find_entities(got[5])]
+    assert digits[0] == digits[1] != "14065550113" and digits[0][0] == "1"
+    cards = [re.sub(r"\D", "", e.text) for e in find_entities(got[6])]
+    assert len(cards) == 3 and len(set(cards)) == 1 and [len(e.text) for e in find_entities(got[6])] == [19, 16, 19]
+    assert got[7] == rows[6][1]
+    assert got[8].split()[1] == got[8].split()[4] != "Müller"
+
+
+def test_replacing_by_hand_gives_the_same(spark):
+    """The whole table, text by text, with the assignment that the operator has made."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    got = {r.doc_id: r for r in replace_entities(docs, KEY).collect()}
+    made: dict = {}
+    for key, text in rows:
+        entities = find_entities(text or "")
+        parts = [p for e in entities for p in e.parts]
+        after, at, built = got[key].text, 0, []
+        assert got[key].n_entities == len(entities)
+        if text is None:
+            assert after is None
+            continue
+        # What lies between parts stays; what stands for a part is read off.
+        pieces, last = [], 0
+        for p in parts:
+            pieces.append(re.escape(text[last : p.start]))
+            last = p.end
+        pieces.append(re.escape(text[last:]))
+        found = re.fullmatch("(.+?)".join(pieces), after, re.DOTALL)
+        assert found
+        for p, new in zip(parts, found.groups(), strict=True):
+            name = new.lower() if p.kind in ("email", "surname") or p.kind.startswith("given") else new
+            name = re.sub(r"\D", "", name) if p.kind in ("phone", "card") else name
+            assert made.setdefault((p.kind, p.name), name) == name  # coreference
+            assert new != text[p.start : p.end]
+    assert len(set(made.values())) == len(made)  # distinctness
+    assert not {n.lstrip("+") for _, n in made} & set(made.values())
 
 
 def test_surrogates_stay_distinct_where_room_is_scarce(spark):
@@ -85,7 +153,10 @@ def test_surrogates_stay_distinct_where_room_is_scarce(spark):
 
 
 def test_single_surrogates():
-    assert surrogate(b"k", "phone", "+44 20 7946 0958", 0).startswith("+44 ")
+    assert surrogate(b"k", "phone", "+442079460958", 0).startswith("+44")
+    assert surrogate(b"k", "phone", "+351210000000", 0).startswith("+351")
+    with pytest.raises(ValueError, match="keeps nothing secret"):
+        Surrogates(key=b"")
     assert surrogate(b"k", "ip", "8.8.8.8", 0) != surrogate(b"k", "ip", "8.8.8.8", 1)
     assert re.fullmatch(r"[0-9a-f]{12}", surrogate(b"k", "secret", "00ff00ff00ff", 0))
 
