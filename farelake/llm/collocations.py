@@ -26,6 +26,8 @@ from farelake.llm.words import FIRST, LOWER, U64, Words, chunks, mix, text_buffe
 CHUNK = 4 << 20
 #: Hash functions that are tried until no two words share a hash.
 TRIES = 8
+#: Parts of a language whose best phrases are found first.
+PARTS = 16
 #: Prefixes are weighed in this many bins, as a power of two, by their first word.
 BINS = 14
 
@@ -434,7 +436,12 @@ def collocations(
         best = best.withColumn(f"hash{i}", F.get("key", F.lit(i))).join(own, f"hash{i}", "left")
     phrase = F.concat_ws(" ", *[f"word{i}" for i in range(how.longest)])
     best = best.select("lang", phrase.alias("phrase"), "a", "l", "r", "score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # The best of each part of a language first, so that its last task gets no more for more input.
+    by = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    parts = Window.partitionBy("lang", part).orderBy(*by)
+    best = best.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= how.top)
+    order = Window.partitionBy("lang").orderBy(*by)
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= how.top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r",
