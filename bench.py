@@ -26,6 +26,7 @@ from farelake.checks.queries import DATABASES, QUERIES, drop_databases
 from farelake.config import FARE_KEYS
 from farelake.operators import match_operations, weighted_mean
 from farelake.plans import jobs
+from farelake.plans.colocated import Colocated
 from farelake.plans.curate import curate, curate_yearly, written_means
 from farelake.session import SCRATCH, local_session, scratch_path
 from farelake.sinks import write_processing
@@ -146,6 +147,18 @@ def crowded_match(spark: SparkSession, paths: tuple[str, str]) -> None:
     execute(match_operations(means, spark.read.parquet(paths[1]), FARE_KEYS, "inner"))
 
 
+def in_buckets(spark: SparkSession, paths: tuple[str, str]) -> Colocated:
+    """The same rows kept by the fare keys, those of the crowded key apart."""
+    root = scratch_path(spark, "buckets")
+    database = f"{DATABASES}_{root.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/warehouse'")
+    kept = Colocated(database, f"{root}/kept", buckets=8)
+    means = written_means(spark.read.parquet(paths[0]), scratch_path(spark, "means"))
+    kept.keep_means(means, proxy.YEARS)
+    kept.keep_operations(spark.read.parquet(paths[1]), proxy.YEARS)
+    return kept
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))
@@ -164,6 +177,8 @@ def bench(spark: SparkSession, sf_dir: str, cores: int) -> None:
     paths = crowded(spark, sf_dir)
     queries["crowded_mean"] = seconds(lambda: crowded_mean(spark, paths))
     queries["crowded_match"] = seconds(lambda: crowded_match(spark, paths))
+    kept = in_buckets(spark, paths)
+    queries["crowded_match_buckets"] = seconds(lambda: execute(kept.match(spark, proxy.YEARS)))
     comparison = {
         shape.__name__: seconds(lambda shape=shape: shape(spark, sf_dir), runs=1)
         for shape in (one_plan_per_year, one_plan_for_all_years)

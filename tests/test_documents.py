@@ -66,7 +66,7 @@ def test_many_tasks_read_one_file(spark, conf, tmp_path):
     found = json_elements(spark, path)
     ranges = spark.read.text(path, lineSep="}").rdd.getNumPartitions()
     busy = found.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
-    assert ranges > 10 and sum(n > 0 for n in busy) > 10 and sum(busy) == 200
+    assert ranges > 5 and sum(n > 0 for n in busy) > 5 and sum(busy) == 200
     assert rows(read_json_arrays(spark, path)) == whole
 
 
