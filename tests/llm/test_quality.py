@@ -87,3 +87,36 @@ def test_without_labels_or_documents(spark):
     assert quality.score_quality(corpus.empty(spark), model).count() == 0
     only = spark.createDataFrame([(4, 1)], "doc_id bigint, quality int")
     assert 0 < quality.fit_from_labels(corpus.odd(spark).where("doc_id = 4"), only).prior <= 1
+
+
+def test_query_agrees_with_a_plain_fit(spark):
+    """Non-negative PU risk over all rows at once, in one process, with the share of good texts that the model found."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    texts = [r.text for r in docs.collect()]
+    ids = [r.doc_id for r in docs.collect()]
+    model = quality.fit_from_labels(docs, labels)
+    good = {r.doc_id for r in labels.collect() if r.quality == 1 and zlib.crc32(str(r.doc_id).encode()) % 5}
+    raw = quality.text_features(pa.array(texts)).astype(np.float16).astype(np.float64)
+    x = ((raw - raw.mean(0)) / np.sqrt(np.maximum(raw.var(0), 1e-6))).clip(-8, 8)
+    x = np.hstack([x, np.ones((len(x), 1))])
+    sure = np.array([i in good for i in ids])
+    p, u, prior = x[sure], x[~sure], model.prior
+
+    def risk(w):
+        positive, negative = np.logaddexp(0, -(p @ w)).mean(), np.logaddexp(0, p @ w).mean()
+        rest = np.logaddexp(0, u @ w).mean() - prior * negative
+        return prior * positive + max(0.0, rest), rest
+
+    w = np.zeros(x.shape[1])
+    for step in range(2000):
+        at_p, at_u = 1 / (1 + np.exp(-(p @ w))), 1 / (1 + np.exp(-(u @ w)))
+        rest = u.T @ at_u / len(u) - prior * (p.T @ at_p) / len(p)
+        gradient = prior * (p.T @ (at_p - 1)) / len(p) + rest if risk(w)[1] >= 0 else -rest
+        gradient[:-1] += 1e-4 * w[:-1]
+        w -= 0.02 * gradient
+    own = np.append(model.weights, model.bias)
+    assert risk(own)[0] < risk(np.zeros_like(w))[0] / 2 and abs(risk(own)[0] - risk(w)[0]) < 0.1
+    plain = 1 / (1 + np.exp(-(x @ w))) >= 0.3
+    got = {r.doc_id: r.predicted == 1 for r in QUERIES["op6_quality"](spark, SF_DIR).collect()}
+    assert np.mean([got[i] == q for i, q in zip(ids, plain, strict=True)]) > 0.95
