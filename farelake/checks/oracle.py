@@ -173,6 +173,7 @@ _STRAY = "CASE company % 7 WHEN 0 THEN NULL WHEN 1 THEN year - 1 ELSE year END"
 _UNREAD = "CASE WHEN price IS NULL THEN 'price' END AS unread"
 
 _SELECTS = {
+    "curate_reduced": "SELECT * FROM curated",
     "curate_all_years": "SELECT * FROM curated",
     "curate_yearly": """
         SELECT a.year, a.month, a.company, b.companyName, c.city, c.state, a.destination,

@@ -107,6 +107,12 @@ def curate_all_years(spark, sf_dir):
     return _curated(spark, sf_dir)
 
 
+@query
+def curate_reduced(spark, sf_dir):
+    """The same, with operations cut down to the keys of the means before they are matched."""
+    return _curated(spark, sf_dir, reduce=True)
+
+
 @query
 def curate_yearly(spark, sf_dir):
     return curate_in_year(

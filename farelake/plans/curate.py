@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.config import CURATED_COLUMNS, FARE_KEYS, MEAN_SCHEMA, YEARLY_KEYS
-from farelake.operators import lookup_place, match_operations, require_non_null, weighted_mean
+from farelake.operators import (
+    lookup_place,
+    match_operations,
+    reduce_to_keys,
+    require_non_null,
+    weighted_mean,
+)
 from farelake.sinks import write_processing
 from farelake.sources import read_zone
 
@@ -30,17 +36,22 @@ def curate_means(
     airports: DataFrame,
     keys: Sequence[str] = FARE_KEYS,
     guard: bool = True,
+    reduce: bool = False,
 ) -> DataFrame:
     """Mean fares that are at hand already, with their operations and place.
 
     With the guard only fares that match an operation with known hours are
     kept. A left join followed by that test is an inner join with operations
     whose hours are known; said so here, the test reaches the scan of the
-    operations. Without it every fare stays, matched or not.
+    operations. Without it every fare stays, matched or not. ``reduce`` keeps
+    operations that no fare matches from being shuffled; it pays where there are
+    many of them, and the means are too large to be broadcast.
     """
     if not guard:
         return lookup_place(match_operations(means, ops, keys), airports).select(*CURATED_COLUMNS)
     flown = require_non_null(ops, ["time"])
+    if reduce:
+        flown = reduce_to_keys(flown, means, keys)
     matched = match_operations(means, flown, keys, "inner")
     return lookup_place(matched, airports).select(*CURATED_COLUMNS)
 

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from farelake import LakeConfig
 from farelake.checks import landing, proxy
+from farelake.config import FARE_KEYS
 from farelake.operators import heavy, reduce_to_keys, top_keys, top_routes
 from farelake.plans import branches, jobs
+from farelake.plans.curate import curate_means
 
 
 @pytest.fixture
@@ -90,6 +92,17 @@ def test_reduction_loses_no_match(spark):
     assert rows(few.join(right.select("k", "s").distinct(), ["k", "s"], "left_semi")) == rows(want)
 
 
+def test_fewer_operations_are_shuffled(spark, tmp_path):
+    """Means of one month against operations of all: what passes is what can match, and little else."""
+    means = proxy.avg_fare(spark, SF_DIR).where("year = 1996 and month = 5")
+    ops = proxy.ops(spark, SF_DIR)
+    passed = reduce_to_keys(ops, means, FARE_KEYS).count()
+    matching = ops.join(means.select(*FARE_KEYS), list(FARE_KEYS), "left_semi").count()
+    assert matching <= passed <= matching + 0.01 * ops.count() and passed < 0.1 * ops.count()
+    airports = proxy.airport(spark, SF_DIR)
+    assert rows(curate_means(means, ops, airports, reduce=True)) == rows(curate_means(means, ops, airports))
+
+
 def test_reduction_takes_keys_of_another_type(spark):
     left = keyed(spark, [(i, "a", i) for i in range(1000)])
     right = left.where("k % 100 = 0").select(F.col("k").cast("int").alias("k"), "s")
