@@ -235,9 +235,10 @@ def _leaves(sets: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     leaves, used = [], []
     for level in range(1, how.depth + 1):
         rows = written(rows, "nodes")
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        # Written first: adaptive execution can split a crowded node of a join, but not above an aggregate.
+        sizes = written(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
         sized = written(rows.join(sizes, "node"), "sized")
-        removed(rows)
+        removed(rows, sizes)
         used.append(sized)
         small, dense = F.col("n") <= how.small, F.col("n") * 2 > F.col("parent")
         leaf = F.lit(True) if level == how.depth else small | F.coalesce(dense, F.lit(False))
@@ -435,7 +436,8 @@ def _across(
         )
         .where("most < all")
     )
-    told = written(members.join(mixed, "node"), "mixed")
+    mixed = written(mixed, "mixed")
+    told = written(members.join(mixed, "node"), "told")
     small = told.where(F.col("n") <= how.small).select(
         "node", "doc_id", "component", F.lit(-1).alias("side")
     )
@@ -458,27 +460,35 @@ def _across(
     tiles = queries.unionByName(against).select(
         F.xxhash64("node", "i", "j").alias("node"), "doc_id", "component", "side"
     )
-    return small.unionByName(tiles), [members, told]
+    return small.unionByName(tiles), [members, mixed, told]
 
 
-def _sets(ids: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
-    """``doc_id`` and ``set``, the sorted shingle hashes, of the documents in ``ids``."""
+def _sets(ids: DataFrame, docs: DataFrame, names: DataFrame, how: Similarity) -> DataFrame:
+    """``doc_id`` and ``set``, the sorted shingle hashes, of the documents in ``ids``; ``names`` tells which set of an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             g, bounds, _ = shingles(batch.column("text"), how.words)
-            sets = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_signed(g)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "set"])
+            some = np.flatnonzero(np.diff(bounds))
+            if not len(some):
+                continue
+            full = np.append(bounds[some], len(g))
+            sets = pa.ListArray.from_arrays(pa.array(full, pa.int32()), pa.array(_signed(g)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(some)), pa.array(_names(g, full), pa.binary()), sets],
+                ["doc_id", "name", "set"],
+            )
 
-    found = _among(docs, ids).mapInArrow(run, "doc_id bigint, set array<bigint>")
-    known = found.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    found = _among(docs, ids).mapInArrow(run, "doc_id bigint, name binary, set array<bigint>")
+    wanted = names.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = found.join(wanted, ["doc_id", "name"], "left_semi").select("doc_id", "set")
     return written(known.dropDuplicates(["doc_id"]), "full_sets")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, names: DataFrame, how: Similarity) -> DataFrame:
     """Those pairs whose full sets are similar enough."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    sets = _sets(named, docs, how)
+    sets = _sets(named, docs, names, how)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("one")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("set").alias("other")), "b"
     )
@@ -564,8 +574,9 @@ def near_duplicates(
     that it is the row's own. A null text is empty; a text without words is
     linked with nothing. Rows without an id take part only as copies of others:
     they get the component of rows with an equal set, if there are any, and
-    else null, and then they are kept. Rows that repeat an id count as one, with
-    the first set that is found. Other columns are not read.
+    else null, and then they are kept. Rows that repeat an id are one document,
+    linked by copies of any of its sets, and compared by one of them, the one whose
+    name is smallest. Ids must be integers, or text that names one. Other columns are not read.
     """
     return _placed(docs, how, key, text).drop("digest")
 
@@ -581,18 +592,21 @@ def _placed(docs: DataFrame, how: Similarity, key: str, text: str) -> DataFrame:
     )
     classes = written(classes, "classes")
     reps = classes.where("rep IS NOT NULL")
+    # An id with several sets is compared by the one with the smallest name.
+    reps = reps.groupBy("rep").agg(F.min("name").alias("name")).withColumnRenamed("rep", "doc_id")
     sets = (
-        found.join(reps.withColumnRenamed("rep", "doc_id"), ["name", "doc_id"], "left_semi")
+        found.join(reps, ["name", "doc_id"], "left_semi")
         .select("doc_id", "name", "n_shingles", "minima", "sketch")
         .dropDuplicates(["doc_id"])
     )
     sets = written(sets, "sets")
+    names = sets.select("doc_id", "name")
     leaves = _leaves(sets, rows, how)
     told = sets.select("doc_id", "n_shingles", "sketch")
 
     alone = _blocks(leaves, how).join(told, "doc_id")
     pairs = written(_pairs(alone, how), "pairs")
-    links = _linked(pairs, rows, how)
+    links = _linked(pairs, rows, names, how)
     removed(pairs)
     parts = written(components(links), "components")
 
@@ -604,7 +618,7 @@ def _placed(docs: DataFrame, how: Similarity, key: str, text: str) -> DataFrame:
     across, used = _across(leaves, labelled, how)
     tiles = written(_doubtful(across.join(told, "doc_id"), how), "tiles")
     removed(*used)
-    full = _sets(tiles, rows, how)
+    full = _sets(tiles, rows, names, how)
     links = links.unionByName(written(_joined(tiles, full, how), "linked"))
     removed(full)
     parts = written(components(links), "components")

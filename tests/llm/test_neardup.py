@@ -175,3 +175,14 @@ def test_components(spark):
     assert sorted(map(tuple, got.collect())) == sorted([*expected, (500, -4), (-4, -4)])
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert components(none).count() == 0
+
+
+def test_an_id_with_two_texts_gives_the_same_result_each_time(spark):
+    rows = [(7, corpus.text(1, 200)), (7, corpus.text(2, 200)), (9, corpus.edited(1, 200, 5, 2)), (10, corpus.edited(2, 200, 6, 2)), (11, corpus.text(2, 200))]
+    found = set()
+    for i in range(4):
+        docs = corpus.documents(spark, rows[i:] + rows[:i]).repartition(1 + i)
+        found.add(tuple(sorted(map(tuple, neardup.near_duplicates(docs).collect()))))
+    assert len(found) == 1
+    by = {(k, n): c for k, n, c, _ in found.pop()}
+    assert {c for (k, _), c in by.items() if k in (7, 11)} == {7}  # a copy of either text is linked
