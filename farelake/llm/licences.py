@@ -195,8 +195,8 @@ def licences(
     Whole texts are searched. A window can share a band only if it holds a
     shingle that is some notice's smallest in that band, so texts without any of
     these have no candidates and are cut into no windows. The notices are small:
-    those shingles, ``bands`` for each notice at most, come to the driver and
-    go out as literals.
+    they come to the driver and go out as literals, so that a window is compared
+    in the task that has its text, and only what is found is shuffled.
 
     Of notices found around one window, those count whose found share is largest.
     Words are runs of letters and digits without regard to case. A notice of
@@ -216,7 +216,7 @@ def licences(
         .select("license_id", "form", "own", F.size("words").alias("length"), "hashes")
     )
     known = _computed(known, "minima", _minima(F.col("hashes"), how.bands))
-    told = known.select("length").collect()
+    told = known.select("license_id", "form", "own", "length", "minima").collect()
     if not told:
         return docs.where(F.lit(False)).select(
             F.col(key).alias("doc_id"), F.lit("").alias("license_id"), F.lit("").alias("form"),
@@ -251,19 +251,25 @@ def licences(
         ),
     )
     cut = likely.select("doc_id", F.inline(windows))
-    banded = cut.select(
-        "doc_id",
-        "start",
-        "around",
-        F.posexplode(_minima(F.col("hashes"), how.bands)).alias("band", "least"),
+    cut = _computed(cut, "minima", _minima(F.col("hashes"), how.bands))
+    # The notices a window shares a band with, and how much of each lies around it: all in the row's own task.
+    banded = F.array(
+        *(F.struct(F.lit(i).alias("notice"), F.array(*map(F.lit, r.minima)).alias("minima")) for i, r in enumerate(told))
+    )
+    alike = F.filter(
+        banded,
+        lambda t: F.exists(F.zip_with(t["minima"], F.col("minima"), lambda x, y: x == y), lambda same: same),
+    )
+    cut = _computed(cut, "notices", F.transform(alike, lambda t: t["notice"])).where(F.size("notices") > 0)
+    cut = _computed(cut, "near", _shingles(F.col("around"), how.shingle))
+    numbered = spark.createDataFrame(
+        [(i, r.license_id, r.form, r.own) for i, r in enumerate(told)],
+        "notice int, license_id string, form string, own array<string>",
     )
-    bands = known.select("license_id", "form", "own", F.posexplode("minima").alias("band", "least"))
-    found = (
-        banded.join(bands, ["band", "least"])
-        .groupBy("doc_id", "start", "license_id", "form")
-        .agg(F.max("around").alias("around"), F.max("own").alias("own"))
+    found = cut.select("doc_id", "start", "near", F.explode("notices").alias("notice")).join(
+        F.broadcast(numbered), "notice"  # the notices are literals of the plan already
     )
-    common = F.size(F.array_intersect("own", _shingles(F.col("around"), how.shingle)))
+    common = F.size(F.array_intersect("own", "near"))
     matched = found.select(
         "doc_id", "license_id", "form", "start", common.alias("matched"), F.size("own").alias("of")
     ).where(F.col("matched") * 100 >= F.col("of") * how.percent)
