@@ -1,12 +1,15 @@
-"""Landing files are written without a table in one row."""
+"""Landing files are written without a table in one row, and by all tasks where a file may have parts."""
 
 import json
 from pathlib import Path
 
 import pytest
+from helpers import SF_DIR, rows
+from pyspark.sql import functions as F
 
 from farelake.checks import landing
-from farelake.sources import read_json_arrays
+from farelake.config import FARE_COLUMNS
+from farelake.sources import read_headerless, read_json_arrays
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string"
 
@@ -26,3 +29,13 @@ def test_an_array_is_written_in_batches(spark, conf, tmp_path, n):
     assert max(len(json.loads(f"[{line.strip('[],')}]")) for line in text.split("\n")) <= 100
     if n:
         assert read_json_arrays(spark, path).count() == n
+
+
+def test_a_month_is_rewritten_by_several_tasks(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path = landing.write_month_files(spark, SF_DIR, f"file://{tmp_path}/price")
+    landing.rewrite_month(spark, SF_DIR, path, 1997, 3, F.lit("7"))
+    assert len(list((tmp_path / "price" / "period=199703.CSV").glob("part-*"))) > 1
+    got = read_headerless(spark, f"{path}/period=199703.CSV", FARE_COLUMNS)
+    want = landing.fare_rows(spark, SF_DIR).where("period = '199703.CSV'").withColumn("seats", F.lit("7"))
+    assert rows(got) == rows(want.drop("period"))
