@@ -7,6 +7,8 @@ taken while the relation is written, by no job of their own.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,13 +97,19 @@ def _write(
 
 
 def _rejects(
-    lines: DataFrame, lost: Column, asked: Column, unread: Column, cells: list[str], relation: str
+    lines: DataFrame, lost: Column, asked: Column, unread: dict[str, Column], cells: list[str], relation: str
 ) -> DataFrame:
-    """Lines that are in no relation, and those that are with cells that could not be read."""
+    """Lines that are in no relation, and those that are with cells that could not be read.
+
+    ``unread`` has a condition for each reason. Lines are filtered by the
+    conditions; the reasons are put into words, once, for those that are left.
+    """
     text = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cells]), {"sep": ";"})
-    reasons = F.nullif(F.concat_ws(",", F.when(F.col(_BROKEN).isNotNull(), "cells"), unread), F.lit(""))
+    unread = {"cells": F.col(_BROKEN).isNotNull(), **unread}
+    reasons = F.concat_ws(",", *[F.when(is_so, name) for name, is_so in unread.items()])
     return (
         lines.where(lost | asked)
+        .where(reduce(Column.__or__, unread.values()))
         .select(
             F.lit(relation).alias("relation"),
             F.col("_file").alias("file"),
@@ -110,15 +118,15 @@ def _rejects(
             reasons.alias("reasons"),
             (~lost).alias("kept"),
         )
-        .where("reasons IS NOT NULL")
     )
 
 
-def _names_unread(cells: dict[str, tuple[Column, Column]]) -> Column:
-    return F.concat_ws(
-        ",",
-        *[F.when((F.trim(text) != "") & number.isNull(), name) for name, (text, number) in cells.items()],
-    )
+def _unread(cells: dict[str, tuple[Column, Column]]) -> dict[str, Column]:
+    """Per cell whether it holds text that gave no number; not NULL."""
+    return {
+        name: number.isNull() & (F.trim(F.coalesce(text, F.lit(""))) != "")
+        for name, (text, number) in cells.items()
+    }
 
 
 def process(spark: SparkSession, cfg: LakeConfig) -> tuple[DataFrame, DataFrame]:
@@ -156,13 +164,14 @@ def process(spark: SparkSession, cfg: LakeConfig) -> tuple[DataFrame, DataFrame]
         name: (F.col(f"`{titles[name]}`"), parse_int(F.col(f"`{titles[name]}`"), cfg.lenient_ints))
         for name in OPERATION_INTEGERS
     }
-    blank = F.when(F.trim(F.coalesce(F.col(f"`{titles['year']}`"), F.lit(""))) == "", "year")
-    op_unread = F.concat_ws(",", blank, F.nullif(_names_unread(op_cells), F.lit("")))
+    op_unread = _unread(op_cells)
+    # An empty year is a reason too.
+    op_unread["year"] = op_cells["year"][1].isNull()
     raw_titles = [c for c in ops.columns if c not in (_BROKEN, *_PLACE)]
     rejects = _rejects(
-        fares, lost_fares, asked_fares, F.nullif(_names_unread(fare_cells), F.lit("")), list(FARE_COLUMNS), jobs.FARES
+        fares, lost_fares, asked_fares, _unread(fare_cells), list(FARE_COLUMNS), jobs.FARES
     ).unionAll(
-        _rejects(ops, lost_ops, asked_ops, F.nullif(op_unread, F.lit("")), raw_titles, jobs.OPERATIONS)
+        _rejects(ops, lost_ops, asked_ops, op_unread, raw_titles, jobs.OPERATIONS)
     )
     write_processing(rejects, cfg.processing_path(REJECTS), ["relation"], compact=True)
     counted = spark.createDataFrame(counts, COUNT_SCHEMA)

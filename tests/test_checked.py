@@ -66,3 +66,18 @@ def test_clean_files_have_no_rejects(spark, lake):
     counts, rejects = checked.process(spark, cfg)
     assert {r.rejected for r in counts.collect()} == {0}
     assert rejects.where("not kept").count() == 0 and {r.reasons for r in rejects.collect()} == {"price"}
+
+
+def test_a_cell_is_parsed_for_its_filter_and_its_reason_only(spark, lake, monkeypatch):
+    """Conditions inside conditions made the filter's code too long to be compiled."""
+    plans = {}
+    write = checked.write_processing
+
+    def noted(df, path, *args, **options):
+        plans[path] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, path, *args, **options)
+
+    monkeypatch.setattr(checked, "write_processing", noted)
+    checked.process(spark, lake)
+    text = plans[lake.processing_path(checked.REJECTS)]
+    assert text.count("cast(DECOLAGENS#") <= 2 and text.count("cast(seats#") <= 2
