@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +81,8 @@ class Colocated:
     def match(self, spark: SparkSession, years: Iterable[int]) -> DataFrame:
         """Mean fares beside the operations with the same keys, all of them, as ``match_operations`` gives them.
 
-        Buckets are joined where they lie: neither relation is shuffled.
+        Buckets are joined where they lie: neither relation is shuffled. Years
+        are joined apart, so a task sorts a bucket of one year and not of all.
         """
         years = list(years)
         keys = [key if key != "year" else "ofYear" for key in FARE_KEYS]
@@ -89,9 +91,18 @@ class Colocated:
         crowded = read_zone(spark, self.crowded, schema=schema).where(F.col("year").isin(*years))
         there = self._kept_keys(spark, crowded, years)
         few = means.drop("ofYear").join(there, list(FARE_KEYS), "left_semi")
-        rest = means.drop("year").join(
-            there.withColumnRenamed("year", "ofYear"), keys, "left_anti"
-        )
-        plain = match_operations(rest, ops.drop("year"), keys).withColumnRenamed("ofYear", "year")
+        joined = [
+            match_operations(
+                self.means.read(spark, part).drop("year"),
+                self.operations.read(spark, part).drop("year"),
+                keys,
+            ).withColumnRenamed("ofYear", "year")
+            for part in [[year] for year in dict.fromkeys(years)] or [[]]
+        ]
         flown = match_operations(F.broadcast(few), crowded, FARE_KEYS, "inner")
-        return plain.select(*flown.columns).unionAll(flown)
+        # Means of crowded keys have met nothing in the buckets. They are marked and
+        # dropped here, once: an anti join would be pushed into each of the years.
+        marked = there.withColumn("isCrowded", F.lit(True))
+        plain = reduce(DataFrame.unionAll, joined).join(marked, list(FARE_KEYS), "left")
+        rest = plain.where(F.col("isCrowded").isNull())
+        return rest.select(*flown.columns).unionAll(flown)

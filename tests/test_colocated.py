@@ -108,3 +108,12 @@ def test_buckets_are_files_by_key(spark, kept, tmp_path):
     kept.keep_means(means, proxy.YEARS)
     for folder in (tmp_path / "kept" / "means").glob("year=*"):
         assert len(list(folder.glob("*.parquet"))) <= kept.buckets
+
+
+def test_a_task_joins_a_bucket_of_one_year(spark, kept, conf_off):
+    means, ops = sides(spark)
+    kept.keep_means(means, proxy.YEARS)
+    kept.keep_operations(ops, proxy.YEARS)
+    text = plan(kept.match(spark, proxy.YEARS))
+    assert len({line.split("SortMergeJoin")[1] for line in text.split("\n") if "SortMergeJoin" in line}) == len(proxy.YEARS)
+    assert kept.match(spark, []).count() == 0
