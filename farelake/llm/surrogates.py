@@ -57,8 +57,9 @@ PATTERNS = {
     "person": rf"\b(?P<title>{_TITLE})\.? (?P<person>{_NAME}(?: {_NAME})?)",
 }
 _ALL = re.compile("|".join(PATTERNS.values()))
-#: Every text with an entity matches this.
-LIKELY = rf"[0-9@]|(?i:token|passw|secret|key)|{_TITLE}"
+#: Every text with an entity matches this. Words are tried only where one of their first letters is.
+_FIRST = "".join(sorted({*"tTpPsSkK", *(title[0] for title in _GENDER)}))
+LIKELY = rf"[0-9@]|(?=[{_FIRST}])(?:(?i:token|passw|secret|key)|{_TITLE})"
 
 
 # First two digits of country calling codes that have three; those with 1 and 7 have one, others two.

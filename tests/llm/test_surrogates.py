@@ -2,7 +2,9 @@ import re
 
 import corpus
 import pytest
+from pyspark.sql import functions as F
 
+from farelake.llm import surrogates
 from farelake.llm.surrogates import (
     GIVEN,
     Surrogates,
@@ -174,3 +176,15 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert replace_entities(corpus.empty(spark), KEY).count() == 0
+
+
+def test_likely_texts_are_those_with_a_digit_an_at_sign_a_word_or_a_title(session):
+    words = ["token", "PassWd", "sEcret", "monKEY", *surrogates._GENDER, "7", "a@b"]
+    others = ["", "tok en", "pass", "mr", "frau", "ſecret", "господин", "Tokio", "Sunday", "Kelvin", "Herbst", "Мир"]
+    texts = [f"x {w} y\n" for w in words] + [f"x {w} y\n" for w in others]
+    plain = rf"[0-9@]|(?i:token|passw|secret|key)|{surrogates._TITLE}"
+    df = session.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", F.col("text").rlike(surrogates.LIKELY).alias("likely"), F.col("text").rlike(plain).alias("plain")
+    )
+    got = {r.text: r.likely for r in df.collect() if r.likely == r.plain}
+    assert [got.get(t) for t in texts] == [True] * len(words) + [False] * len(others)
