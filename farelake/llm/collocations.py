@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from farelake.llm.scratch import written
 from farelake.llm.words import FIRST, LOWER, U64, Words, chunks, mix, text_buffer
 
-#: Text that a task works on at once, in bytes.
+#: Text whose words or suffixes a task adds up before it sends them, in bytes.
 CHUNK = 4 << 20
+#: Text that a task takes apart at once to find suffixes; what it holds of a chunk is their hashes only.
+PART = 1 << 20
 #: Hash functions that are tried until no two words share a hash.
 TRIES = 8
 #: Parts of a language whose best phrases are found first.
@@ -77,7 +79,7 @@ class _Pieces(Words):
         self.bounds = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.bounds)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
-        marks = np.cumsum(_MARK[self.data], dtype=np.int64)[self.starts]
+        marks = np.searchsorted(np.flatnonzero(_MARK[self.data]), self.starts)
         last = np.ones(len(self.starts), bool)  # of its piece
         last[:-1] = (marks[1:] != marks[:-1]) | (self.doc[1:] != self.doc[:-1])
         at = np.flatnonzero(last)
@@ -295,7 +297,9 @@ def _subtrees(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, group, parts = shared.value
         low = U64(8 * len(bitmap) - 1)
-        for batch in chunks(batches, limit=CHUNK):
+
+        def suffixes(batch: pa.RecordBatch) -> tuple[int, list[np.ndarray]]:
+            """The bytes of some texts, and the group and the words of each of their suffixes."""
             words = _Pieces(batch.column("text"))
             h = words.named(batch.column("lang"), how, seed)
             bit = (h & low).astype(np.int64)
@@ -309,21 +313,37 @@ def _subtrees(
                 going = going & follows[np.minimum(at + i - 1, len(h) - 1)]
                 levels.append(np.where(going, h[np.minimum(at + i, len(h) - 1)], U64(0)))
                 at = np.where(going, at, 0)
-            levels, n = _combined(levels, np.ones(len(at), np.int64))
             bins = (levels[0] >> U64(64 - BINS)).astype(np.int64)
             of = group[bins] + (mix(levels[1]) % parts[bins].astype(np.uint64)).astype(np.int64)
-            order = np.argsort(of, kind="stable")
-            of, n, levels = of[order], n[order], [x[order] for x in levels]
-            cuts = np.flatnonzero(np.diff(of)) + 1
-            bounds = [0, *cuts.tolist(), len(of)] if len(of) else [0]
-            groups, blocks = [], []
-            for s, e in zip(bounds[:-1], bounds[1:], strict=True):
-                groups.append(int(of[s]))
-                blocks.append(_packed([x[s:e] for x in levels], n[s:e]))
+            return len(words.data), [of, *levels]
+
+        def subtrees(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            held.clear()
+            (of, *levels), n = _combined(columns, np.ones(len(columns[0]), np.int64))
+            del columns
+            if not len(n):
+                return
+            bounds = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            blocks = [
+                _packed([x[s:e] for x in levels], n[s:e])
+                for s, e in zip(bounds[:-1], bounds[1:], strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(groups, pa.int64()), pa.array(blocks, pa.binary())], ["group", "block"]
+                [pa.array(of[bounds[:-1]]), pa.array(blocks, pa.binary())], ["group", "block"]
             )
 
+        held, size = [], 0
+        for batch in chunks(batches, limit=min(PART, CHUNK)):
+            more, found = suffixes(batch)
+            held.append(found)
+            size += more
+            if size >= CHUNK:
+                yield from subtrees(held)
+                size = 0
+        if held:
+            yield from subtrees(held)
+
     return docs.mapInArrow(run, "group bigint, block binary")
 
 

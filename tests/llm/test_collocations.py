@@ -171,3 +171,33 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert of(collocations(corpus.empty(spark))) == []
+
+
+def test_a_task_holds_the_hashes_of_a_chunk(monkeypatch):
+    """Texts are taken apart in small parts, whose suffixes meet in the same blocks."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    def blocks(part):
+        monkeypatch.setattr(module, "PART", part, raising=False)
+        context = SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x))
+        docs = SimpleNamespace(
+            sparkSession=SimpleNamespace(sparkContext=context), mapInArrow=lambda run, _: run(iter([batch]))
+        )
+        every = np.full(1 << 12, 255, np.uint8)
+        grouped = np.arange(1 << module.BINS) % 9, np.ones(1 << module.BINS, np.int64)
+        tracemalloc.start()
+        got = [r for out in module._subtrees(docs, Phrases(), 0, every, grouped) for r in out.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return got, peak
+
+    rng = random.Random(4)
+    vocabulary = corpus.prose(4, 3000)
+    texts = [" ".join(rng.choices(vocabulary, k=2000)) + "." for _ in range(150)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["en"] * len(texts)})
+    monkeypatch.setattr(module, "CHUNK", sum(map(len, texts)))
+    (small, low), (whole, high) = blocks(1 << 16), blocks(module.CHUNK)
+    assert small == whole and [r["group"] for r in whole] == list(range(9))
+    # A suffix takes some 130 bytes while a chunk is added up, whatever its texts take.
+    assert low < 135 * 300_000 and low < 0.9 * high
