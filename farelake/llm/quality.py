@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -159,6 +160,25 @@ def _descend(
     w += velocity
 
 
+def _drawn(trusted: DataFrame, most: int) -> list[bytes]:
+    """The features of trusted rows in the order of their hashes, ``most`` at most.
+
+    Counts of ranges of hashes tell which ranges hold that many rows. Only these
+    come to the driver, with equal ones as one, however many tasks there are.
+    """
+    part = F.shiftright(F.xxhash64("features"), 52)
+    total, last = 0, None
+    for r in sorted(trusted.groupBy(part.alias("part")).count().collect()):
+        total, last = total + r[1], r.part
+        if total >= most:
+            break
+    if last is None:
+        return []
+    kept = trusted.where(part <= last).groupBy("features").agg(F.count("*").alias("n"))
+    rows = kept.orderBy(F.xxhash64("features")).limit(most).collect()
+    return [*islice(chain.from_iterable(repeat(r.features, r.n) for r in rows), most)]
+
+
 def _rounds(
     unlabelled: DataFrame,
     positives: np.ndarray,
@@ -177,7 +197,8 @@ def _rounds(
     def whitened(x: np.ndarray) -> np.ndarray:
         return np.hstack([((x - mean) / scale).clip(-8, 8), np.ones((len(x), 1))])
 
-    trusted = whitened(positives)
+    # Sent once, as the bytes that they came as, and not with each round's code.
+    shared = unlabelled.sparkSession.sparkContext.broadcast(positives.astype(np.float16))
     for turn in range(rounds):
         start = weights.copy()
         rate = 0.1 / (1 + turn)
@@ -185,6 +206,7 @@ def _rounds(
         def run(
             batches: Iterator[pa.RecordBatch], start: np.ndarray = start, rate: float = rate
         ) -> Iterator[pa.RecordBatch]:
+            trusted = whitened(shared.value.astype(np.float32))
             w, velocity, n, step = start.copy(), np.zeros(DIMENSIONS + 1), 0, 0
             for batch in batches:
                 rows = whitened(_vectors(batch.column("features")))
@@ -201,6 +223,7 @@ def _rounds(
         parts = unlabelled.select("features").mapInArrow(run, "n bigint, w binary").collect()
         if parts:
             weights = np.average([np.frombuffer(p.w) for p in parts], axis=0, weights=[p.n for p in parts])
+    shared.destroy()
     return weights
 
 
@@ -251,8 +274,7 @@ def fit_quality(
     knows nothing and scores 0.5.
     """
     rows = vectors.withColumn("trusted", F.coalesce(trusted, F.lit(False)))
-    drawn = rows.where("trusted").orderBy(F.xxhash64("features")).limit(max_positives)
-    cells = [r.features for r in drawn.select("features").collect()]
+    cells = _drawn(rows.where("trusted").select("features"), max_positives)
     unlabelled = rows.where("NOT trusted")
     mean, scale = _moments(vectors)
     if not cells:

@@ -4,6 +4,7 @@ import corpus
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from farelake.llm import quality
 from farelake.llm.queries import QUERIES
@@ -120,3 +121,22 @@ def test_query_agrees_with_a_plain_fit(spark):
     plain = 1 / (1 + np.exp(-(x @ w))) >= 0.3
     got = {r.doc_id: r.predicted == 1 for r in QUERIES["op6_quality"](spark, SF_DIR).collect()}
     assert np.mean([got[i] == q for i, q in zip(ids, plain, strict=True)]) > 0.95
+
+
+def test_the_driver_gets_the_drawn_rows_only(spark, monkeypatch):
+    """Of all trusted rows, those of the smallest hashes, copies included, and few others are sorted."""
+    rng = np.random.default_rng(6)
+    cells = [x.astype(np.float16).tobytes() for x in rng.random((3000, quality.DIMENSIONS))]
+    cells += cells[:40] * 3
+    rows = [(c, i % 5 != 0) for i, c in enumerate(cells)]
+    vectors = spark.createDataFrame(rows, "features binary, trusted boolean").repartition(12)
+    frame, sorted_rows, taken = type(vectors), [], []
+    limit, fit = frame.limit, quality._rounds
+    monkeypatch.setattr(frame, "limit", lambda df, n: sorted_rows.append(df.count()) or limit(df, n))
+    monkeypatch.setattr(quality, "_rounds", lambda u, p, *a: taken.append(p) or fit(u, p, *a))
+    quality.fit_quality(vectors, F.col("trusted"), max_positives=500, rounds=1)
+    monkeypatch.undo()
+    assert max(sorted_rows) < 600
+    plain = vectors.where("trusted").orderBy(F.xxhash64("features")).limit(500).collect()
+    got = sorted(x.astype(np.float16).tobytes() for x in taken[-1])
+    assert got == sorted(r.features for r in plain)
