@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,12 @@ class LanguageModel:
     logs: np.ndarray
     shares: np.ndarray
 
+    @cached_property
+    def likelihoods(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each cell's probabilities as parts of its largest, and their logarithms."""
+        table = np.exp(self.logs - self.logs.max(0)) + 1e-30
+        return table, np.log(table)
+
 
 def _cells(words: Words, how: NGrams, pad: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The text and the cell of each n-gram with a letter in it.
@@ -99,14 +106,14 @@ def _counted(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray, np.ndar
     least = min(how.lengths)
     parts = [_cells(words, NGrams((k,), how.bits), k == least) for k in how.lengths]
     found, counts, bounds = [], [], [np.zeros(1, np.int64)]
-    step = max(1, (1 << 19) >> how.bits)
+    step = max(1, (1 << 17) >> how.bits)
     for low in range(0, n, step):
         rows = min(step, n - low)
         table = np.zeros(rows * size, np.int64)
         for of, cells in parts:
             i, j = np.searchsorted(of, (low, low + rows))
             table += np.bincount((of[i:j] - low) * size + cells[i:j], minlength=len(table))
-        at = np.flatnonzero(table)
+        at = np.flatnonzero(table != 0)
         found.append(at % size)
         counts.append(table[at])
         bounds.append(bounds[-1][-1] + np.searchsorted(at, np.arange(1, rows + 1) * size))
@@ -168,49 +175,57 @@ def learn(docs: DataFrame, text: str, lang: str, how: NGrams = NGrams()) -> Lang
     return LanguageModel(tuple(r.lang for r in counts), logs, texts / max(1.0, texts.sum()))
 
 
-def _step(
-    likelihood: np.ndarray, counts: np.ndarray, shares: np.ndarray, first: np.ndarray
-) -> np.ndarray:
-    """One round of EM for many texts: better proportions.
+#: Rounds of EM before which it is tested whether more of them can matter.
+TESTED = (2, 5, 10)
 
-    Rows of ``likelihood`` belong to the texts that begin at ``first``.
-    """
-    weighted = likelihood * np.repeat(shares, np.diff(np.append(first, len(counts))), axis=0)
-    weighted *= (counts / weighted.sum(1))[:, None]
-    better = np.add.reduceat(weighted, first, axis=0)
-    return better / better.sum(1, keepdims=True)
 
+def _fitted(
+    likelihood: np.ndarray,
+    counts: np.ndarray,
+    shares: np.ndarray,
+    rounds: int,
+    enough: float = -np.inf,
+) -> tuple[np.ndarray, float]:
+    """Proportions of one text after ``rounds`` of EM, and its log likelihood under them.
 
-def _value(
-    likelihood: np.ndarray, counts: np.ndarray, shares: np.ndarray, first: np.ndarray
-) -> np.ndarray:
-    """The log likelihood of each text under its proportions."""
-    total = (likelihood * np.repeat(shares, np.diff(np.append(first, len(counts))), axis=0)).sum(1)
-    return np.add.reduceat(counts * np.log(total), first)
+    ``likelihood`` has a row per language. The log likelihood is concave, so it is
+    nowhere above its tangent at the proportions at hand. Once that shows that no
+    proportions come above ``enough``, those at hand are returned.
+    """
+    total = counts.sum()
+    for turn in range(rounds):
+        mixed = shares @ likelihood
+        slopes = likelihood @ (counts / mixed)
+        if turn in TESTED and enough > -np.inf:
+            value = float(counts @ np.log(mixed))
+            if value + slopes.max() - total < enough - 1e-9 * (1 + abs(value)):
+                return shares, value
+        shares = shares * slopes
+        shares /= shares.sum()
+    return shares, float(counts @ np.log(shares @ likelihood))
 
 
 def _set_of(
-    likelihood: np.ndarray, counts: np.ndarray, shares: np.ndarray, penalty: float, rounds: int
+    likelihood: np.ndarray,
+    counts: np.ndarray,
+    shares: np.ndarray,
+    value: float,
+    penalty: float,
+    rounds: int,
 ) -> np.ndarray:
     """Proportions of the languages of one text, zero for those not in its set.
 
-    The language with the smallest share goes as long as the likelihood falls
-    by less than the penalty of a language.
+    The language with the smallest share goes as long as the likelihood, first
+    ``value``, falls by less than the penalty of a language.
     """
-    first = np.zeros(1, np.int64)
-    shares = shares.copy()
-    value = float(_value(likelihood, counts, shares[None], first)[0])
     while (shares > 0).sum() > 1:
         fewer = shares.copy()
         fewer[np.where(shares > 0, shares, np.inf).argmin()] = 0
         fewer = np.where(fewer > 0, fewer + 1e-9, 0)
-        fewer = (fewer / fewer.sum())[None]
-        for _ in range(rounds):
-            fewer = _step(likelihood, counts, fewer, first)
-        without = float(_value(likelihood, counts, fewer, first)[0])
+        fewer, without = _fitted(likelihood, counts, fewer / fewer.sum(), rounds)
         if without + penalty < value:
             break
-        shares, value = fewer[0], without
+        shares, value = fewer, without
     return shares
 
 
@@ -222,38 +237,35 @@ def mixtures(
     Where one language is chosen, the certainty is its probability among single
     languages, and else it is 1.
 
-    All texts go through EM together, with all languages. The set of a text is
-    then chosen by its likelihood less, for each language, half the logarithm
-    of its length. No set can have more likelihood than that of all languages,
-    so one language is best if it comes within one penalty of that; only other
-    texts try sets in between. A byte counts once, although n-grams overlap.
+    A text goes through EM with all languages. Its set is then chosen by its
+    likelihood less, for each language, half the logarithm of its length. No set
+    can have more likelihood than that of all languages, so one language is best
+    if it comes within one penalty of that, and EM ends once this is certain;
+    only other texts try sets in between. A byte counts once, although n-grams
+    overlap.
     """
     cells, counts, bounds = _counted(words, how)
     out = np.zeros((len(bounds) - 1, len(model.languages)))
-    some = np.flatnonzero(np.diff(bounds))
     certainty = np.ones(len(out))
-    if not len(some) or not len(model.languages):
+    if not len(model.languages):
         return out, certainty
-    logs = model.logs[:, cells].T
-    likelihood = np.exp(logs - logs.max(1, keepdims=True)) + 1e-30
     counts = counts / len(how.lengths)
-    first = bounds[some]
     start = np.maximum(model.shares, 1e-3)
-    shares = np.tile(start / start.sum(), (len(some), 1))
-    for _ in range(how.rounds):
-        shares = _step(likelihood, counts, shares, first)
-    value = _value(likelihood, counts, shares, first)
-    alone = np.add.reduceat(counts[:, None] * np.log(likelihood), first, axis=0)
-    penalty = 0.5 * np.log(np.maximum(2.0, np.add.reduceat(counts, first)))
-    best = alone.argmax(1)
-    pure = alone.max(1) + penalty >= value
-    out[some[pure], best[pure]] = 1
-    odds = np.exp(alone - alone.max(1, keepdims=True))
-    certainty[some[pure]] = 1 / odds.sum(1)[pure]
-    ends = np.append(first[1:], len(counts))
-    for i in np.flatnonzero(~pure):
-        own = slice(first[i], ends[i])
-        out[some[i]] = _set_of(likelihood[own], counts[own], shares[i], penalty[i], how.rounds)
+    start /= start.sum()
+    table, logs = model.likelihoods
+    for i in np.flatnonzero(np.diff(bounds)).tolist():
+        part = slice(bounds[i], bounds[i + 1])
+        at, n = cells[part], counts[part]
+        likelihood = table.take(at, 1)
+        alone = logs.take(at, 1) @ n
+        penalty = 0.5 * np.log(max(2.0, n.sum()))
+        enough = alone.max() + penalty
+        shares, value = _fitted(likelihood, n, start, how.rounds, enough)
+        if enough >= value:
+            out[i, alone.argmax()] = 1
+            certainty[i] = 1 / np.exp(alone - alone.max()).sum()
+        else:
+            out[i] = _set_of(likelihood, n, shares, value, penalty, how.rounds)
     return out, certainty
 
 

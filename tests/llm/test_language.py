@@ -61,6 +61,27 @@ def test_proportions_are_the_most_likely_ones(spark):
     assert shares[0, 2] == 0 and shares[0, 0] == pytest.approx(grid[int(np.argmax(values))], abs=0.01)
 
 
+def test_rounds_end_once_no_proportions_come_above_what_is_enough(spark):
+    model = learned(spark)
+    words = Words(pa.array([spoken("aa", 60, 99), spoken("aa", 40, 5) + " " + spoken("bb", 25, 6)]))
+    # So many rounds would never end; texts of one language do without them.
+    shares, certainty = language.mixtures(Words(pa.array([spoken("aa", 60, 99)])), model, language.NGrams(rounds=10**12))
+    assert shares.tolist() == [[1, 0, 0]] and certainty[0] > 0.99
+    cells, counts, bounds = language._counted(words, language.NGrams())
+    start = np.full(3, 1 / 3)
+    for i, pure in enumerate((True, False)):
+        own = slice(bounds[i], bounds[i + 1])
+        likelihood, n = model.likelihoods[0][:, cells[own]], counts[own] / 2
+        plain = start
+        for _ in range(200):
+            plain = (n * likelihood * plain[:, None] / (plain @ likelihood)).sum(1) / n.sum()
+        most = n @ np.log(plain @ likelihood)
+        enough = (np.log(likelihood) @ n).max() + 0.5 * np.log(n.sum())
+        got, value = language._fitted(likelihood, n, start, 200, enough)
+        assert (most <= enough) == pure and value <= most + 1e-9
+        assert (value <= enough) == pure and (abs(got - plain).max() > 1e-6) == pure
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op5_language"](spark, SF_DIR).join(docs, "doc_id").collect()
