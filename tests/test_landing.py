@@ -39,3 +39,32 @@ def test_a_month_is_rewritten_by_several_tasks(spark, conf, tmp_path):
     got = read_headerless(spark, f"{path}/period=199703.CSV", FARE_COLUMNS)
     want = landing.fare_rows(spark, SF_DIR).where("period = '199703.CSV'").withColumn("seats", F.lit("7"))
     assert rows(got) == rows(want.drop("period"))
+
+
+def test_month_files_hold_the_lines_of_a_csv_writer(spark, tmp_path):
+    origins = ["N", "", None, " a b ", "x;y", 'q"r', '"', "#z", "-", "é", "a\\b", "\\", "l\nm", "\t", "0"]
+    kinds = ", ".join(f"{name} string" for name in (*FARE_COLUMNS, "period"))
+    cells = [("1997", "3", "12", origin, "7", "1,50", "9", "199703.CSV") for origin in origins]
+    cells += [(None,) * 7 + ("199704.CSV",), (None,) * 8, ("1997", None, "1", "A", None, "1.234,56", None, "199704.CSV")]
+    fares = spark.createDataFrame(cells, kinds)
+    fares.write.partitionBy("period").csv(f"{tmp_path}/csv", sep=";")
+    lines = landing.fare_lines(fares)
+    assert lines.columns == ["line", "period"]
+    lines.write.partitionBy("period").text(f"{tmp_path}/text")
+
+    def held(path):
+        return sorted((f.parent.name, line) for f in path.glob("*/part-*") for line in f.read_text().split("\n") if line)
+
+    assert held(tmp_path / "text") == held(tmp_path / "csv")
+
+
+def test_months_are_open_side_by_side_while_they_are_written(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    with landing._months_open(spark):
+        assert int(spark.conf.get(name)) >= 12 * len(landing.proxy.YEARS)
+    path = landing.write_month_files(spark, SF_DIR, f"file://{tmp_path}/price")
+    assert spark.conf.get(name) == "0"
+    assert {f.suffix for f in (tmp_path / "price").glob("*/part-*")} == {".txt"}
+    got = read_headerless(spark, path, FARE_COLUMNS).where(f"price != '{landing.PRICE_SENTINEL}'")
+    want = landing.fare_rows(spark, SF_DIR).where(f"price != '{landing.PRICE_SENTINEL}'")
+    assert rows(got.select(*FARE_COLUMNS)) == rows(want.select(*FARE_COLUMNS))
