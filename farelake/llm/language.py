@@ -21,6 +21,8 @@ from farelake.llm.words import U64, Words, chunks, mix
 
 #: The language of texts without a letter.
 UNDETERMINED = "und"
+#: Bytes of text whose n-grams a task holds at once; bounds its memory, also in one long text.
+PIECE = 1 << 18
 
 _FOLD = np.full(256, ord(" "), np.uint8)  # all but letters becomes a space
 _FOLD[128:] = np.arange(128, 256)
@@ -53,48 +55,45 @@ class LanguageModel:
         return table, np.log(table)
 
 
-def _cells(words: Words, how: NGrams, pad: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """The text and the cell of each n-gram with a letter in it.
+def _cells(words: Words, how: NGrams, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The text and the cell of each n-gram with a letter in it, of the texts from ``low`` to ``high``.
 
-    With ``pad``, a text shorter than the shortest n-gram is one together with
-    the spaces before it.
+    They come in parts, in no order, of the n-grams that start in ``PIECE`` bytes. A
+    text shorter than the shortest n-gram is one together with the spaces before it.
     """
-    data = _FOLD[words.data].astype(np.uint64)
-    letter = data != ord(" ")
-    doc = np.repeat(np.arange(len(words.counts)), np.diff(words.offsets))
-    of, cells = [], []
-    for n in how.lengths:
-        m = len(data) - n + 1
-        if m <= 0:
-            continue
-        code = np.full(m, U64(n), np.uint64)
-        some = np.zeros(m, bool)
-        for i in range(n):
-            code = (code << U64(8)) | data[i : i + m]
-            some |= letter[i : i + m]
-        some &= doc[:m] == doc[n - 1 :]
-        at = np.flatnonzero(some)
-        of.append(doc[at])
-        cells.append((mix(code[at]) >> U64(64 - how.bits)).astype(np.int64))
-    sizes, n = np.diff(words.offsets), min(how.lengths)
-    short = np.flatnonzero((sizes > 0) & (sizes < n) & pad)
-    codes, texts = [], []
-    for i in short.tolist():
-        own = data[words.offsets[i] : words.offsets[i + 1]].tolist()
+    begin, end = int(words.offsets[low]), int(words.offsets[high])
+    longest, shift = max(how.lengths), U64(64 - how.bits)
+    for first in range(begin, end, PIECE):
+        last = min(first + PIECE, end)
+        data = _FOLD[words.data[first : min(last + longest - 1, end)]]
+        letter = data != ord(" ")
+        texts = np.searchsorted(words.offsets, (first, first + len(data) - 1), "right") - 1
+        bounds = np.clip(words.offsets[texts[0] : texts[1] + 2], first, first + len(data))
+        doc = np.repeat(np.arange(texts[0], texts[1] + 1), np.diff(bounds))
+        for n in how.lengths:
+            m = min(last - first, len(data) - n + 1)
+            if m <= 0:
+                continue
+            code = np.full(m, U64(n), np.uint64)
+            some = np.zeros(m, bool)
+            for i in range(n):
+                code = (code << U64(8)) | data[i : i + m]
+                some |= letter[i : i + m]
+            some &= doc[:m] == doc[n - 1 : n - 1 + m]
+            at = np.flatnonzero(some)
+            yield doc[at], (mix(code[at]) >> shift).astype(np.int64)
+    sizes, n = np.diff(words.offsets[low : high + 1]), min(how.lengths)
+    codes, of = [], []
+    for i in (low + np.flatnonzero((sizes > 0) & (sizes < n))).tolist():
+        own = _FOLD[words.data[words.offsets[i] : words.offsets[i + 1]]].tolist()
         if any(b != ord(" ") for b in own):
             code = n
             for b in [ord(" ")] * (n - len(own)) + own:
                 code = (code << 8 | b) & 0xFFFFFFFFFFFFFFFF
             codes.append(code)
-            texts.append(i)
+            of.append(i)
     if codes:
-        of.append(np.array(texts, np.int64))
-        cells.append((mix(np.array(codes, np.uint64)) >> U64(64 - how.bits)).astype(np.int64))
-        order = np.argsort(np.concatenate(of), kind="stable")
-        return np.concatenate(of)[order], np.concatenate(cells)[order]
-    if not of:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(of), np.concatenate(cells)
+        yield np.array(of, np.int64), (mix(np.array(codes, np.uint64)) >> shift).astype(np.int64)
 
 
 def _counted(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,16 +102,13 @@ def _counted(words: Words, how: NGrams) -> tuple[np.ndarray, np.ndarray, np.ndar
     A few texts at a time are counted in a table with a row each.
     """
     size, n = 1 << how.bits, len(words.counts)
-    least = min(how.lengths)
-    parts = [_cells(words, NGrams((k,), how.bits), k == least) for k in how.lengths]
     found, counts, bounds = [], [], [np.zeros(1, np.int64)]
     step = max(1, (1 << 17) >> how.bits)
     for low in range(0, n, step):
         rows = min(step, n - low)
         table = np.zeros(rows * size, np.int64)
-        for of, cells in parts:
-            i, j = np.searchsorted(of, (low, low + rows))
-            table += np.bincount((of[i:j] - low) * size + cells[i:j], minlength=len(table))
+        for of, cells in _cells(words, how, low, low + rows):
+            table += np.bincount((of - low) * size + cells, minlength=len(table))
         at = np.flatnonzero(table != 0)
         found.append(at % size)
         counts.append(table[at])
@@ -131,13 +127,14 @@ def learn(docs: DataFrame, text: str, lang: str, how: NGrams = NGrams()) -> Lang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=PIECE):
             words = Words(batch.column("text"))
             names = batch.column("lang").to_numpy(zero_copy_only=False)
-            of, cells = _cells(words, how)
             kinds, kind = np.unique(names.astype(str), return_inverse=True)
             size = 1 << how.bits
-            counts = np.bincount(kind[of] * size + cells, minlength=len(kinds) * size)
+            counts = np.zeros(len(kinds) * size, np.int64)
+            for of, cells in _cells(words, how, 0, len(names)):
+                counts += np.bincount(kind[of] * size + cells, minlength=len(counts))
             texts = np.bincount(kind, minlength=len(kinds))
             for i, name in enumerate(kinds):
                 own = totals.setdefault(str(name), np.zeros(size + 1, np.int64))
@@ -274,9 +271,11 @@ def _has_letter(words: Words, texts: pa.Array) -> np.ndarray:
     data = words.data
     plain = _FOLD[data] < 128
     plain &= _FOLD[data] != ord(" ")
-    doc = np.repeat(np.arange(len(words.counts)), np.diff(words.offsets))
-    out = np.bincount(doc[plain], minlength=len(words.counts)) > 0
-    other = np.bincount(doc[data > 127], minlength=len(words.counts)) > 0
+    out, other = np.zeros((2, len(words.counts)), bool)
+    some = np.flatnonzero(np.diff(words.offsets))
+    if len(some):
+        out[some] = np.logical_or.reduceat(plain, words.offsets[some])
+        other[some] = np.logical_or.reduceat(data > 127, words.offsets[some])
     for i in np.flatnonzero(other & ~out):
         out[i] = any(c.isalpha() for c in texts[i].as_py())
     return out
@@ -300,7 +299,7 @@ def identify(
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=PIECE):
             words = Words(batch.column("text"))
             shares, certainty = mixtures(words, model, how)
             shares[~_has_letter(words, batch.column("text"))] = 0

@@ -1,3 +1,6 @@
+import tracemalloc
+from collections import Counter
+
 import corpus
 import numpy as np
 import pyarrow as pa
@@ -82,6 +85,34 @@ def test_rounds_end_once_no_proportions_come_above_what_is_enough(spark):
         assert (value <= enough) == pure and (abs(got - plain).max() > 1e-6) == pure
 
 
+@pytest.mark.parametrize("texts", [1, 600])
+def test_memory_follows_neither_texts_nor_batches(spark, texts):
+    model = learned(spark)
+    words = Words(pa.array([spoken("aa", 400_000 // texts, 7)] * texts))
+    assert len(words.data) > 1_900_000
+    tracemalloc.start()
+    shares, _ = language.mixtures(words, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (shares[:, 0] == 1).all()
+    assert peak < 64 << 20
+
+
+def test_ngrams_of_pieces_are_those_of_whole_texts(monkeypatch):
+    texts = ["", "abcab abc é", None, "x", "1 2", "yölin höytö" * 5, "?", "ab", "Zz zz zz", ""]
+    words, how = Words(pa.array(texts)), language.NGrams()
+    whole = [x.copy() for x in language._counted(words, how)]
+    for i, text in enumerate(texts):
+        data = bytes(language._FOLD[b] for b in (text or "").encode())
+        grams = Counter(data[j : j + n] for n in how.lengths for j in range(len(data) - n + 1))
+        n = sum(v for k, v in grams.items() if k.strip()) + (data == b"x")
+        assert whole[1][whole[2][i] : whole[2][i + 1]].sum() == n
+    for size in (1, 2, 3, 7, 20):
+        monkeypatch.setattr(language, "PIECE", size)
+        for a, b in zip(whole, language._counted(words, how), strict=True):
+            assert a.tolist() == b.tolist()
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op5_language"](spark, SF_DIR).join(docs, "doc_id").collect()
